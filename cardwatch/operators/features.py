@@ -204,7 +204,8 @@ def rolling_stats(
     running-total form, since a sliding frame costs its length for every row.
     """
     rows = df.withColumn("_at", F.unix_micros(ts))
-    hot = heavy_keys(df, key, hot_rows)
+    # Broadcast, so that no row of a hot card takes part in the shuffle by card.
+    hot = F.broadcast(heavy_keys(df, key, hot_rows))
     cold_part = _rolling_cold(rows.join(hot, key, "left_anti"), key, ts, amount, days)
     hot_part = _rolling_hot(rows.join(hot, key, "left_semi"), key, ts, amount, days, bucket_seconds, digits)
     return cold_part.unionByName(hot_part.select(*cold_part.columns)).drop("_at")

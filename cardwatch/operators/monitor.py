@@ -70,20 +70,25 @@ def slice_grouping(df: DataFrame, by: list[Column], slices: list[str], aggs: lis
 # --- profile and quality -----------------------------------------------------------------
 
 def value_counts(
-    df: DataFrame, columns: list[str], kind: str, slices: list[str],
+    df: DataFrame, numeric: list[str], categorical: list[str], slices: list[str],
     ts: str | None = None, granularities: tuple[str, ...] = (), by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rows per (by, window, slice, column, value), NULL values kept as their own value.
 
-    ``kind`` is the common type the values are compared in: double or string.
+    Numeric values stand in ``num``, categories in ``txt``.
     """
     time = [F.date_trunc(_cell_unit(granularities), F.col(ts)).alias("_cell")] if granularities else []
     ids = [*by, *(["_cell"] if granularities else []), *[f"_slice_{s}" for s in slices]]
-    flat = df.select(
-        *by, *time, *_slice_cols(slices), *[F.col(c).cast(kind).alias(c) for c in columns])
-    long = flat.unpivot([F.col(c) for c in ids], columns, "column_name", "value")
-    fine = long.groupBy(*ids, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    keys = [*by, *(WINDOW if granularities else []), *SLICE, "column_name", "value"]
+    none = {"num": F.lit(None).cast("double"), "txt": F.lit(None).cast("string")}
+
+    def entry(name: str, **value: Column) -> Column:
+        return F.struct(F.lit(name).alias("column_name"), *[v.alias(k) for k, v in {**none, **value}.items()])
+
+    entries = [entry(c, num=F.col(c).cast("double")) for c in numeric]
+    entries += [entry(c, txt=F.col(c).cast("string")) for c in categorical]
+    long = df.select(*by, *time, *_slice_cols(slices), F.explode(F.array(*entries)).alias("_e")).select(*ids, "_e.*")
+    fine = long.groupBy(*ids, "column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+    keys = [*by, *(WINDOW if granularities else []), *SLICE, "column_name", "num", "txt"]
     return _spread(fine, slices, granularities).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
@@ -122,8 +127,8 @@ def profile(
         F.min("_lo").alias("min"), F.max("_hi").alias("max"),
     ).withColumn("stddev", F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))).drop("_m2")
     distinct = (
-        value_counts(log, columns, "double", slices, ts, granularities, by)
-        .filter(F.col("value").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_count"))
+        value_counts(log, columns, [], slices, ts, granularities, by)
+        .filter(F.col("num").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_count"))
     )
     joined = merged.join(distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
     return _public(joined)
@@ -215,58 +220,40 @@ def chi2_pvalue(statistic: pd.Series, df: pd.Series) -> pd.Series:
     return out.astype(object).where(out.notna(), None)
 
 
-def numeric_drift(base: DataFrame, cur: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
-    """KS, Wasserstein-1, PSI and mean difference of value tables (keys, [extra], value, n).
-
-    ``keys`` pair a current group with its baseline, ``extra`` are further keys of the
-    current side (its windows). The baseline is never repeated per window: its cumulative
-    count C(x) and sum S(x) are looked up at the current values in one ordered pass.
+def _distances(base: DataFrame, seen: DataFrame, sizes: DataFrame, keys: list[str], extra: list[str], area: bool) -> DataFrame:
+    """KS and, with ``area``, Wasserstein-1 per group.
 
     With F the step functions, sup|Fb - Fc| is met at or just below a current value, and the
     integral of Fb up to x is G(x) = (x C(x) - S(x)) / Nb. Between two current values Fc is a
     constant a, so the distance there needs G at both ends and at the baseline quantile of a,
-    which a second pass ordered by cumulative share finds.
+    which a pass ordered by cumulative share finds.
     """
     group = keys + extra
-    base = base.filter(F.col("value").isNotNull())
-    cur = cur.filter(F.col("value").isNotNull())
-    mass = F.col("n") * F.col("value")
-    base_stats = base.groupBy(*keys).agg(F.sum("n").alias("n_base"), (F.sum(mass) / F.sum("n")).alias("mean_base"))
-    cur_stats = cur.groupBy(*group).agg(F.sum("n").alias("n_cur"), (F.sum(mass) / F.sum("n")).alias("mean_cur"))
-    sizes = cur_stats.join(base_stats, keys)
-    at_value = value_bucket(F.col("value"))
-
-    # Current cumulative counts, then the baseline's C and S at and below each value.
-    cur_cum = running(cur.select(*group, "value", "n"), group, ["value"], at_value, {"cum": ("sum", F.col("n"))})
-    both = cur_cum.withColumns({"is_base": F.lit(False), "b": F.lit(0).cast("bigint"), "bv": F.lit(0.0)}).unionByName(
-        base.select(*keys, "value", F.lit(True).alias("is_base"), F.col("n").alias("b"), mass.alias("bv")),
-        allowMissingColumns=True)
-    seen = running(both, keys, ["value"], at_value, {
-        "c_le": ("sum", F.col("b")), "s_le": ("sum", F.col("bv")),
-        "c_lt": ("sum", F.col("b"), ["value", "is_base"]),
-    })
-    seen = materialize(seen, "drift-seen")
+    nb, v = F.col("n_base"), F.col("value")
     here = F.struct(F.col("value").alias("v"), F.col("c_le").alias("c"), F.col("s_le").alias("s"))
     points = seen.filter(~F.col("is_base")).join(sizes, group).select(
-        *group, "value", "n", "cum", "n_cur", "n_base", "c_le", "s_le", "c_lt", here.alias("here"))
-    points = running(points, group, ["value"], at_value, {"next": ("min", F.col("here"))}, descending=True, strict=True)
+        *group, "value", "n", "cum", "n_cur", "n_base", "mean_base", "c_le", "s_le", "c_lt",
+        (F.col("cum") / F.col("n_cur")).alias("share"), here.alias("here"))
+    gap = F.greatest(
+        F.abs(F.col("share") - F.col("c_le") / nb),
+        F.abs((F.col("cum") - F.col("n")) / F.col("n_cur") - F.col("c_lt") / nb),
+    )
+    if not area:
+        return points.groupBy(*group).agg(F.max(gap).alias("ks_statistic"))
 
-    # Baseline quantile of each current share.
-    ranked = points.withColumns({"share": F.col("cum") / F.col("n_cur"), "knot": F.lit(None).cast(points.schema["here"].dataType)})
-    knots = seen.filter("is_base").join(base_stats, keys).select(
-        *keys, (F.col("c_le") / F.col("n_base")).alias("share"), here.alias("knot"))
+    points = running(
+        points, group, ["value"], value_bucket(v), {"next": ("min", F.col("here"))}, descending=True, strict=True)
+    knots = seen.filter("is_base").join(base, keys).select(
+        *keys, (F.col("c_le") / nb).alias("share"), here.alias("knot"))
     ranked = running(
-        ranked.unionByName(knots, allowMissingColumns=True), keys, ["share"],
+        points.unionByName(knots, allowMissingColumns=True), keys, ["share"],
         F.floor(F.col("share") * 4096), {"quantile": ("min", F.col("knot"))}, descending=True,
     ).filter(F.col("here").isNotNull())
 
-    nb = F.col("n_base")
-    a, v = F.col("share"), F.col("value")
-
     def mass_below(p: Column) -> Column:
         return (p["v"] * p["c"] - p["s"]) / nb
 
-    start, end, q = F.col("here"), F.col("next"), F.col("quantile")
+    a, start, end, q = F.col("share"), F.col("here"), F.col("next"), F.col("quantile")
     cut = F.when(q["v"] <= v, start).when(q["v"] >= end["v"], end).otherwise(q)
     ranked = ranked.withColumn("cut", F.when(end.isNotNull(), cut))
     x = F.col("cut")
@@ -276,32 +263,73 @@ def numeric_drift(base: DataFrame, cur: DataFrame, keys: list[str], extra: list[
     )
     tail = (F.col("mean_base") * nb - F.col("s_le") - v * (nb - F.col("c_le"))) / nb
     head = F.when(F.col("cum") == F.col("n"), mass_below(start)).otherwise(0.0)
-    gap = F.greatest(
-        F.abs(F.col("share") - F.col("c_le") / nb),
-        F.abs((F.col("cum") - F.col("n")) / F.col("n_cur") - F.col("c_lt") / nb),
-    )
-    distance = ranked.join(base_stats.select(*keys, "mean_base"), keys).groupBy(*group).agg(
-        F.max(gap).alias("ks_statistic"),
-        F.greatest(F.lit(0.0), F.sum(head + F.when(end.isNotNull(), inner).otherwise(tail))).alias("wasserstein_distance"),
-    )
+    area_sum = F.sum(head + F.when(end.isNotNull(), inner).otherwise(tail))
+    return ranked.groupBy(*group).agg(
+        F.max(gap).alias("ks_statistic"), F.greatest(F.lit(0.0), area_sum).alias("wasserstein_distance"))
+
 
-    # PSI over ten bins cut at the baseline deciles.
-    edges = quantile_edges(base, keys, "value")
-    shares = _bin_counts(base.join(edges, keys), keys, "b_bins").join(edges, keys)
-    cur_bins = _bin_counts(cur.join(edges, keys), group, "c_bins").join(shares.select(*keys, "b_bins"), keys)
-    psi = cur_bins.join(sizes, group).select(*group, F.aggregate(
-        F.zip_with("b_bins", "c_bins", lambda b, c: _psi_term(c / F.col("n_cur"), b / nb)),
-        F.lit(0.0), lambda s, t: s + t).alias("population_stability_index"))
+def numeric_drift(
+    base: DataFrame, cur: DataFrame, keys: list[str], extra: list[str],
+    stats: tuple[str, ...] = ("ks", "wasserstein", "psi", "avg_delta"),
+) -> DataFrame:
+    """KS, Wasserstein-1, PSI and mean difference of value tables (keys, [extra], value, n).
 
+    ``keys`` pair a current group with its baseline, ``extra`` are further keys of the
+    current side (its windows). The baseline is never repeated per window: its cumulative
+    count C(x) and sum S(x) are looked up at the current values in one ordered pass.
+    """
+    group = keys + extra
+    base = base.filter(F.col("value").isNotNull())
+    cur = cur.filter(F.col("value").isNotNull())
+    mass = F.col("n") * F.col("value")
+    base_stats = base.groupBy(*keys).agg(F.sum("n").alias("n_base"), (F.sum(mass) / F.sum("n")).alias("mean_base"))
+    cur_stats = cur.groupBy(*group).agg(F.sum("n").alias("n_cur"), (F.sum(mass) / F.sum("n")).alias("mean_cur"))
+    wide = sizes = cur_stats.join(base_stats, keys)
+    nb = F.col("n_base")
     enough = (F.col("n_cur") > 1) & (nb > 1)
-    wide = sizes.join(distance, group).join(psi, group)
-    return wide.select(
-        *group, "n_base", "n_cur",
-        F.when(enough, F.col("ks_statistic")).alias("ks_statistic"),
-        F.when(enough, ks_pvalue(F.col("ks_statistic"), F.col("n_cur").cast("double"), nb.cast("double"))).alias("ks_pvalue"),
-        *[F.when(enough, F.col(c)).alias(c) for c in ("wasserstein_distance", "population_stability_index")],
-        (F.col("mean_cur") - F.col("mean_base")).alias("avg_delta"),
-    )
+    out, edges = [], None
+
+    if {"ks", "wasserstein"} & set(stats):
+        at_value = value_bucket(F.col("value"))
+        cur_cum = running(cur.select(*group, "value", "n"), group, ["value"], at_value, {"cum": ("sum", F.col("n"))})
+        both = cur_cum.withColumns({"is_base": F.lit(False), "b": F.lit(0).cast("bigint"), "bv": F.lit(0.0)}).unionByName(
+            base.select(*keys, "value", F.lit(True).alias("is_base"), F.col("n").alias("b"), mass.alias("bv")),
+            allowMissingColumns=True)
+        seen = materialize(running(both, keys, ["value"], at_value, {
+            "c_le": ("sum", F.col("b")), "s_le": ("sum", F.col("bv")),
+            "c_lt": ("sum", F.col("b"), ["value", "is_base"]),
+        }), "drift-seen")
+        wide = wide.join(_distances(base_stats, seen, sizes, keys, extra, "wasserstein" in stats), group)
+        edges = _decile_edges(seen.filter("is_base").join(base_stats, keys), keys)
+        if "ks" in stats:
+            out += [
+                F.when(enough, F.col("ks_statistic")).alias("ks_statistic"),
+                F.when(enough, ks_pvalue(F.col("ks_statistic"), F.col("n_cur").cast("double"), nb.cast("double"))).alias("ks_pvalue"),
+            ]
+        if "wasserstein" in stats:
+            out.append(F.when(enough, F.col("wasserstein_distance")).alias("wasserstein_distance"))
+
+    if "psi" in stats:
+        # Ten bins cut at the baseline deciles.
+        edges = quantile_edges(base, keys, "value") if edges is None else edges
+        b_bins = _bin_counts(base.join(edges, keys), keys, "b_bins")
+        c_bins = _bin_counts(cur.join(edges, keys), group, "c_bins")
+        wide = wide.join(c_bins.join(b_bins, keys), group)
+        index = F.aggregate(
+            F.zip_with("b_bins", "c_bins", lambda b, c: _psi_term(c / F.col("n_cur"), b / nb)), F.lit(0.0), lambda s, t: s + t)
+        out.append(F.when(enough, index).alias("population_stability_index"))
+
+    if "avg_delta" in stats:
+        out.append((F.col("mean_cur") - F.col("mean_base")).alias("avg_delta"))
+    return wide.select(*group, "n_base", "n_cur", *out)
+
+
+def _decile_edges(cumulated: DataFrame, keys: list[str], parts: int = 10) -> DataFrame:
+    """quantile_edges from rows that already carry the baseline's cumulative count."""
+    reach = [
+        F.min(F.when(F.col("c_le") * parts >= F.col("n_base") * i, F.col("value"))).alias(f"_e{i}") for i in range(1, parts)
+    ]
+    return cumulated.groupBy(*keys).agg(*reach).select(*keys, F.array(*[f"_e{i}" for i in range(1, parts)]).alias("edges"))
 
 
 def _psi_term(c: Column, b: Column) -> Column:
@@ -357,12 +385,11 @@ def categorical_drift(base: DataFrame, cur: DataFrame, keys: list[str], extra: l
         *group, "n_base", "n_cur", "chi2_statistic", "chi2_df", "chi2_pvalue", "population_stability_index")
 
 
-def _assemble(num: DataFrame | None, cat: DataFrame | None, drift_type: str) -> DataFrame:
-    parts = [p for p in (num, cat) if p is not None]
+def _assemble(parts: list[DataFrame], drift_type: str) -> DataFrame:
     flat = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    for name in ("ks_statistic", "ks_pvalue", "wasserstein_distance", "avg_delta", "chi2_statistic", "chi2_pvalue"):
-        if name not in flat.columns:
-            flat = flat.withColumn(name, F.lit(None).cast("double"))
+    statistics = ("ks_statistic", "ks_pvalue", "chi2_statistic", "chi2_pvalue",
+                  "wasserstein_distance", "population_stability_index", "avg_delta")
+    flat = flat.withColumns({c: F.lit(None).cast("double") for c in statistics if c not in flat.columns})
     return _public(flat).select(
         F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("window"),
         "granularity", "column_name", F.lit(drift_type).alias("drift_type"), *SLICE,
@@ -373,38 +400,50 @@ def _assemble(num: DataFrame | None, cat: DataFrame | None, drift_type: str) ->
     )
 
 
+STATS = ("ks", "chi2", "wasserstein", "psi", "avg_delta")
+
+
+def _compare(base: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str],
+             keys: list[str], extra: list[str], stats: tuple[str, ...]) -> list[DataFrame]:
+    def side(df: DataFrame, cols: list[str], value: str) -> DataFrame:
+        rest = [c for c in df.columns if c not in ("num", "txt")]
+        return df.filter(F.col("column_name").isin(cols)).select(*rest, F.col(value).alias("value"))
+
+    parts = []
+    if numeric and set(stats) - {"chi2"}:
+        parts.append(numeric_drift(side(base, numeric, "num"), side(cur, numeric, "num"), keys, extra, stats))
+    if categorical and {"chi2", "psi"} & set(stats):
+        parts.append(categorical_drift(side(base, categorical, "txt"), side(cur, categorical, "txt"), keys, extra))
+    return parts
+
+
 def drift_metrics(
     base: DataFrame, cur: DataFrame, ts: str, numeric: list[str], categorical: list[str],
     granularities: tuple[str, ...] = ("1 day", "1 week"), slices: tuple[str, ...] = (),
+    stats: tuple[str, ...] = STATS,
 ) -> DataFrame:
     """Every window and slice of the current table against the same slice of the baseline.
 
-    The four value tables are written once to the shared folder; all statistics read them.
+    Both value tables are written once to the shared folder; all statistics read them.
+    ``stats`` limits the work to some statistics, the columns of the others stay NULL.
     """
-    keys, parts = ["column_name", *SLICE], {}
-    for kind, cols, compare in (("double", numeric, numeric_drift), ("string", categorical, categorical_drift)):
-        if cols:
-            b = materialize(value_counts(base, cols, kind, list(slices)), f"base-{kind}")
-            c = materialize(value_counts(cur, cols, kind, list(slices), ts, granularities), f"cur-{kind}")
-            parts[kind] = compare(b, c, keys, WINDOW)
-    return _assemble(parts.get("double"), parts.get("string"), "BASELINE")
+    b = materialize(value_counts(base, numeric, categorical, list(slices)), "drift-base")
+    c = materialize(value_counts(cur, numeric, categorical, list(slices), ts, granularities), "drift-cur")
+    return _assemble(_compare(b, c, numeric, categorical, ["column_name", *SLICE], WINDOW, stats), "BASELINE")
 
 
 def drift_consecutive(
     cur: DataFrame, ts: str, numeric: list[str], categorical: list[str],
     granularities: tuple[str, ...] = ("1 day", "1 week"), slices: tuple[str, ...] = (),
+    stats: tuple[str, ...] = STATS,
 ) -> DataFrame:
     """Every window against the window just before it; a window without one gives no row."""
-    keys, parts = ["column_name", *SLICE, *WINDOW], {}
-    for kind, cols, compare in (("double", numeric, numeric_drift), ("string", categorical, categorical_drift)):
-        if cols:
-            now = materialize(value_counts(cur, cols, kind, list(slices), ts, granularities), f"cur-{kind}")
-            length = F.col("window_end") - F.col("window_start")
-            before = now.select(
-                "granularity", *SLICE, "column_name", "value", "n",
-                F.col("window_end").alias("window_start"), (F.col("window_end") + length).alias("window_end"))
-            parts[kind] = compare(before, now, keys, [])
-    return _assemble(parts.get("double"), parts.get("string"), "CONSECUTIVE")
+    now = materialize(value_counts(cur, numeric, categorical, list(slices), ts, granularities), "drift-cur")
+    length = F.col("window_end") - F.col("window_start")
+    before = now.select(
+        "granularity", *SLICE, "column_name", "num", "txt", "n",
+        F.col("window_end").alias("window_start"), (F.col("window_end") + length).alias("window_end"))
+    return _assemble(_compare(before, now, numeric, categorical, ["column_name", *SLICE, *WINDOW], [], stats), "CONSECUTIVE")
 
 
 def align_baseline(cur: DataFrame, base: DataFrame) -> DataFrame:

@@ -124,6 +124,12 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.size(F.filter(edges, lambda e: e < value))
 
 
-def heavy_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows; at most rows/limit keys can qualify."""
-    return df.groupBy(key).count().filter(F.col("count") > limit).select(key)
+def heavy_keys(df: DataFrame, key: str, limit: int, max_keys: int = 1_000_000) -> DataFrame:
+    """Keys with more than ``limit`` rows and more than a ``max_keys``-th part of all rows.
+
+    The second condition bounds the list at ``max_keys`` keys whatever the table size, so it
+    may be broadcast. It is a pure function of the counts, the same in every plan branch.
+    """
+    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter((F.col("_rows") > limit) & (F.col("_rows") * max_keys > total)).select(key)

@@ -7,19 +7,15 @@ from pyspark.sql import functions as F
 from cardwatch.operators import features as ft
 from cardwatch.operators import relational as rel
 from cardwatch.plans.data import AS_OF, Data
-from cardwatch.plans.registry import query
+from cardwatch.plans.registry import query, rounded, settle
 
 CARD_COLS = ["avg_transaction_amount_90d", "max_monthly_spend_statement", "total_transactions_90d", "hours_since_last_transaction"]
 ROUND = {"avg_transaction_amount_90d": 8, "max_monthly_spend_statement": 2, "avg_transactions_per_day_90d": 6,
          "pct_online_transactions_90d": 6, "hours_since_last_transaction": 6}
 
 
-def rounded(df, digits: dict[str, int]):
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items() if c in df.columns})
-
-
 def _cards_sql(cols: list[str], prefix: str = "") -> str:
-    return ", ".join(f"round({prefix}{c}, {ROUND[c]}) as {c}" if c in ROUND else f"{prefix}{c}" for c in cols)
+    return ", ".join(f"settle({prefix}{c}, {ROUND[c]}) as {c}" if c in ROUND else f"{prefix}{c}" for c in cols)
 
 
 ALL_CARD_COLS = [
@@ -84,7 +80,7 @@ def key_constraint_check(d: Data):
 
 
 @query("mean_shift_compare", """
-  select column_name, round(b, 6) as baseline_mean, round(c, 6) as drift_mean, round((c - b) * 100e0 / b, 1) as shift_pct from (
+  select column_name, settle(b, 6) as baseline_mean, settle(c, 6) as drift_mean, round((c - b) * 100e0 / b, 1) as shift_pct from (
     select 'transaction_amount' as column_name, (select avg(transaction_amount) from base) as b, (select avg(transaction_amount) from drifted) as c
     union all select 'points', (select avg(points) from base), (select avg(points) from drifted)
     union all select 'is_vpn_used', (select avg(cast(is_vpn_used as int)) from base), (select avg(cast(is_vpn_used as int)) from drifted))""",
@@ -116,25 +112,25 @@ def rolling_counts(d: Data):
     return _stats(d).select("transaction_id", "txn_count_1d", "txn_count_7d")
 
 
-@query("rolling_amounts", f"""with r as ({ROLLING_SQL}) select transaction_id, round(txn_amount_avg_1d, 8) as txn_amount_avg_1d,
-  round(txn_amount_avg_7d, 8) as txn_amount_avg_7d, round(txn_amount_std_7d, 5) as txn_amount_std_7d from r""")
+@query("rolling_amounts", f"""with r as ({ROLLING_SQL}) select transaction_id, settle(txn_amount_avg_1d, 8) as txn_amount_avg_1d,
+  settle(txn_amount_avg_7d, 8) as txn_amount_avg_7d, settle(txn_amount_std_7d, 5) as txn_amount_std_7d from r""")
 def rolling_amounts(d: Data):
     return _stats(d).select(
-        "transaction_id", F.round("txn_amount_avg_1d", 8).alias("txn_amount_avg_1d"),
-        F.round("txn_amount_avg_7d", 8).alias("txn_amount_avg_7d"), F.round("txn_amount_std_7d", 5).alias("txn_amount_std_7d"))
+        "transaction_id", settle("txn_amount_avg_1d", 8).alias("txn_amount_avg_1d"),
+        settle("txn_amount_avg_7d", 8).alias("txn_amount_avg_7d"), settle("txn_amount_std_7d", 5).alias("txn_amount_std_7d"))
 
 
 @query("amount_zscore", f"""with r as ({ROLLING_SQL})
-  select transaction_id, round(case when txn_amount_std_7d > 0 then (transaction_amount - txn_amount_avg_7d) / txn_amount_std_7d end, 5) as amount_zscore from r""")
+  select transaction_id, settle(case when txn_amount_std_7d > 0 then (transaction_amount - txn_amount_avg_7d) / txn_amount_std_7d end, 5) as amount_zscore from r""")
 def amount_zscore(d: Data):
     built = ft.rolling_features(d.txn, "card_id", "transaction_timestamp", "transaction_amount")
-    return built.select("transaction_id", F.round("amount_zscore", 5).alias("amount_zscore"))
+    return built.select("transaction_id", settle("amount_zscore", 5).alias("amount_zscore"))
 
 
 @query("rolling_features", f"""with r as ({ROLLING_SQL})
-  select transaction_id, txn_count_1d, txn_count_7d, round(txn_amount_avg_1d, 8) as txn_amount_avg_1d,
-    round(txn_amount_avg_7d, 8) as txn_amount_avg_7d, round(txn_amount_std_7d, 5) as txn_amount_std_7d,
-    round(case when txn_amount_std_7d > 0 then (transaction_amount - txn_amount_avg_7d) / txn_amount_std_7d end, 5) as amount_zscore,
+  select transaction_id, txn_count_1d, txn_count_7d, settle(txn_amount_avg_1d, 8) as txn_amount_avg_1d,
+    settle(txn_amount_avg_7d, 8) as txn_amount_avg_7d, settle(txn_amount_std_7d, 5) as txn_amount_std_7d,
+    settle(case when txn_amount_std_7d > 0 then (transaction_amount - txn_amount_avg_7d) / txn_amount_std_7d end, 5) as amount_zscore,
     cast(hour(transaction_timestamp) as int) as hour_of_day, cast(isodow(transaction_timestamp) - 1 as int) as day_of_week,
     transaction_amount as amount from r""")
 def rolling_features(d: Data):
@@ -146,14 +142,14 @@ def rolling_features(d: Data):
 
 
 @query("rolling_hot_cards", f"""with r as ({ROLLING_SQL}) select transaction_id, txn_count_1d, txn_count_7d,
-  round(txn_amount_avg_7d, 8) as txn_amount_avg_7d, round(txn_amount_std_7d, 5) as txn_amount_std_7d from r""")
+  settle(txn_amount_avg_7d, 8) as txn_amount_avg_7d, settle(txn_amount_std_7d, 5) as txn_amount_std_7d from r""")
 def rolling_hot_cards(d: Data):
     """The same features with a low hot-card limit, so that part of the cards takes the other form."""
     rows = d.txn.select("transaction_id", "card_id", "transaction_timestamp", "transaction_amount")
     built = ft.rolling_stats(rows, "card_id", "transaction_timestamp", "transaction_amount", hot_rows=60)
     return built.select(
-        "transaction_id", "txn_count_1d", "txn_count_7d", F.round("txn_amount_avg_7d", 8).alias("txn_amount_avg_7d"),
-        F.round("txn_amount_std_7d", 5).alias("txn_amount_std_7d"))
+        "transaction_id", "txn_count_1d", "txn_count_7d", settle("txn_amount_avg_7d", 8).alias("txn_amount_avg_7d"),
+        settle("txn_amount_std_7d", 5).alias("txn_amount_std_7d"))
 
 
 @query("rolling_distinct", """
@@ -208,8 +204,8 @@ def _u(seed: int) -> str:
 
 
 @query("drift_inject", f"""
-  select card_id, round(max_monthly_spend_statement * (1.2e0 + {_u(99)} * 0.2e0), 4) as max_monthly_spend_statement,
-         round(greatest(0.1e0, least(0.98e0, pct_online_transactions_90d + 0.1e0 + {_u(100)} * 0.2e0)), 6) as pct_online_transactions_90d,
+  select card_id, settle(max_monthly_spend_statement * (1.2e0 + {_u(99)} * 0.2e0), 4) as max_monthly_spend_statement,
+         settle(greatest(0.1e0, least(0.98e0, pct_online_transactions_90d + 0.1e0 + {_u(100)} * 0.2e0)), 6) as pct_online_transactions_90d,
          greatest(1, least(8, distinct_countries_90d + cast(floor({_u(101)} * 3) as int))) as distinct_countries_90d,
          cast(total_transactions_90d % 8 as bigint) as declined_transactions_30d
   from cards""", ("cards",))

@@ -11,10 +11,9 @@ from cardwatch.operators import monitor as mon
 from cardwatch.operators import trees
 from cardwatch.operators.features import hash_folds
 from cardwatch.plans.data import AS_OF, CHALLENGER, Data
-from cardwatch.plans.features import rounded
 from cardwatch.plans.monitoring import QUALITY, SLICES, TS
 from cardwatch.plans.quality import BINARY
-from cardwatch.plans.registry import query
+from cardwatch.plans.registry import query, rounded
 from cardwatch.sources.payload import latest_n
 
 NOW = f"{AS_OF} 10:20:30"
@@ -25,7 +24,7 @@ def profile(d: Data, log=None):
 
 
 @query("alias_resolve", """
-  select a.alias, a.version, v.run_id, m.metric, round(m.value, 6) as value
+  select a.alias, a.version, v.run_id, m.metric, settle(m.value, 6) as value
   from aliases a left join versions v using (version) left join run_metrics m using (run_id)""", ("aliases", "versions", "run_metrics"))
 def alias_resolve(d: Data):
     found = lc.alias_resolve(d.aliases.select("alias", "version"), d.versions.select("version", "run_id"), d.run_metrics)
@@ -44,14 +43,14 @@ LATEST = f"""{QUALITY},
     and window_end = (select max(window_end) from quality p where p.model_version = q.model_version and p.granularity = '1 week'))"""
 
 
-@query("latest_per_model", f"with {LATEST} select model_version, window_end, round(score, 6) as score from latest", ("log",))
+@query("latest_per_model", f"with {LATEST} select model_version, window_end, settle(score, 6) as score from latest", ("log",))
 def latest_per_model(d: Data):
     return rounded(lc.latest_per_model(profile(d), F.col("recall.weighted")), {"score": 6})
 
 
 @query("champion_challenger_pair", f"""with {LATEST}
-  select round(max(score) filter (model_version like '%@champion'), 6) as champion_score,
-         round(max(score) filter (model_version like '%@challenger'), 6) as challenger_score from latest""", ("log",))
+  select settle(max(score) filter (model_version like '%@champion'), 6) as champion_score,
+         settle(max(score) filter (model_version like '%@challenger'), 6) as challenger_score from latest""", ("log",))
 def champion_challenger_pair(d: Data):
     pair = lc.pair_scores(lc.latest_per_model(profile(d), F.col("recall.weighted")), d.aliases)
     return rounded(pair, {"champion_score": 6, "challenger_score": 6})
@@ -72,8 +71,8 @@ TRAINED = """
 @query("ab_score_source", f"""with {LATEST},
   watched as (select max(score) filter (model_version like '%@champion') as champion, max(score) filter (model_version like '%@challenger') as challenger from latest),
   trained as ({TRAINED})
-  select 'both' as case_name, round(champion, 6) as champion_metric, round(challenger, 6) as challenger_metric, 'monitoring_1week' as metric_source from watched
-  union all select 'one', round(champion, 6), round(challenger, 6), 'training' from trained""", ("log", "aliases", "versions", "run_metrics"))
+  select 'both' as case_name, settle(champion, 6) as champion_metric, settle(challenger, 6) as challenger_metric, 'monitoring_1week' as metric_source from watched
+  union all select 'one', settle(champion, 6), settle(challenger, 6), 'training' from trained""", ("log", "aliases", "versions", "run_metrics"))
 def ab_score_source(d: Data):
     """Both models monitored, and only one of them: the second case falls back as a pair."""
     one = d.log.filter(F.col("model_version") != CHALLENGER)
@@ -86,7 +85,7 @@ def ab_score_source(d: Data):
   s as (select max(score) filter (model_version like '%@champion') as a, max(score) filter (model_version like '%@challenger') as b from latest),
   v as (select max(version) filter (alias = 'champion') as va, max(version) filter (alias = 'challenger') as vb from aliases)
   select case when b > a then 'challenger' else 'champion' end as winner, case when b > a then vb else va end as winner_version,
-         case when b > a then va else vb end as loser_version, round(greatest(a, b), 6) as winner_metric, round(least(a, b), 6) as loser_metric,
+         case when b > a then va else vb end as loser_version, settle(greatest(a, b), 6) as winner_metric, settle(least(a, b), 6) as loser_metric,
          'archive_' || strftime(timestamp '{NOW}', '%Y%m%d_%H%M%S') as archive_alias, 'monitoring_1week' as metric_source
   from s, v""", ("log", "aliases"))
 def ab_resolve(d: Data):
@@ -137,26 +136,26 @@ def trial_folds(d: Data):
     return wide.select("fold", F.explode(entries).alias("e")).select("fold", "e.*")
 
 
-@query("cv_summary", f"with {TRIALS} select trial, round(mean_metric, 6) as mean_metric, round(std_metric, 6) as std_metric from trials")
+@query("cv_summary", f"with {TRIALS} select trial, settle(mean_metric, 6) as mean_metric, settle(std_metric, 6) as std_metric from trials")
 def cv_summary(d: Data):
     return rounded(trees.cv_summary(trial_folds(d)), {"mean_metric": 6, "std_metric": 6})
 
 
 @query("trial_log", f"""with {TRIALS}
-  select trial, concat('cutoff=', cast(8 + 2 * trial as varchar)) as params, round(mean_metric, 6) as mean_metric, round(std_metric, 6) as std_metric from trials""")
+  select trial, concat('cutoff=', cast(8 + 2 * trial as varchar)) as params, settle(mean_metric, 6) as mean_metric, settle(std_metric, 6) as std_metric from trials""")
 def trial_log(d: Data):
     log = trees.cv_summary(trial_folds(d)).withColumn("params", F.concat(F.lit("cutoff="), (8 + 2 * F.col("trial")).cast("string")))
     return rounded(log, {"mean_metric": 6, "std_metric": 6})
 
 
 @query("top_trials", f"""with {TRIALS}
-  select trial, round(mean_metric, 6) as mean_metric from trials order by mean_metric desc, trial limit 10""")
+  select trial, settle(mean_metric, 6) as mean_metric from trials order by mean_metric desc, trial limit 10""")
 def top_trials(d: Data):
     best = trees.top_trials(trees.cv_summary(trial_folds(d)), "mean_metric", 10)
     return rounded(best.select("trial", "mean_metric"), {"mean_metric": 6})
 
 
 @query("best_trial", f"""with {TRIALS}
-  select trial, round(mean_metric, 6) as mean_metric, round(std_metric, 6) as std_metric from trials order by mean_metric desc, trial limit 1""")
+  select trial, settle(mean_metric, 6) as mean_metric, settle(std_metric, 6) as std_metric from trials order by mean_metric desc, trial limit 1""")
 def best_trial(d: Data):
     return rounded(trees.best_trial(trees.cv_summary(trial_folds(d)), "mean_metric"), {"mean_metric": 6, "std_metric": 6})

@@ -9,8 +9,7 @@ from cardwatch.functions.timeparts import windows
 from cardwatch.operators import alerts as al
 from cardwatch.operators import monitor as mon
 from cardwatch.plans.data import AS_OF, CATEGORICAL, NUMERIC, SLICES, Data
-from cardwatch.plans.features import rounded
-from cardwatch.plans.registry import query
+from cardwatch.plans.registry import query, rounded
 
 TS = "transaction_timestamp"
 LOOKBACK = 3
@@ -119,14 +118,15 @@ DIGITS = {"ks_statistic": 6, "ks_pvalue": 6, "chi2_statistic": 4, "chi2_pvalue":
 
 
 def _r(*names: str) -> str:
-    return ", ".join(f"round({n}, {DIGITS[n]}) as {n}" for n in names)
+    return ", ".join(f"settle({n}, {DIGITS[n]}) as {n}" for n in names)
 
 
 # --- Spark side --------------------------------------------------------------------------
 
 
-def drift_table(d: Data, numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> DataFrame:
-    return mon.drift_metrics(d.monitored(d.base), d.monitored(d.drifted), TS, numeric, categorical, slices=tuple(SLICES))
+def drift_table(d: Data, *stats: str, numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> DataFrame:
+    return mon.drift_metrics(
+        d.monitored(d.base), d.monitored(d.drifted), TS, numeric, categorical, slices=tuple(SLICES), stats=stats or mon.STATS)
 
 
 def flat(drift: DataFrame, *names: str) -> DataFrame:
@@ -145,27 +145,27 @@ HEAD = f"{WIN}, column_name, {SLICE_OUT}"
 
 @query("drift_ks", f"with {M}, {_num()} select {HEAD}, {_r('ks_statistic', 'ks_pvalue')} from num", VIEWS)
 def drift_ks(d: Data):
-    return flat(drift_table(d, categorical=[]), "ks_statistic", "ks_pvalue")
+    return flat(drift_table(d, "ks", categorical=[]), "ks_statistic", "ks_pvalue")
 
 
 @query("drift_wasserstein", f"with {M}, {_num()} select {HEAD}, {_r('wasserstein_distance')} from num", VIEWS)
 def drift_wasserstein(d: Data):
-    return flat(drift_table(d, categorical=[]), "wasserstein_distance")
+    return flat(drift_table(d, "wasserstein", categorical=[]), "wasserstein_distance")
 
 
 @query("drift_chi2", f"with {M}, {_cat()} select {HEAD}, {_r('chi2_statistic', 'chi2_pvalue')} from cat", VIEWS)
 def drift_chi2(d: Data):
-    return flat(drift_table(d, numeric=[]), "chi2_statistic", "chi2_pvalue")
+    return flat(drift_table(d, "chi2", numeric=[]), "chi2_statistic", "chi2_pvalue")
 
 
 @query("drift_psi", f"with {M}, {_num()}, {_cat()}, {FLAT} select {HEAD}, {_r('population_stability_index')} from flat", VIEWS)
 def drift_psi(d: Data):
-    return flat(drift_table(d), "population_stability_index")
+    return flat(drift_table(d, "psi"), "population_stability_index")
 
 
 @query("drift_avg_delta", f"with {M}, {_num()} select {HEAD}, {_r('avg_delta')} from num", VIEWS)
 def drift_avg_delta(d: Data):
-    return flat(drift_table(d, categorical=[]), "avg_delta")
+    return flat(drift_table(d, "avg_delta", categorical=[]), "avg_delta")
 
 
 @query("drift_metrics", f"""with {M}, {_num()}, {_cat()}, {FLAT}
@@ -204,7 +204,7 @@ def tumbling_windows(d: Data):
 @query("slice_grouping", f"""
   with s as (select date_trunc('day', {TS}) as window_start, home_country, home_state, transaction_amount, is_fraud from txn)
   select window_start, case when home_country is not null then 'home_country' when home_state is not null then 'home_state' end as slice_key,
-         coalesce(home_country, home_state) as slice_value, n, frauds, round(amount, 2) as amount
+         coalesce(home_country, home_state) as slice_value, n, frauds, settle(amount, 2) as amount
   from (select window_start, home_country, home_state, count(*) as n, count(*) filter (is_fraud) as frauds, sum(transaction_amount) as amount
         from s group by grouping sets ((window_start), (window_start, home_country), (window_start, home_state)))""")
 def slice_grouping(d: Data):
@@ -221,8 +221,8 @@ _spread_log = SPREAD.format(cols="l.*", source="log l")
 @query("monitor_profile", f"""
   with spread as ({_spread_log}),
   long as ({' union all '.join(f"select model_version, {WIN}, slice_key, slice_value, '{c}' as column_name, cast({c} as double) as v from spread" for c in PROFILE_COLS)})
-  select model_version, {WIN}, slice_key, slice_value, column_name, count(v) as "count", count(*) - count(v) as num_nulls, round(avg(v), 8) as "avg",
-         min(v) as "min", max(v) as "max", round(stddev_samp(v), 6) as stddev, count(distinct v) as distinct_count from long group by all""", ("log",))
+  select model_version, {WIN}, slice_key, slice_value, column_name, count(v) as "count", count(*) - count(v) as num_nulls, settle(avg(v), 8) as "avg",
+         min(v) as "min", max(v) as "max", settle(stddev_samp(v), 6) as stddev, count(distinct v) as distinct_count from long group by all""", ("log",))
 def monitor_profile(d: Data):
     return rounded(mon.profile(d.log, TS, PROFILE_COLS, SLICES), {"avg": 8, "stddev": 6})
 
@@ -244,7 +244,7 @@ QCOLS = ["accuracy_score", "precision_weighted", "recall_weighted", "f1_weighted
 
 
 @query("monitor_quality", f"""with {QUALITY}
-  select model_version, {WIN}, slice_key, slice_value, 'INPUT' as log_type, n as "count", {', '.join(f'round({c}, 6) as {c}' for c in QCOLS)} from quality""", ("log",))
+  select model_version, {WIN}, slice_key, slice_value, 'INPUT' as log_type, n as "count", {', '.join(f'settle({c}, 6) as {c}' for c in QCOLS)} from quality""", ("log",))
 def monitor_quality(d: Data):
     table = mon.quality(d.log, TS, "is_fraud", "prediction", SLICES)
     rows = table.select(
@@ -262,7 +262,7 @@ def monitor_quality(d: Data):
   bg as (select column_name, slice_key, slice_value, count(v) as baseline_count, avg(v) as baseline_avg from b group by all),
   c as ({SPREAD.format(cols='transaction_amount', source='drifted')}),
   cg as (select {WIN}, slice_key, slice_value, count(transaction_amount) as "count", avg(transaction_amount) as "avg" from c group by all)
-  select {WIN}, cg.slice_key, cg.slice_value, 'transaction_amount' as column_name, cg."count", round(cg."avg", 9) as "avg", round(baseline_avg, 9) as baseline_avg, baseline_count
+  select {WIN}, cg.slice_key, cg.slice_value, 'transaction_amount' as column_name, cg."count", settle(cg."avg", 9) as "avg", settle(baseline_avg, 9) as baseline_avg, baseline_count
   from cg left join bg on cg.slice_key is not distinct from bg.slice_key and cg.slice_value is not distinct from bg.slice_value""", VIEWS)
 def baseline_align(d: Data):
     cur = mon.profile(d.drifted, TS, ["transaction_amount"], SLICES, by=())
@@ -278,7 +278,7 @@ def baseline_align(d: Data):
 SINCE = f"window_start >= date '{AS_OF}' - interval {LOOKBACK} day"
 FEATURE_ALERT = f"""
   select window_start, window_end, column_name, granularity, {_r('ks_statistic', 'ks_pvalue', 'chi2_statistic', 'chi2_pvalue', 'wasserstein_distance')},
-         round(population_stability_index, 6) as psi from flat
+         settle(population_stability_index, 6) as psi from flat
   where sk = '' and column_name not in ('prediction', ':table') and {SINCE} and (ks_pvalue < 0.05 or chi2_pvalue < 0.05)"""
 
 
@@ -292,19 +292,19 @@ def alert_feature_drift(d: Data):
 
 
 @query("sort_coalesce", f"""with {M}, {_num()}, {_cat()}, {FLAT}
-  select column_name, granularity, window_start, round(coalesce(ks_pvalue, chi2_pvalue), 6) as pvalue from flat where sk = '' and n_cur > 1
+  select column_name, granularity, window_start, settle(coalesce(ks_pvalue, chi2_pvalue), 6) as pvalue from flat where sk = '' and n_cur > 1
   order by coalesce(ks_pvalue, chi2_pvalue), granularity, window_start, column_name""", VIEWS)
 def sort_coalesce(d: Data):
-    rows = flat(drift_table(d), "ks_pvalue", "chi2_pvalue").filter(F.col("slice_key").isNull())
+    rows = flat(drift_table(d, "ks", "chi2"), "ks_pvalue", "chi2_pvalue").filter(F.col("slice_key").isNull())
     rows = rows.select("column_name", "granularity", "window_start", F.coalesce("ks_pvalue", "chi2_pvalue").alias("pvalue"))
     return rows.orderBy(F.col("pvalue").asc_nulls_last(), "granularity", "window_start", "column_name")
 
 
 @query("limit_one", f"""with {M}, {_cat()}
-  select column_name, granularity, window_start, round(chi2_statistic, 4) as chi2_statistic from cat where sk = ''
+  select column_name, granularity, window_start, settle(chi2_statistic, 4) as chi2_statistic from cat where sk = ''
   order by chi2_statistic desc nulls last, granularity, window_start, column_name limit 1""", VIEWS)
 def limit_one(d: Data):
-    rows = flat(drift_table(d, numeric=[]), "chi2_statistic").filter(F.col("slice_key").isNull())
+    rows = flat(drift_table(d, "chi2", numeric=[]), "chi2_statistic").filter(F.col("slice_key").isNull())
     order = [F.col("chi2_statistic").desc_nulls_last(), "granularity", "window_start", "column_name"]
     return rows.select("column_name", "granularity", "window_start", "chi2_statistic").orderBy(*order).limit(1)
 
@@ -317,8 +317,8 @@ def failing_log(d: Data) -> DataFrame:
 
 QUALITY_BAD = QUALITY.replace("from log l", "from (select * replace (case when merchant_category in ('click', 'view', 'error') then 1 - prediction else prediction end as prediction) from log) l")
 QUALITY_ALERT = f"""
-  select window_start, window_end, granularity, model_version, round(accuracy_score, 6) as accuracy_score, round(precision_weighted, 6) as precision_weighted,
-         round(recall_weighted, 6) as recall_weighted, round(f1_weighted, 6) as f1_weighted from quality
+  select window_start, window_end, granularity, model_version, settle(accuracy_score, 6) as accuracy_score, settle(precision_weighted, 6) as precision_weighted,
+         settle(recall_weighted, 6) as recall_weighted, settle(f1_weighted, 6) as f1_weighted from quality
   where slice_key is null and {SINCE} and (recall_weighted < 0.40 or precision_weighted < 0.50 or f1_weighted < 0.45)"""
 
 
@@ -332,14 +332,14 @@ def alert_model_quality(d: Data):
 
 
 PSI_ALERT = f"""
-  select window_start, window_end, granularity, round(population_stability_index, 6) as psi, {_r('wasserstein_distance')},
-         round(avg_delta, 6) as prediction_mean_delta from flat
+  select window_start, window_end, granularity, settle(population_stability_index, 6) as psi, {_r('wasserstein_distance')},
+         settle(avg_delta, 6) as prediction_mean_delta from flat
   where sk = '' and column_name = 'prediction' and {SINCE} and population_stability_index > 0.2"""
 
 
 @query("alert_prediction_psi", f"with {M}, {_num()}, {_cat()}, {FLAT} {PSI_ALERT}", VIEWS)
 def alert_prediction_psi(d: Data):
-    return rounded(al.alert_prediction_psi(drift_table(d), AS_OF, LOOKBACK), DIGITS)
+    return rounded(al.alert_prediction_psi(drift_table(d, "psi", "wasserstein", "avg_delta", numeric=["prediction"], categorical=[]), AS_OF, LOOKBACK), DIGITS)
 
 
 @query("alert_evaluate", f"""with {M}, {_num()}, {_cat()}, {FLAT}, {QUALITY_BAD},

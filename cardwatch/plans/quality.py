@@ -8,8 +8,7 @@ from cardwatch.functions.columns import clip, noise
 from cardwatch.operators import classification as cl
 from cardwatch.operators import relational as rel
 from cardwatch.plans.data import CHALLENGER, CHAMPION, Data
-from cardwatch.plans.features import rounded
-from cardwatch.plans.registry import query
+from cardwatch.plans.registry import query, rounded
 
 BY = ["model_version"]
 
@@ -55,42 +54,42 @@ def confusion_matrix(d: Data):
 
 
 @query("binary_metrics", f"""
-  select model_version, tp, fp, fn, tn, round("precision", 6) as "precision", round(recall, 6) as recall, round(f1_score, 6) as f1_score,
-         round(accuracy, 6) as accuracy from ({BINARY})""", ("log",))
+  select model_version, tp, fp, fn, tn, settle("precision", 6) as "precision", settle(recall, 6) as recall, settle(f1_score, 6) as f1_score,
+         settle(accuracy, 6) as accuracy from ({BINARY})""", ("log",))
 def binary_metrics(d: Data):
     return rounded(cl.binary_metrics(d.log, "is_fraud", "prediction", BY), dict.fromkeys(("precision", "recall", "f1_score", "accuracy"), 6))
 
 
 @query("class_report", f"""
   with c as ({CLASSES}), b as ({BINARY})
-  select model_version, "row", round("precision", 6) as "precision", round(recall, 6) as recall, round(f1_score, 6) as f1_score, support from c
-  union all select model_version, 'accuracy', round(accuracy, 6), round(accuracy, 6), round(accuracy, 6), tp + fp + fn + tn from b
-  union all select model_version, 'macro avg', round(avg("precision"), 6), round(avg(recall), 6), round(avg(f1_score), 6), cast(sum(support) as bigint) from c group by 1
-  union all select model_version, 'weighted avg', round(sum("precision" * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-                   round(sum(f1_score * support) / sum(support), 6), cast(sum(support) as bigint) from c group by 1""", ("log",))
+  select model_version, "row", settle("precision", 6) as "precision", settle(recall, 6) as recall, settle(f1_score, 6) as f1_score, support from c
+  union all select model_version, 'accuracy', settle(accuracy, 6), settle(accuracy, 6), settle(accuracy, 6), tp + fp + fn + tn from b
+  union all select model_version, 'macro avg', settle(avg("precision"), 6), settle(avg(recall), 6), settle(avg(f1_score), 6), cast(sum(support) as bigint) from c group by 1
+  union all select model_version, 'weighted avg', settle(sum("precision" * support) / sum(support), 6), settle(sum(recall * support) / sum(support), 6),
+                   settle(sum(f1_score * support) / sum(support), 6), cast(sum(support) as bigint) from c group by 1""", ("log",))
 def class_report(d: Data):
     return rounded(cl.class_report(d.log, "is_fraud", "prediction", BY), dict.fromkeys(("precision", "recall", "f1_score"), 6))
 
 
-@query("accuracy", "select model_version, round(avg(cast(is_fraud = prediction as int)), 6) as accuracy from log group by 1", ("log",))
+@query("accuracy", "select model_version, settle(avg(cast(is_fraud = prediction as int)), 6) as accuracy from log group by 1", ("log",))
 def accuracy(d: Data):
     return rounded(cl.accuracy(d.log, "is_fraud", "prediction", BY), {"accuracy": 6})
 
 
 @query("roc_auc", f"""{SLOG_VIEW}, cum as ({CUM})
-  select model_version, round(sum(neg * (tp - pos / 2e0)) / (sum(pos) * sum(neg)), 6) as roc_auc from cum group by 1""", ("log",))
+  select model_version, settle(sum(neg * (tp - pos / 2e0)) / (sum(pos) * sum(neg)), 6) as roc_auc from cum group by 1""", ("log",))
 def roc_auc(d: Data):
     return rounded(cl.roc_auc(scored(d), "is_fraud", "score", BY), {"roc_auc": 6})
 
 
 @query("roc_curve", f"""{SLOG_VIEW}, cum as ({CUM})
-  select model_version, threshold, round(fp / all_neg, 6) as fpr, round(tp / all_pos, 6) as tpr from cum""", ("log",))
+  select model_version, threshold, settle(fp / all_neg, 6) as fpr, settle(tp / all_pos, 6) as tpr from cum""", ("log",))
 def roc_curve(d: Data):
     return rounded(cl.roc_curve(scored(d), "is_fraud", "score", BY), {"fpr": 6, "tpr": 6})
 
 
 @query("pr_curve", f"""{SLOG_VIEW}, cum as ({CUM})
-  select model_version, threshold, round(tp / (tp + fp), 6) as "precision", round(tp / all_pos, 6) as recall from cum""", ("log",))
+  select model_version, threshold, settle(tp / (tp + fp), 6) as "precision", settle(tp / all_pos, 6) as recall from cum""", ("log",))
 def pr_curve(d: Data):
     return rounded(cl.pr_curve(scored(d), "is_fraud", "score", BY), {"precision": 6, "recall": 6})
 
@@ -103,14 +102,14 @@ def pr_curve(d: Data):
   b as (select r.model_version, r.n, r.pos, r.size, r.all_pos,
                (select count(*) from e where e.model_version = r.model_version and e.edge < r.score) as bin from r)
   select model_version, cast(bin as int) as bin, cast(sum(n) as bigint) as n, cast(sum(pos) as bigint) as positives,
-         round((sum(pos) / sum(n)) / (max(all_pos) / max(size)), 6) as lift from b group by 1, 2""", ("log",))
+         settle((sum(pos) / sum(n)) / (max(all_pos) / max(size)), 6) as lift from b group by 1, 2""", ("log",))
 def lift_chart(d: Data):
     return rounded(cl.lift_chart(scored(d), "is_fraud", "score", BY), {"lift": 6})
 
 
 @query("log_loss", f"""{SLOG_VIEW},
   p as (select model_version, is_fraud, greatest(1e-15, least(1 - 1e-15, score)) as p from slog)
-  select model_version, round(avg(case when is_fraud = 1 then -ln(p) else -ln(1 - p) end), 6) as log_loss from p group by 1""", ("log",))
+  select model_version, settle(avg(case when is_fraud = 1 then -ln(p) else -ln(1 - p) end), 6) as log_loss from p group by 1""", ("log",))
 def log_loss(d: Data):
     return rounded(cl.log_loss(scored(d), "is_fraud", "score", BY), {"log_loss": 6})
 

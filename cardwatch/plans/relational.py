@@ -14,7 +14,7 @@ from cardwatch.functions.timeparts import apply_functions, register_time_functio
 from cardwatch.operators import features as ft
 from cardwatch.operators import relational as rel
 from cardwatch.plans.data import AS_OF, CHAMPION, Data
-from cardwatch.plans.registry import query
+from cardwatch.plans.registry import query, settle
 from cardwatch.sources import tables as src
 
 # --- scans -------------------------------------------------------------------------------
@@ -95,14 +95,14 @@ def struct_pack(d: Data):
 @query("struct_access", """
   select date_trunc('day', transaction_timestamp) as window_start,
          date_trunc('day', transaction_timestamp) + interval 1 day as window_end,
-         round(avg(transaction_amount), 6) as avg_amount, max(transaction_amount) as max_amount
+         settle(avg(transaction_amount), 6) as avg_amount, max(transaction_amount) as max_amount
   from txn group by 1, 2""")
 def struct_access(d: Data):
     nested = d.txn.groupBy(F.window("transaction_timestamp", "1 day").alias("window")).agg(
         F.struct(F.avg("transaction_amount").alias("avg"), F.max("transaction_amount").alias("max")).alias("amount"))
     return nested.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        F.round("amount.avg", 6).alias("avg_amount"), F.col("amount.max").alias("max_amount"))
+        settle("amount.avg", 6).alias("avg_amount"), F.col("amount.max").alias("max_amount"))
 
 
 @query("filter_equals", f"select transaction_id, prediction from log where model_version = '{CHAMPION}'", ("log",))
@@ -206,12 +206,12 @@ def amount_by_label(d: Data):
 
 
 @query("amount_quantiles", """
-  select is_fraud, round(quantile_cont(transaction_amount, 0.25), 6) as q25,
-         round(quantile_cont(transaction_amount, 0.5), 6) as q50,
-         round(quantile_cont(transaction_amount, 0.99), 6) as q99 from txn group by 1""")
+  select is_fraud, settle(quantile_cont(transaction_amount, 0.25), 6) as q25,
+         settle(quantile_cont(transaction_amount, 0.5), 6) as q50,
+         settle(quantile_cont(transaction_amount, 0.99), 6) as q99 from txn group by 1""")
 def amount_quantiles(d: Data):
     found = rel.amount_quantiles(d.txn, "transaction_amount", "is_fraud", {"q25": 0.25, "q50": 0.5, "q99": 0.99})
-    return found.select("is_fraud", *[F.round(c, 6).alias(c) for c in ("q25", "q50", "q99")])
+    return found.select("is_fraud", *[settle(c, 6).alias(c) for c in ("q25", "q50", "q99")])
 
 
 CORR = {
@@ -224,7 +224,7 @@ CORR = {
 def _corr_sql() -> str:
     cells = []
     for a, b in combinations_with_replacement(CORR, 2):
-        r = "1e0" if a == b else f"round(corr({CORR[a]}, {CORR[b]}), 6)"
+        r = "1e0" if a == b else f"settle(corr({CORR[a]}, {CORR[b]}), 6)"
         cells.append((a, b, r))
         if a != b:
             cells.append((b, a, r))
@@ -235,7 +235,7 @@ def _corr_sql() -> str:
 @query("correlation_matrix", _corr_sql())
 def correlation_matrix(d: Data):
     rows = with_time_features(d.txn, "transaction_timestamp").select(*[F.col(c).cast("double").alias(c) for c in CORR])
-    return rel.correlation(rows, list(CORR)).withColumn("r", F.round("r", 6))
+    return rel.correlation(rows, list(CORR)).withColumn("r", settle("r", 6))
 
 
 @query("model_row_counts", "select model_version, count(*) as n from log group by rollup(model_version)", ("log",))
@@ -249,18 +249,18 @@ def distinct_keys(d: Data):
 
 
 @query("column_means", """
-  select 'l_quantity' as column_name, round(avg(l_quantity), 6) as mean from lineitem
-  union all select 'l_discount', round(avg(l_discount), 6) from lineitem
-  union all select 'l_tax', round(avg(l_tax), 6) from lineitem""", ())
+  select 'l_quantity' as column_name, settle(avg(l_quantity), 6) as mean from lineitem
+  union all select 'l_discount', settle(avg(l_discount), 6) from lineitem
+  union all select 'l_tax', settle(avg(l_tax), 6) from lineitem""", ())
 def column_means(d: Data):
-    return rel.means(d.table("lineitem"), ["l_quantity", "l_discount", "l_tax"]).withColumn("mean", F.round("mean", 6))
+    return rel.means(d.table("lineitem"), ["l_quantity", "l_discount", "l_tax"]).withColumn("mean", settle("mean", 6))
 
 
 @query("fraud_rate", """
-  select round(avg(cast(is_fraud as int)), 6) as rate, round(avg(cast(is_fraud as int)) * 100, 4) as rate_pct from txn""")
+  select settle(avg(cast(is_fraud as int)), 6) as rate, settle(avg(cast(is_fraud as int)) * 100, 4) as rate_pct from txn""")
 def fraud_rate(d: Data):
     rate = F.avg(F.col("is_fraud").cast("double"))
-    return d.txn.agg(F.round(rate, 6).alias("rate"), F.round(rate * 100, 4).alias("rate_pct"))
+    return d.txn.agg(settle(rate, 6).alias("rate"), settle(rate * 100, 4).alias("rate_pct"))
 
 
 # --- sorts, limits, set operations -------------------------------------------------------
@@ -331,12 +331,12 @@ def number_or_null(d: Data):
 
 
 @query("round_digits", """
-  select l_orderkey, l_linenumber, round(l_extendedprice * l_discount / 7e0, 1) as r1, round(l_extendedprice / 7e0, 2) as r2,
+  select l_orderkey, l_linenumber, round(l_extendedprice / 13e0, 1) as r1, round(l_extendedprice / 7e0, 2) as r2,
          round(l_extendedprice / 7e0, 3) as r3, round(l_extendedprice / 7e0, 4) as r4 from lineitem""", ())
 def round_digits(d: Data):
     seventh = F.col("l_extendedprice") / 7.0
     return d.table("lineitem").select(
-        "l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * F.col("l_discount") / 7.0, 1).alias("r1"),
+        "l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") / 13.0, 1).alias("r1"),
         F.round(seventh, 2).alias("r2"), F.round(seventh, 3).alias("r3"), F.round(seventh, 4).alias("r4"))
 
 
@@ -349,9 +349,9 @@ def clip_range(d: Data):
 
 @query("percent_change", """
   select l_orderkey, l_linenumber, case when l_discount = 0 then null
-         else round((l_tax - l_discount) * 100e0 / l_discount, 6) end as change_pct from lineitem""", ())
+         else settle((l_tax - l_discount) * 100e0 / l_discount, 6) end as change_pct from lineitem""", ())
 def percent_change(d: Data):
-    change = F.round(pct_change(F.col("l_tax"), F.col("l_discount")), 6)
+    change = settle(pct_change(F.col("l_tax"), F.col("l_discount")), 6)
     return d.table("lineitem").select("l_orderkey", "l_linenumber", change.alias("change_pct"))
 
 
@@ -410,13 +410,13 @@ def clean_alert_name(d: Data):
 
 
 @query("random_noise", """
-  select transaction_id, round(u, 9) as uniform, round((u - 0.5e0) * 0.16e0, 9) as noise
+  select transaction_id, settle(u, 9) as uniform, settle((u - 0.5e0) * 0.16e0, 9) as noise
   from (select transaction_id,
                cast('0x' || substr(md5(concat(transaction_id, ':77')), 1, 8) as bigint) / 4294967296e0 as u from txn)""")
 def random_noise(d: Data):
     key = F.col("transaction_id")
     return d.txn.select(
-        "transaction_id", F.round(uniform(key, 77), 9).alias("uniform"), F.round(noise(key, 0.16, 77), 9).alias("noise"))
+        "transaction_id", settle(uniform(key, 77), 9).alias("uniform"), settle(noise(key, 0.16, 77), 9).alias("noise"))
 
 
 # --- named functions ---------------------------------------------------------------------

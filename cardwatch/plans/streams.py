@@ -8,8 +8,8 @@ from cardwatch.functions.timeparts import windows, with_time_features
 from cardwatch.operators import classification as cl
 from cardwatch.operators.features import rule_points
 from cardwatch.plans.data import CUT, Data, model_log
-from cardwatch.plans.features import CARD_COLS, ROUND, _cards_sql, rounded
-from cardwatch.plans.registry import query
+from cardwatch.plans.features import CARD_COLS, ROUND, _cards_sql
+from cardwatch.plans.registry import query, rounded
 from cardwatch.schemas import EVENTS
 from cardwatch.session import fresh_path
 from cardwatch.streaming import jobs

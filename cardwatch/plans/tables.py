@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from cardwatch.functions.columns import padded_id
 from cardwatch.plans.data import CHALLENGER, CHAMPION, Data
-from cardwatch.plans.features import ALL_CARD_COLS, ROUND, _cards_sql, rounded
-from cardwatch.plans.registry import query
+from cardwatch.plans.features import ALL_CARD_COLS, ROUND, _cards_sql
+from cardwatch.plans.registry import query, rounded, settle
 from cardwatch.schemas import EVENTS, REQUEST
 from cardwatch.session import fresh_path
 from cardwatch.sources import payload as pay
@@ -53,10 +53,10 @@ def write_merge_schema(d: Data):
     return src.read_merged(d.spark, path)
 
 
-@query("write_replace_schema", "select event_id, round(value * 100e0, 4) as cents from events", ())
+@query("write_replace_schema", "select event_id, settle(value * 100e0, 4) as cents from events", ())
 def write_replace_schema(d: Data):
     src.replace_schema(rows(d), "versioned")
-    path = src.replace_schema(rows(d).select("event_id", F.round(F.col("value") * 100, 4).alias("cents")), "versioned")
+    path = src.replace_schema(rows(d).select("event_id", settle(F.col("value") * 100, 4).alias("cents")), "versioned")
     return d.spark.read.parquet(path)
 
 
@@ -209,7 +209,7 @@ def payload_log(d: Data):
 
 @query("usage_tracking", """
   select cast(ts as date) as usage_date, concat('fraud-', event_type) as endpoint, concat('team-', cast(user_id % 5 as varchar)) as requester,
-         count(*) as requests, round(avg(value), 8) as avg_latency, round(quantile_cont(value, 0.95), 6) as p95_latency
+         count(*) as requests, settle(avg(value), 8) as avg_latency, settle(quantile_cont(value, 0.95), 6) as p95_latency
   from events group by 1, 2, 3""", ())
 def usage_tracking(d: Data):
     log = d.events.select(
