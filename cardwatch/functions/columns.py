@@ -81,7 +81,7 @@ def any_below(limits: dict[str, float]) -> Column:
     return reduce(or_, [F.col(path) < F.lit(limit) for path, limit in limits.items()])
 
 
-def value_bucket(value: Column, bits: int = 12) -> Column:
+def value_bucket(value: Column, bits: int = 10) -> Column:
     """Bucket number that never decreases as the value grows.
 
     Sign, binary exponent and the first ``bits`` mantissa bits of a double. It needs no

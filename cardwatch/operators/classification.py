@@ -110,10 +110,12 @@ def score_table(df: DataFrame, label: str, score: str, by: list[str]) -> DataFra
 
 
 def cumulative(table: DataFrame, by: list[str]) -> DataFrame:
-    """True and false positives at or above each threshold."""
+    """True and false positives at or above each threshold, with the class totals."""
+    pos, neg = F.col("pos"), F.col("neg")
     return running(
         table, by, ["threshold"], value_bucket(F.col("threshold")),
-        {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, descending=True,
+        {"tp": ("sum", pos), "fp": ("sum", neg), "all_pos": ("total", pos), "all_neg": ("total", neg)},
+        descending=True,
     )
 
 
@@ -125,22 +127,16 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     return cum.groupBy(*by).agg(F.when(pairs > 0, won / pairs).alias("roc_auc"))
 
 
-def _curve(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    table = score_table(df, label, score, by)
-    totals = table.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return cumulative(table, by).join(totals, by)
-
-
 def roc_curve(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, a distributed table."""
-    return _curve(df, label, score, by).select(
+    return cumulative(score_table(df, label, score, by), by).select(
         *by, "threshold", safe_div(F.col("fp"), F.col("all_neg")).alias("fpr"),
         safe_div(F.col("tp"), F.col("all_pos")).alias("tpr"))
 
 
 def pr_curve(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """(threshold, precision, recall) at every distinct score."""
-    return _curve(df, label, score, by).select(
+    return cumulative(score_table(df, label, score, by), by).select(
         *by, "threshold", safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         safe_div(F.col("tp"), F.col("all_pos")).alias("recall"))
 

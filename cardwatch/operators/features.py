@@ -294,10 +294,9 @@ def split(df: DataFrame, key: str, label: str, share: float = 0.2, seed: int = 4
     """
     if not exact:
         return df.withColumn("is_test", uniform(F.col(key), seed) < F.lit(share))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     ranked = rank_by_hash(df, [label], key, seed)
-    return ranked.join(sizes, label).select(
-        *df.columns, (F.col("hash_rank") <= F.round(F.col("_n") * F.lit(share))).alias("is_test"))
+    return ranked.select(
+        *df.columns, (F.col("hash_rank") <= F.round(F.col("group_size") * F.lit(share))).alias("is_test"))
 
 
 def folds(df: DataFrame, key: str, label: str, n: int = 3, seed: int = 42) -> DataFrame:

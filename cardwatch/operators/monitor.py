@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from cardwatch.functions.columns import value_bucket
 from cardwatch.functions.timeparts import spans
 from cardwatch.operators.classification import averages, cells, class_rows
-from cardwatch.operators.ordered import bin_of, quantile_edges, running
+from cardwatch.operators.ordered import bin_of, bucket_bits, running
 from cardwatch.session import materialize
 
 WINDOW = ["granularity", "window_start", "window_end"]
@@ -220,54 +220,6 @@ def chi2_pvalue(statistic: pd.Series, df: pd.Series) -> pd.Series:
     return out.astype(object).where(out.notna(), None)
 
 
-def _distances(base: DataFrame, seen: DataFrame, sizes: DataFrame, keys: list[str], extra: list[str], area: bool) -> DataFrame:
-    """KS and, with ``area``, Wasserstein-1 per group.
-
-    With F the step functions, sup|Fb - Fc| is met at or just below a current value, and the
-    integral of Fb up to x is G(x) = (x C(x) - S(x)) / Nb. Between two current values Fc is a
-    constant a, so the distance there needs G at both ends and at the baseline quantile of a,
-    which a pass ordered by cumulative share finds.
-    """
-    group = keys + extra
-    nb, v = F.col("n_base"), F.col("value")
-    here = F.struct(F.col("value").alias("v"), F.col("c_le").alias("c"), F.col("s_le").alias("s"))
-    points = seen.filter(~F.col("is_base")).join(sizes, group).select(
-        *group, "value", "n", "cum", "n_cur", "n_base", "mean_base", "c_le", "s_le", "c_lt",
-        (F.col("cum") / F.col("n_cur")).alias("share"), here.alias("here"))
-    gap = F.greatest(
-        F.abs(F.col("share") - F.col("c_le") / nb),
-        F.abs((F.col("cum") - F.col("n")) / F.col("n_cur") - F.col("c_lt") / nb),
-    )
-    if not area:
-        return points.groupBy(*group).agg(F.max(gap).alias("ks_statistic"))
-
-    points = running(
-        points, group, ["value"], value_bucket(v), {"next": ("min", F.col("here"))}, descending=True, strict=True)
-    knots = seen.filter("is_base").join(base, keys).select(
-        *keys, (F.col("c_le") / nb).alias("share"), here.alias("knot"))
-    ranked = running(
-        points.unionByName(knots, allowMissingColumns=True), keys, ["share"],
-        F.floor(F.col("share") * 4096), {"quantile": ("min", F.col("knot"))}, descending=True,
-    ).filter(F.col("here").isNotNull())
-
-    def mass_below(p: Column) -> Column:
-        return (p["v"] * p["c"] - p["s"]) / nb
-
-    a, start, end, q = F.col("share"), F.col("here"), F.col("next"), F.col("quantile")
-    cut = F.when(q["v"] <= v, start).when(q["v"] >= end["v"], end).otherwise(q)
-    ranked = ranked.withColumn("cut", F.when(end.isNotNull(), cut))
-    x = F.col("cut")
-    inner = (
-        a * (x["v"] - v) - (mass_below(x) - mass_below(start))
-        + (mass_below(end) - mass_below(x)) - a * (end["v"] - x["v"])
-    )
-    tail = (F.col("mean_base") * nb - F.col("s_le") - v * (nb - F.col("c_le"))) / nb
-    head = F.when(F.col("cum") == F.col("n"), mass_below(start)).otherwise(0.0)
-    area_sum = F.sum(head + F.when(end.isNotNull(), inner).otherwise(tail))
-    return ranked.groupBy(*group).agg(
-        F.max(gap).alias("ks_statistic"), F.greatest(F.lit(0.0), area_sum).alias("wasserstein_distance"))
-
-
 def numeric_drift(
     base: DataFrame, cur: DataFrame, keys: list[str], extra: list[str],
     stats: tuple[str, ...] = ("ks", "wasserstein", "psi", "avg_delta"),
@@ -279,57 +231,116 @@ def numeric_drift(
     count C(x) and sum S(x) are looked up at the current values in one ordered pass.
     """
     group = keys + extra
+    stats = set(stats)
     base = base.filter(F.col("value").isNotNull())
-    cur = cur.filter(F.col("value").isNotNull())
-    mass = F.col("n") * F.col("value")
-    base_stats = base.groupBy(*keys).agg(F.sum("n").alias("n_base"), (F.sum(mass) / F.sum("n")).alias("mean_base"))
-    cur_stats = cur.groupBy(*group).agg(F.sum("n").alias("n_cur"), (F.sum(mass) / F.sum("n")).alias("mean_cur"))
-    wide = sizes = cur_stats.join(base_stats, keys)
-    nb = F.col("n_base")
-    enough = (F.col("n_cur") > 1) & (nb > 1)
-    out, edges = [], None
-
-    if {"ks", "wasserstein"} & set(stats):
-        at_value = value_bucket(F.col("value"))
-        cur_cum = running(cur.select(*group, "value", "n"), group, ["value"], at_value, {"cum": ("sum", F.col("n"))})
-        both = cur_cum.withColumns({"is_base": F.lit(False), "b": F.lit(0).cast("bigint"), "bv": F.lit(0.0)}).unionByName(
-            base.select(*keys, "value", F.lit(True).alias("is_base"), F.col("n").alias("b"), mass.alias("bv")),
+    rows = cur.filter(F.col("value").isNotNull())
+    n, value, mass = F.col("n"), F.col("value"), F.col("n") * F.col("value")
+    shapes = bool(stats & {"ks", "wasserstein"})
+    bits = 10
+    if shapes:
+        # Row counts come from the footers of the written value tables.
+        bits = bucket_bits(base.count() + rows.count())
+        at_value = value_bucket(value, bits)
+        cum = materialize(running(rows.select(*group, "value", "n"), group, ["value"], at_value, {
+            "cum": ("sum", n), "size": ("total", n), "next": ("next", value),
+        }), "drift-cum")
+        both = cum.withColumns({"is_base": F.lit(False), "b": F.lit(0).cast("bigint"), "bv": F.lit(0.0)}).unionByName(
+            base.select(*keys, "value", F.lit(True).alias("is_base"), n.alias("b"), mass.alias("bv")),
             allowMissingColumns=True)
+        b, bv = F.col("b"), F.col("bv")
         seen = materialize(running(both, keys, ["value"], at_value, {
-            "c_le": ("sum", F.col("b")), "s_le": ("sum", F.col("bv")),
-            "c_lt": ("sum", F.col("b"), ["value", "is_base"]),
+            "c_le": ("sum", b), "s_le": ("sum", bv), "c_lt": ("sum", b, ["value", "is_base"]),
+            "n_base": ("total", b), "mass_base": ("total", bv),
         }), "drift-seen")
-        wide = wide.join(_distances(base_stats, seen, sizes, keys, extra, "wasserstein" in stats), group)
-        edges = _decile_edges(seen.filter("is_base").join(base_stats, keys), keys)
-        if "ks" in stats:
-            out += [
-                F.when(enough, F.col("ks_statistic")).alias("ks_statistic"),
-                F.when(enough, ks_pvalue(F.col("ks_statistic"), F.col("n_cur").cast("double"), nb.cast("double"))).alias("ks_pvalue"),
-            ]
-        if "wasserstein" in stats:
-            out.append(F.when(enough, F.col("wasserstein_distance")).alias("wasserstein_distance"))
+        knots, rows = seen.filter("is_base"), seen.filter(~F.col("is_base"))
+    elif "psi" in stats:
+        knots = running(base, keys, ["value"], value_bucket(value), {
+            "c_le": ("sum", n), "n_base": ("total", n), "mass_base": ("total", mass)})
+    else:
+        knots = base.groupBy(*keys).agg(F.sum("n").alias("n_base"), F.sum(mass).alias("mass_base"))
+
+    # One small row per baseline group: size, sum and, for PSI, decile edges with bin counts.
+    facts = [F.max("n_base").alias("n_base"), F.max("mass_base").alias("mass_base")]
+    if "psi" in stats:
+        facts += [
+            F.min(F.when(F.col("c_le") * 10 >= F.col("n_base") * i, F.struct(value.alias("v"), F.col("c_le").alias("c")))).alias(f"_e{i}")
+            for i in range(1, 10)
+        ]
+    info = knots.groupBy(*keys).agg(*facts)
+    if "psi" in stats:
+        upto = [F.lit(0).cast("bigint"), *[F.col(f"_e{i}.c") for i in range(1, 10)], F.col("n_base")]
+        info = info.select(
+            *keys, "n_base", "mass_base", F.array(*[F.col(f"_e{i}.v") for i in range(1, 10)]).alias("edges"),
+            F.array(*[F.greatest(upto[i + 1] - upto[i], F.lit(0)) for i in range(10)]).alias("b_bins"))
+
+    rows = rows.drop("n_base", "mass_base").join(info, keys)
+    nb = F.col("n_base")
+    if shapes:
+        rows = rows.withColumns({
+            "share": F.col("cum") / F.col("size"), "share_before": (F.col("cum") - n) / F.col("size"),
+            "base_share": F.col("c_le") / nb, "base_share_before": F.col("c_lt") / nb,
+        }).withColumn("gap", F.greatest(
+            F.abs(F.col("share") - F.col("base_share")), F.abs(F.col("share_before") - F.col("base_share_before"))))
+        rows = _add_area(rows, knots, keys, extra, bits) if "wasserstein" in stats else rows.withColumn("area", F.lit(0.0))
+
+    sums = [F.sum(n).alias("n_cur"), F.sum(mass).alias("mass_cur"), F.max("n_base").alias("n_base"), F.max("mass_base").alias("mass_base")]
+    if shapes:
+        sums += [F.max("gap").alias("gap"), F.greatest(F.lit(0.0), F.sum("area")).alias("area")]
+    if "psi" in stats:
+        at = bin_of(value, F.col("edges"))
+        sums += [F.max("b_bins").alias("b_bins"),
+                 F.array(*[F.sum(F.when(at == i, n).otherwise(0)) for i in range(10)]).alias("c_bins")]
+    found = rows.groupBy(*group).agg(*sums)
 
+    enough = (F.col("n_cur") > 1) & (nb > 1)
+    out = []
+    if "ks" in stats:
+        out += [F.when(enough, F.col("gap")).alias("ks_statistic"),
+                F.when(enough, ks_pvalue(F.col("gap"), F.col("n_cur").cast("double"), nb.cast("double"))).alias("ks_pvalue")]
+    if "wasserstein" in stats:
+        out.append(F.when(enough, F.col("area")).alias("wasserstein_distance"))
     if "psi" in stats:
-        # Ten bins cut at the baseline deciles.
-        edges = quantile_edges(base, keys, "value") if edges is None else edges
-        b_bins = _bin_counts(base.join(edges, keys), keys, "b_bins")
-        c_bins = _bin_counts(cur.join(edges, keys), group, "c_bins")
-        wide = wide.join(c_bins.join(b_bins, keys), group)
         index = F.aggregate(
             F.zip_with("b_bins", "c_bins", lambda b, c: _psi_term(c / F.col("n_cur"), b / nb)), F.lit(0.0), lambda s, t: s + t)
         out.append(F.when(enough, index).alias("population_stability_index"))
-
     if "avg_delta" in stats:
-        out.append((F.col("mean_cur") - F.col("mean_base")).alias("avg_delta"))
-    return wide.select(*group, "n_base", "n_cur", *out)
+        out.append((F.col("mass_cur") / F.col("n_cur") - F.col("mass_base") / nb).alias("avg_delta"))
+    return found.select(*group, "n_base", "n_cur", *out)
 
 
-def _decile_edges(cumulated: DataFrame, keys: list[str], parts: int = 10) -> DataFrame:
-    """quantile_edges from rows that already carry the baseline's cumulative count."""
-    reach = [
-        F.min(F.when(F.col("c_le") * parts >= F.col("n_base") * i, F.col("value"))).alias(f"_e{i}") for i in range(1, parts)
-    ]
-    return cumulated.groupBy(*keys).agg(*reach).select(*keys, F.array(*[f"_e{i}" for i in range(1, parts)]).alias("edges"))
+def _add_area(rows: DataFrame, knots: DataFrame, keys: list[str], extra: list[str], bits: int) -> DataFrame:
+    """Add each row's part of the integral of |Fb - Fc| over the value axis.
+
+    Fc is a constant a between a current value c and the next one, d, while Fb rises. With
+    G(x) = (x C(x) - S(x)) / Nb, the integral of Fb up to x, and t the place in [c, d] where
+    Fb passes a, the part is a (2t - c - d) - 2 G(t) + G(c) + G(d). G(d) is left to the next
+    row, which also sees from the shares below it whether t was its own value. Only where Fb
+    passes a strictly between c and d is t a baseline value; those few rows find it in a pass
+    ordered by cumulative share.
+    """
+    nb, c, d = F.col("n_base"), F.col("value"), F.col("next")
+    a, fb = F.col("share"), F.col("base_share")
+    g = (c * F.col("c_le") - F.col("s_le")) / nb
+    has_next, has_previous = d.isNotNull(), F.col("cum") > F.col("n")
+    at_start = fb >= a
+    right = F.when(~has_next, ((F.col("mass_base") - F.col("s_le")) - c * (nb - F.col("c_le"))) / nb).otherwise(
+        F.when(at_start, a * (c - d) - 2 * g).otherwise(0.0) + g)
+    left = g - F.when(has_previous & (F.col("share_before") > F.col("base_share_before")), 2 * g).otherwise(0.0)
+    rows = rows.withColumn("area", left + right)
+
+    # Rows whose right part depends on where Fb reaches a: at d or before.
+    open_rows = rows.filter(has_next & ~at_start).select(
+        *[k for k in rows.columns if k not in ("area", "gap", "n", "edges", "b_bins")])
+    knot = F.struct(F.col("value").alias("v"), F.col("c_le").alias("c"), F.col("s_le").alias("s"))
+    marks = knots.select(*keys, (F.col("c_le") / nb).alias("share"), knot.alias("knot"))
+    ranked = running(
+        open_rows.withColumn("is_probe", F.lit(True)).unionByName(marks, allowMissingColumns=True), keys, ["share"],
+        F.floor(F.col("share") * 2**bits), {"reach": ("min", F.col("knot"))}, descending=True,
+    ).filter("is_probe")
+    t = F.col("reach")
+    passed = a * (2 * t["v"] - c - d) - 2 * (t["v"] * t["c"] - t["s"]) / nb
+    parts = ranked.withColumn("area", F.when(t["v"] >= d, a * (d - c)).otherwise(passed))
+    return rows.unionByName(parts.select(*keys, *extra, "area"), allowMissingColumns=True)
 
 
 def _psi_term(c: Column, b: Column) -> Column:
@@ -337,12 +348,6 @@ def _psi_term(c: Column, b: Column) -> Column:
     return (c - b) * F.log(c / b)
 
 
-def _bin_counts(df: DataFrame, by: list[str], out: str, parts: int = 10) -> DataFrame:
-    at = bin_of(F.col("value"), F.col("edges"))
-    sums = [F.sum(F.when(at == i, F.col("n")).otherwise(0)) for i in range(parts)]
-    return df.groupBy(*by).agg(F.array(*sums).alias(out))
-
-
 def categorical_drift(base: DataFrame, cur: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
     """Chi-squared homogeneity test and PSI of value tables; NULL is a category of its own.
 

@@ -8,12 +8,14 @@ Results are exact: the bucket only decides where the work is done.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import value_bucket
 
-_AGG = {"sum": F.sum, "min": F.min, "max": F.max}
+_AGG = {"sum": F.sum, "min": F.min, "max": F.max, "next": F.min, "total": F.sum}
 
 
 def running(
@@ -24,46 +26,60 @@ def running(
     aggs: dict[str, tuple],
     *,
     descending: bool = False,
-    strict: bool = False,
 ) -> DataFrame:
     """Add running aggregates of ``by`` groups in the given order.
 
-    ``aggs`` maps an output name to (kind, column) or (kind, column, order override), with
-    kind sum, min or max. Rows equal in the order count as one position, as in a RANGE
-    frame; with ``strict`` the current row and later ones are left out. ``bucket`` must not
-    decrease along the first order column. The ``by`` columns may not hold NULL.
+    ``aggs`` maps an output name to (kind, column) or (kind, column, order override):
+
+    * sum, min, max: over the rows up to this one; rows equal in the order count as one
+      position, as in a RANGE frame;
+    * next: the column's value in the following row (not NULL, one row per position);
+    * total: the sum over the whole group.
+
+    ``bucket`` must not decrease along the first order column. The ``by`` columns may not
+    hold NULL.
     """
     rows = df.withColumn("_bucket", bucket)
     totals = rows.groupBy(*by, "_bucket").agg(
         *[_AGG[kind](col).alias(f"_t_{name}") for name, (kind, col, *_) in aggs.items()]
     )
     step = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    before = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    ordered = whole.orderBy(step)
+
+    def elsewhere(name: str, kind: str) -> Column:
+        total = F.col(f"_t_{name}")
+        if kind == "total":
+            return F.sum(total).over(whole)
+        if kind == "next":
+            return F.lead(total).over(ordered)
+        return _AGG[kind](total).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+
     offsets = totals.select(
-        *by, "_bucket",
-        *[_AGG[kind](f"_t_{name}").over(before).alias(f"_o_{name}") for name, (kind, *_) in aggs.items()],
-    )
+        *by, "_bucket", *[elsewhere(name, kind).alias(f"_o_{name}") for name, (kind, *_) in aggs.items()])
 
     def local(kind: str, col: Column, cols: list[str]) -> Column:
         keys = [F.col(c).desc() if descending else F.col(c).asc() for c in cols]
         frame = Window.partitionBy(*by, "_bucket").orderBy(*keys)
-        frame = (
-            frame.rowsBetween(Window.unboundedPreceding, -1) if strict
-            else frame.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return _AGG[kind](col).over(frame)
+        if kind == "next":
+            return F.lead(col).over(frame)
+        return _AGG[kind](col).over(frame.rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
     rows = rows.select("*", *[
         local(kind, col, override[0] if override else order).alias(f"_l_{name}")
-        for name, (kind, col, *override) in aggs.items()
+        for name, (kind, col, *override) in aggs.items() if kind != "total"
     ])
     joined = rows.join(offsets, [*by, "_bucket"], "left")
 
     def combine(name: str, kind: str) -> Column:
-        here, earlier = F.col(f"_l_{name}"), F.col(f"_o_{name}")
+        here, other = F.col(f"_l_{name}"), F.col(f"_o_{name}")
+        if kind == "total":
+            return other
+        if kind == "next":
+            return F.coalesce(here, other)
         if kind == "sum":
-            return F.coalesce(here + earlier, here, earlier)
-        return F.least(here, earlier) if kind == "min" else F.greatest(here, earlier)
+            return F.coalesce(here + other, here, other)
+        return F.least(here, other) if kind == "min" else F.greatest(here, other)
 
     return joined.select(
         *[F.col(c) for c in df.columns],
@@ -71,12 +87,20 @@ def running(
     )
 
 
-def rank_by_hash(df: DataFrame, by: list[str], key: str, seed: int, out: str = "hash_rank") -> DataFrame:
-    """1-based position of each row in the md5(key:seed) order of its group; keys are unique."""
+def bucket_bits(rows: int, per_bucket: int = 50_000) -> int:
+    """Bits for value_bucket that keep an evenly spread group near ``per_bucket`` rows."""
+    return max(2, min(16, math.ceil(math.log2(max(1.0, rows / per_bucket)))))
+
+
+def rank_by_hash(df: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
+    """Add hash_rank, the 1-based position in the md5(key:seed) order of the group, and
+    group_size; keys are unique."""
     hashed = df.withColumn("_hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
     # 4096 even buckets: a group with a third of all rows is ranked by 4096 tasks.
     bucket = F.substring("_hash", 1, 3)
-    return running(hashed, by, ["_hash"], bucket, {out: ("sum", F.lit(1))}).drop("_hash")
+    one = F.lit(1)
+    return running(
+        hashed, by, ["_hash"], bucket, {"hash_rank": ("sum", one), "group_size": ("total", one)}).drop("_hash")
 
 
 def value_table(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -84,11 +108,13 @@ def value_table(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _cumulated(counts: DataFrame, by: list[str], value: str) -> DataFrame:
+    n = F.col("n")
+    return running(counts, by, [value], value_bucket(F.col(value)), {"_cum": ("sum", n), "_size": ("total", n)})
+
+
 def exact_quantiles(counts: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per group from a value table, one output column per entry."""
-    cum = running(counts, by, [value], value_bucket(F.col(value)), {"_cum": ("sum", F.col("n"))})
-    sizes = counts.groupBy(*by).agg(F.sum("n").alias("_size"))
-    found = cum.join(sizes, by)
     parts = []
     for name, p in probs.items():
         at = (F.col("_size") - 1) * F.lit(float(p))
@@ -98,7 +124,7 @@ def exact_quantiles(counts: DataFrame, by: list[str], value: str, probs: dict[st
             F.min(F.when(F.col("_cum") > F.ceil(at), v)).alias(f"_hi_{name}"),
             F.max(at - F.floor(at)).alias(f"_f_{name}"),
         ]
-    found = found.groupBy(*by).agg(*parts)
+    found = _cumulated(counts, by, value).groupBy(*by).agg(*parts)
     return found.select(*by, *[
         (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * F.col(f"_f_{name}")).alias(name)
         for name in probs
@@ -107,14 +133,12 @@ def exact_quantiles(counts: DataFrame, by: list[str], value: str, probs: dict[st
 
 def quantile_edges(counts: DataFrame, by: list[str], value: str, parts: int = 10, out: str = "edges") -> DataFrame:
     """Array of the parts-1 inner edges per group: the smallest value that reaches each share."""
-    cum = running(counts, by, [value], value_bucket(F.col(value)), {"_cum": ("sum", F.col("n"))})
-    sizes = counts.groupBy(*by).agg(F.sum("n").alias("_size"))
-    edge = [
+    reach = [
         F.min(F.when(F.col("_cum") * parts >= F.col("_size") * i, F.col(value))).alias(f"_e{i}")
         for i in range(1, parts)
     ]
     return (
-        cum.join(sizes, by).groupBy(*by).agg(*edge)
+        _cumulated(counts, by, value).groupBy(*by).agg(*reach)
         .select(*by, F.array(*[f"_e{i}" for i in range(1, parts)]).alias(out))
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cardwatch.functions.columns import padded_id
 from cardwatch.operators.classification import binary_metrics, long_metrics
 from cardwatch.operators.features import card_profile
+from cardwatch.schemas import TABLES
 from cardwatch.sources.payload import latest_n
 
 AS_OF = "2024-01-31"
@@ -86,7 +87,7 @@ class Data:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

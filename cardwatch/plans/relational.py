@@ -15,6 +15,7 @@ from cardwatch.operators import features as ft
 from cardwatch.operators import relational as rel
 from cardwatch.plans.data import AS_OF, CHAMPION, Data
 from cardwatch.plans.registry import query, settle
+from cardwatch.schemas import LINEITEM
 from cardwatch.sources import tables as src
 
 # --- scans -------------------------------------------------------------------------------
@@ -22,7 +23,7 @@ from cardwatch.sources import tables as src
 
 @query("scan_project", "select l_orderkey, l_linenumber, l_quantity, l_returnflag from lineitem", ())
 def scan_project(d: Data):
-    return src.scan(d.spark, f"{d.folder}/lineitem.parquet", columns=["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"])
+    return src.scan(d.spark, f"{d.folder}/lineitem.parquet", LINEITEM, columns=["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"])
 
 
 @query("scan_count", """

@@ -39,6 +39,32 @@ EVENTS = _struct(
     event_type=T.StringType(), value=T.DoubleType(), props=T.StringType(),
 )
 
+CUSTOMER = _struct(
+    c_custkey=T.LongType(), c_name=T.StringType(), c_nationkey=T.IntegerType(),
+    c_acctbal=T.DoubleType(), c_mktsegment=T.StringType(),
+)
+NATION = _struct(n_nationkey=T.IntegerType(), n_name=T.StringType(), n_regionkey=T.IntegerType())
+REGION = _struct(r_regionkey=T.IntegerType(), r_name=T.StringType())
+ORDERS = _struct(
+    o_orderkey=T.LongType(), o_custkey=T.LongType(), o_orderstatus=T.StringType(),
+    o_totalprice=T.DoubleType(), o_orderdate=T.TimestampNTZType(), o_orderpriority=T.StringType(),
+)
+LINEITEM = _struct(
+    l_orderkey=T.LongType(), l_partkey=T.LongType(), l_suppkey=T.LongType(), l_linenumber=T.IntegerType(),
+    l_quantity=T.DoubleType(), l_extendedprice=T.DoubleType(), l_discount=T.DoubleType(), l_tax=T.DoubleType(),
+    l_returnflag=T.StringType(), l_linestatus=T.StringType(), l_shipdate=T.TimestampNTZType(),
+)
+PART = _struct(
+    p_partkey=T.LongType(), p_name=T.StringType(), p_brand=T.StringType(), p_type=T.StringType(),
+    p_size=T.IntegerType(), p_retailprice=T.DoubleType(),
+)
+
+# Given tables by name.
+TABLES = {
+    "events": EVENTS, "customer": CUSTOMER, "nation": NATION, "region": REGION,
+    "orders": ORDERS, "lineitem": LINEITEM, "part": PART,
+}
+
 TRANSACTIONS = _struct(
     transaction_id=T.StringType(), card_id=T.StringType(), transaction_amount=T.DoubleType(),
     transaction_country=T.StringType(), transaction_state=T.StringType(),

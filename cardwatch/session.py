@@ -18,6 +18,8 @@ def build_session(app: str = "cardwatch", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # A call site per column expression costs more than planning a wide query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for name, value in settings.items():
