@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import safe_div, value_bucket
-from cardwatch.operators.ordered import bin_of, quantile_edges, running
+from cardwatch.operators.ordered import running
 
 
 def cells(df: DataFrame, label: str, pred: str, by: list[str]) -> DataFrame:
@@ -70,8 +70,9 @@ def class_rows(found: DataFrame, by: list[str]) -> DataFrame:
     })
 
 
-def averages(per_class: DataFrame, by: list[str]) -> DataFrame:
-    """Accuracy with macro and support-weighted averages, one row per group."""
+def averages(per_class: DataFrame, by: list[str], *more: Column) -> DataFrame:
+    """Accuracy with macro and support-weighted averages, one row per group; ``more`` are
+    further aggregates of the same rows."""
     total = F.sum("support")
     out = [safe_div(F.sum("tp"), total).alias("accuracy"), total.alias("support")]
     for m in ("precision", "recall", "f1_score"):
@@ -79,7 +80,7 @@ def averages(per_class: DataFrame, by: list[str]) -> DataFrame:
             F.avg(m).alias(f"{m}_macro"),
             safe_div(F.sum(F.col(m) * F.col("support")), total).alias(f"{m}_weighted"),
         ]
-    return per_class.groupBy(*by).agg(*out)
+    return per_class.groupBy(*by).agg(*out, *more)
 
 
 def class_report(df: DataFrame, label: str, pred: str, by: list[str]) -> DataFrame:
@@ -142,16 +143,21 @@ def pr_curve(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
 
 
 def lift_chart(df: DataFrame, label: str, score: str, by: list[str], parts: int = 10) -> DataFrame:
-    """Rows, positives and lift per score bin; bins are cut at quantile edges of the scores."""
-    table = score_table(df, label, score, by)
-    sized = table.withColumn("n", F.col("pos") + F.col("neg"))
-    edges = quantile_edges(sized, by, "threshold", parts)
-    totals = sized.groupBy(*by).agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
-    binned = sized.join(edges, by).groupBy(*by, bin_of(F.col("threshold"), F.col("edges")).alias("bin")).agg(
-        F.sum("n").alias("n"), F.sum("pos").alias("positives"))
-    base = F.col("all_pos") / F.col("all_n")
-    return binned.join(totals, by).select(
-        *by, "bin", "n", "positives", safe_div(F.col("positives") / F.col("n"), base).alias("lift"))
+    """Rows, positives and lift per score bin; bins are cut at the quantiles of the scores.
+
+    A score lies in bin i if the scores below it hold at least i parts of the rows, which its
+    own cumulative count tells; no edge table is joined.
+    """
+    sized = score_table(df, label, score, by).withColumn("n", F.col("pos") + F.col("neg"))
+    n = F.col("n")
+    cum = running(sized, by, ["threshold"], value_bucket(F.col("threshold")), {
+        "cum": ("sum", n), "all_n": ("total", n), "all_pos": ("total", F.col("pos"))})
+    at = F.floor((F.col("cum") - n) * parts / F.col("all_n")).cast("int")
+    binned = cum.groupBy(*by, at.alias("bin")).agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("positives"),
+        (F.max("all_pos") / F.max("all_n")).alias("base"))
+    return binned.select(
+        *by, "bin", "n", "positives", safe_div(F.col("positives") / F.col("n"), F.col("base")).alias("lift"))
 
 
 def log_loss(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cardwatch.functions.columns import hash_word, uniform
 from cardwatch.functions.timeparts import with_time_features
 from cardwatch.operators.ordered import heavy_keys, rank_by_hash, running
+from cardwatch.session import materialize
 
 DAY_US = 86_400_000_000
 
@@ -97,13 +98,13 @@ def card_profile(
         F.count(F.when(F.col("merchant_category") == online, 1)).alias("n_online"),
         F.count(F.when(declined, 1)).alias("n_declined"),
     )
-    monthly = (
-        parts.groupBy("card_id", "month").agg(F.sum("spend").alias("spend"))
-        .groupBy("card_id").agg(F.max("spend").alias("max_monthly_spend_statement"))
-    )
+    # One exchange by card serves the month sums, the distinct counts and the profile.
+    of_month = Window.partitionBy("card_id", "month")
+    parts = parts.repartition("card_id").withColumn("month_spend", F.sum("spend").over(of_month))
     state = F.when(F.col("transaction_state") != "N/A", F.col("transaction_state"))
     profile = parts.groupBy("card_id").agg(
         (F.sum("spend") / F.sum("n_amount")).alias("avg_transaction_amount_90d"),
+        F.max("month_spend").alias("max_monthly_spend_statement"),
         F.sum("n").alias("total_transactions_90d"),
         (F.sum("n") / F.lit(float(days))).alias("avg_transactions_per_day_90d"),
         F.max("top").alias("max_single_transaction_90d"),
@@ -122,7 +123,7 @@ def card_profile(
         days_since("password_reset").alias("days_since_last_password_reset"),
         days_since("web_login").alias("days_since_last_web_login"),
     )
-    joined = profile.join(monthly, "card_id").join(access, "card_id", "left")
+    joined = profile.join(access, "card_id", "left")
     joined = joined.join(dim.select("card_id", "home_country", "home_state"), "card_id", "left")
     return joined.select(
         "card_id", "avg_transaction_amount_90d", "max_monthly_spend_statement", "total_transactions_90d",
@@ -270,7 +271,8 @@ def fit_codes(df: DataFrame, cols: list[str]) -> DataFrame:
         .unpivot([], cols, "column_name", "value").filter(F.col("value").isNotNull()).distinct()
     )
     ranked = running(values, ["column_name"], ["value"], F.substring("value", 1, 8), {"_rank": ("sum", F.lit(1))})
-    return ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code"))
+    # A fitted dictionary is kept as a table, whose size then decides how it is joined.
+    return materialize(ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code")), "codes")
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:

@@ -61,46 +61,48 @@ def pair_scores(latest: DataFrame, aliases: DataFrame) -> DataFrame:
     return named.agg(of("champion").alias("champion_score"), of("challenger").alias("challenger_score"))
 
 
-def active_split(aliases: DataFrame) -> DataFrame:
-    """Whether both aliases exist and differ, as one row with their versions."""
-    def version(alias: str) -> Column:
-        return F.max(F.when(F.col("alias") == alias, F.col("version")))
+def _of(alias: str, col: str) -> Column:
+    return F.max(F.when(F.col("alias") == alias, F.col(col)))
+
 
-    both = aliases.agg(version("champion").alias("champion_version"), version("challenger").alias("challenger_version"))
+def _split_status() -> Column:
     a, b = F.col("champion_version"), F.col("challenger_version")
-    status = (
+    return (
         F.when(a.isNull(), "NO_CHAMPION").when(b.isNull(), "NO_CHALLENGER")
         .when(a == b, "SAME_VERSION").otherwise("ACTIVE")
     )
-    return both.withColumn("status", status)
+
+
+def active_split(aliases: DataFrame) -> DataFrame:
+    """Whether both aliases exist and differ, as one row with their versions."""
+    both = aliases.agg(*[_of(a, "version").alias(f"{a}_version") for a in ("champion", "challenger")])
+    return both.withColumn("status", _split_status())
 
 
 def ab_scores(aliases: DataFrame, versions: DataFrame, profile: DataFrame, run_metrics: DataFrame,
               metric: str = "recall", path: str = "recall.weighted") -> DataFrame:
-    """Score pair and its source. Monitoring counts only if both models have a score; the two
-    scores never come from different sources."""
+    """One row with the split's versions and status, the score pair and its source.
+
+    Monitoring counts only if both models have a score; the two scores never come from
+    different sources.
+    """
     latest = latest_per_model(profile, F.col(path))
     trained = alias_resolve(aliases.select("alias", "version"), versions.select("version", "run_id"), run_metrics)
     trained = trained.filter(F.col("metric") == metric).select("alias", F.col("value").alias("trained"))
     rows = aliases.join(latest, "model_version", "left").join(trained, "alias", "left")
-
-    def of(alias: str, col: str) -> Column:
-        return F.max(F.when(F.col("alias") == alias, F.col(col)))
-
-    wide = rows.agg(*[of(a, c).alias(f"{a}_{c}") for a in ("champion", "challenger") for c in ("score", "trained")])
+    names = ("champion", "challenger")
+    wide = rows.agg(*[_of(a, c).alias(f"{a}_{c}") for a in names for c in ("version", "score", "trained")])
     watched = F.col("champion_score").isNotNull() & F.col("challenger_score").isNotNull()
     return wide.select(
-        *[F.when(watched, F.col(f"{a}_score")).otherwise(F.col(f"{a}_trained")).alias(f"{a}_metric")
-          for a in ("champion", "challenger")],
+        *[f"{a}_version" for a in names], _split_status().alias("status"),
+        *[F.when(watched, F.col(f"{a}_score")).otherwise(F.col(f"{a}_trained")).alias(f"{a}_metric") for a in names],
         F.when(watched, "monitoring_1week").otherwise("training").alias("metric_source"))
 
 
 def ab_resolve(aliases: DataFrame, versions: DataFrame, profile: DataFrame, run_metrics: DataFrame, now: str,
                metric: str = "recall", path: str = "recall.weighted") -> DataFrame:
     """The decision row; no row without an active split. A tie keeps the champion."""
-    split = active_split(aliases).filter(F.col("status") == "ACTIVE").withColumn("_k", F.col("status"))
-    scores = ab_scores(aliases, versions, profile, run_metrics, metric, path).withColumn("_k", F.lit("ACTIVE"))
-    row = split.join(scores, "_k")
+    row = ab_scores(aliases, versions, profile, run_metrics, metric, path).filter(F.col("status") == "ACTIVE")
     wins = F.coalesce(F.col("challenger_metric") > F.col("champion_metric"), F.lit(False))
 
     def pick(name: str, winner: bool) -> Column:

@@ -151,11 +151,10 @@ def quality(
     )
     per_class = class_rows(found, keys)
     # A group holds one row per class here.
-    maps = per_class.groupBy(*keys).agg(*[
+    scored = averages(per_class, keys, *[
         F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("class").cast("string"), F.col(m))))).alias(f"_{m}")
         for m in ("precision", "recall", "f1_score")
     ])
-    scored = averages(per_class, keys).join(maps, keys)
     structs = [
         F.struct(F.col(f"{m}_weighted").alias("weighted"), F.col(f"{m}_macro").alias("macro"),
                  F.col(f"_{m}").alias("one_vs_all")).alias(m)
@@ -273,7 +272,8 @@ def numeric_drift(
             *keys, "n_base", "mass_base", F.array(*[F.col(f"_e{i}.v") for i in range(1, 10)]).alias("edges"),
             F.array(*[F.greatest(upto[i + 1] - upto[i], F.lit(0)) for i in range(10)]).alias("b_bins"))
 
-    rows = rows.drop("n_base", "mass_base").join(info, keys)
+    # Written, so that the planner joins it by its real size.
+    rows = rows.drop("n_base", "mass_base").join(materialize(info, "drift-info"), keys)
     nb = F.col("n_base")
     if shapes:
         rows = rows.withColumns({
@@ -429,11 +429,16 @@ def drift_metrics(
 ) -> DataFrame:
     """Every window and slice of the current table against the same slice of the baseline.
 
-    Both value tables are written once to the shared folder; all statistics read them.
-    ``stats`` limits the work to some statistics, the columns of the others stay NULL.
+    The value tables of both sides are written by one job to the shared folder, and all
+    statistics read them. ``stats`` limits the work to some statistics, the columns of the
+    others stay NULL.
     """
-    b = materialize(value_counts(base, numeric, categorical, list(slices)), "drift-base")
-    c = materialize(value_counts(cur, numeric, categorical, list(slices), ts, granularities), "drift-cur")
+    sides = value_counts(cur, numeric, categorical, list(slices), ts, granularities).withColumn("side", F.lit("cur"))
+    sides = sides.unionByName(
+        value_counts(base, numeric, categorical, list(slices)).withColumn("side", F.lit("base")), allowMissingColumns=True)
+    sides = materialize(sides, "drift-values", partition_by=("side",))
+    b = sides.filter(F.col("side") == "base").drop("side", *WINDOW)
+    c = sides.filter(F.col("side") == "cur").drop("side")
     return _assemble(_compare(b, c, numeric, categorical, ["column_name", *SLICE], WINDOW, stats), "BASELINE")
 
 

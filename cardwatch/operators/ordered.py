@@ -154,6 +154,6 @@ def heavy_keys(df: DataFrame, key: str, limit: int, max_keys: int = 1_000_000) -
     The second condition bounds the list at ``max_keys`` keys whatever the table size, so it
     may be broadcast. It is a pure function of the counts, the same in every plan branch.
     """
-    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
     return counts.filter((F.col("_rows") > limit) & (F.col("_rows") * max_keys > total)).select(key)

@@ -14,13 +14,15 @@ from cardwatch.plans.data import AS_OF, CHALLENGER, Data
 from cardwatch.plans.monitoring import QUALITY, SLICES, TS
 from cardwatch.plans.quality import BINARY
 from cardwatch.plans.registry import query, rounded
+from cardwatch.session import materialize
 from cardwatch.sources.payload import latest_n
 
 NOW = f"{AS_OF} 10:20:30"
 
 
 def profile(d: Data, log=None):
-    return mon.quality(d.log if log is None else log, TS, "is_fraud", "prediction", SLICES)
+    """The published quality table."""
+    return materialize(mon.quality(d.log if log is None else log, TS, "is_fraud", "prediction", SLICES), "quality")
 
 
 @query("alias_resolve", """
@@ -78,7 +80,8 @@ def ab_score_source(d: Data):
     one = d.log.filter(F.col("model_version") != CHALLENGER)
     cases = [("both", profile(d)), ("one", profile(d, one))]
     rows = [lc.ab_scores(d.aliases, d.versions, p, d.run_metrics).withColumn("case_name", F.lit(name)) for name, p in cases]
-    return rounded(rows[0].unionByName(rows[1]), {"champion_metric": 6, "challenger_metric": 6})
+    both = rows[0].unionByName(rows[1]).drop("champion_version", "challenger_version", "status")
+    return rounded(both, {"champion_metric": 6, "challenger_metric": 6})
 
 
 @query("ab_resolve", f"""with {LATEST},

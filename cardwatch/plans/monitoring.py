@@ -10,6 +10,7 @@ from cardwatch.operators import alerts as al
 from cardwatch.operators import monitor as mon
 from cardwatch.plans.data import AS_OF, CATEGORICAL, NUMERIC, SLICES, Data
 from cardwatch.plans.registry import query, rounded
+from cardwatch.session import materialize
 
 TS = "transaction_timestamp"
 LOOKBACK = 3
@@ -129,6 +130,11 @@ def drift_table(d: Data, *stats: str, numeric: list[str] = NUMERIC, categorical:
         d.monitored(d.base), d.monitored(d.drifted), TS, numeric, categorical, slices=tuple(SLICES), stats=stats or mon.STATS)
 
 
+def published(d: Data, *stats: str, **cols: list[str]) -> DataFrame:
+    """The drift table as the alerts find it: written once, read by all of them."""
+    return materialize(drift_table(d, *stats, **cols), "drift-metrics")
+
+
 def flat(drift: DataFrame, *names: str) -> DataFrame:
     """Nested drift rows as plain columns, rounded."""
     out = drift.select(
@@ -282,13 +288,9 @@ FEATURE_ALERT = f"""
   where sk = '' and column_name not in ('prediction', ':table') and {SINCE} and (ks_pvalue < 0.05 or chi2_pvalue < 0.05)"""
 
 
-def feature_alert(d: Data, drift: DataFrame | None = None) -> DataFrame:
-    return al.alert_feature_drift(drift if drift is not None else drift_table(d), AS_OF, LOOKBACK)
-
-
 @query("alert_feature_drift", f"with {M}, {_num()}, {_cat()}, {FLAT} {FEATURE_ALERT}", VIEWS)
 def alert_feature_drift(d: Data):
-    return rounded(feature_alert(d), DIGITS)
+    return rounded(al.alert_feature_drift(published(d), AS_OF, LOOKBACK), DIGITS)
 
 
 @query("sort_coalesce", f"""with {M}, {_num()}, {_cat()}, {FLAT}
@@ -339,7 +341,8 @@ PSI_ALERT = f"""
 
 @query("alert_prediction_psi", f"with {M}, {_num()}, {_cat()}, {FLAT} {PSI_ALERT}", VIEWS)
 def alert_prediction_psi(d: Data):
-    return rounded(al.alert_prediction_psi(drift_table(d, "psi", "wasserstein", "avg_delta", numeric=["prediction"], categorical=[]), AS_OF, LOOKBACK), DIGITS)
+    return rounded(al.alert_prediction_psi(
+        published(d, "psi", "wasserstein", "avg_delta", numeric=["prediction"], categorical=[]), AS_OF, LOOKBACK), DIGITS)
 
 
 @query("alert_evaluate", f"""with {M}, {_num()}, {_cat()}, {FLAT}, {QUALITY_BAD},
@@ -349,7 +352,7 @@ def alert_prediction_psi(d: Data):
     union all select 'prediction_psi_future', 0)
   select alert, cast(row_count as bigint) as row_count, case when row_count > 0 then 'FIRED' else 'OK' end as state from n""", ("base", "drifted", "log"))
 def alert_evaluate(d: Data):
-    drift = drift_table(d)
+    drift = published(d)
     found = {
         "feature_drift": al.alert_feature_drift(drift, AS_OF, LOOKBACK),
         "model_quality": quality_alert(d),

@@ -48,12 +48,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cardwatch/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as a Parquet table and read it back.
 
     Cuts lineage: later branches scan the written table in place of repeating the
     upstream shuffles, and a lost executor costs a re-read only.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
