@@ -136,82 +136,60 @@ def card_profile(
 
 # --- rolling features --------------------------------------------------------------------
 
-def _rolling_cold(df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, ...]) -> DataFrame:
-    out = {}
-    for d in days:
-        frame = Window.partitionBy(key).orderBy("_at").rangeBetween(-d * DAY_US, 0)
-        out[f"txn_count_{d}d"] = F.count(F.lit(1)).over(frame)
-        out[f"txn_amount_avg_{d}d"] = F.avg(amount).over(frame)
-        out[f"txn_amount_std_{d}d"] = F.stddev_samp(amount).over(frame)
-    return df.withColumns(out)
-
-
-def _rolling_hot(
-    df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, ...], bucket_seconds: int, digits: int,
+def rolling_stats(
+    df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, ...] = (1, 7),
+    hot_rows: int = 200_000, bucket_seconds: int = 60, digits: int = 6,
 ) -> DataFrame:
-    """Rolling statistics of hot cards as running totals of entries and exits.
+    """Count, mean and sample deviation of the amount over trailing frames per card.
 
-    Each row enters at its time and leaves one microsecond after the frame has passed it, so
-    the frame content is a running total, and running() spreads one card over its time
-    buckets. Amounts are whole units of 10**-digits, which makes the totals exact.
+    A sliding window frame is summed anew for every row. Here each row enters at its time and
+    leaves one microsecond after the frame has passed it, so the frame's content is a running
+    total of entries minus exits: one pass for all frames, at a cost that does not depend on
+    their length. Amounts are counted in whole units of 10**-digits, which keeps the totals
+    exact. A card of more than ``hot_rows`` rows is spread over its time buckets.
     """
-    unit = F.round(F.col(amount) * F.lit(float(10**digits))).cast("decimal(38,0)")
-    rows = df.withColumn("_row", F.struct(*df.columns)).withColumn("_u", unit)
-    zero, one = F.lit(0), F.lit(1)
-    moves = [F.struct(F.col("_at").alias("_t"), F.lit(True).alias("_in"),
-                      *[one.alias(f"_s{d}") for d in days])]
-    for gone in days:
-        moves.append(F.struct(
-            (F.col("_at") + F.lit(gone * DAY_US + 1)).alias("_t"), F.lit(False).alias("_in"),
-            *[(F.lit(-1) if d == gone else zero).alias(f"_s{d}") for d in days],
-        ))
-    events = rows.select(key, "_row", "_u", F.explode(F.array(*moves)).alias("_m")).select(
-        key, F.when(F.col("_m._in"), F.col("_row")).alias("_row"), "_u", "_m.*",
-    )
+    hot = heavy_keys(df, key, hot_rows).withColumn("_hot", F.lit(True))
+    # At most a million keys, see heavy_keys; no row moves for this join.
+    rows = df.withColumns({
+        "_row": F.struct(*df.columns), "_at": F.unix_micros(ts),
+        "_u": F.round(F.col(amount) * F.lit(float(10**digits))).cast("bigint"),
+    }).join(F.broadcast(hot), key, "left")
+
+    def move(at: Column, entry: bool, signs: dict[int, int]) -> Column:
+        return F.struct(at.alias("_t"), F.lit(entry).alias("_in"), *[F.lit(signs.get(d, 0)).alias(f"_s{d}") for d in days])
+
+    moves = [move(F.col("_at"), True, dict.fromkeys(days, 1))]
+    moves += [move(F.col("_at") + F.lit(d * DAY_US + 1), False, {d: -1}) for d in days]
+    events = rows.select(key, "_row", "_u", "_hot", F.explode(F.array(*moves)).alias("_m")).select(
+        key, F.when(F.col("_m._in"), F.col("_row")).alias("_row"), "_u", "_hot", "_m.*")
+
+    unit = F.coalesce("_u", F.lit(0).cast("bigint"))
+    square = unit.cast("decimal(19,0)") * unit.cast("decimal(19,0)")
     aggs = {}
     for d in days:
-        sign = F.col(f"_s{d}")
-        counted = F.when(F.col("_u").isNotNull(), sign).otherwise(0)
+        sign = F.col(f"_s{d}").cast("bigint")
         aggs[f"_n{d}"] = ("sum", sign)
-        aggs[f"_k{d}"] = ("sum", counted)
-        aggs[f"_x{d}"] = ("sum", F.coalesce(F.col("_u"), F.lit(0).cast("decimal(38,0)")) * sign)
-        aggs[f"_q{d}"] = ("sum", (F.coalesce(F.col("_u") * F.col("_u"), F.lit(0)) * sign).cast("decimal(38,0)"))
-    bucket = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))
-    done = running(events, [key], ["_t"], bucket, aggs).filter(F.col("_in"))
-    scale = F.lit(float(10**digits))
-    out = []
+        aggs[f"_k{d}"] = ("sum", F.when(F.col("_u").isNotNull(), sign).otherwise(0))
+        aggs[f"_x{d}"] = ("sum", unit * sign)
+        aggs[f"_q{d}"] = ("sum", F.when(F.col(f"_s{d}") == 0, F.lit(0)).when(F.col(f"_s{d}") > 0, square).otherwise(-square).cast("decimal(38,0)"))
+    bucket = F.when(F.col("_hot"), F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
+    done = running(events, [key], ["_t"], bucket, aggs).filter("_in")
+
+    scale, out = F.lit(float(10**digits)), []
     for d in days:
         k, x, q = F.col(f"_k{d}"), F.col(f"_x{d}"), F.col(f"_q{d}")
-        spread = (k.cast("double") * q.cast("double") - x.cast("double") * x.cast("double"))
-        # Equal amounts: k * sum of squares equals the squared sum, tested in whole units.
-        flat = F.try_subtract(F.try_multiply(k.cast("decimal(18,0)"), q.cast("decimal(38,0)")),
-                              F.try_multiply(x, x)) == 0
-        var = F.when(flat, 0.0).otherwise(F.greatest(F.lit(0.0), spread) / k / (k - 1))
+        whole = x.cast("decimal(19,0)")
+        # k * sum of squares - squared sum, exact in whole units unless it exceeds 38 digits.
+        exact = F.try_subtract(F.try_multiply(k.cast("decimal(19,0)"), q), F.try_multiply(whole, whole)).cast("double")
+        rough = F.greatest(F.lit(0.0), k * q.cast("double") - x.cast("double") * x.cast("double"))
         out += [
-            F.col(f"_n{d}").cast("bigint").alias(f"txn_count_{d}d"),
-            F.when(k > 0, x.cast("double") / k / scale).alias(f"txn_amount_avg_{d}d"),
-            F.when(k > 1, F.sqrt(var) / scale).alias(f"txn_amount_std_{d}d"),
+            F.col(f"_n{d}").alias(f"txn_count_{d}d"),
+            F.when(k > 0, x / k / scale).alias(f"txn_amount_avg_{d}d"),
+            F.when(k > 1, F.sqrt(F.coalesce(exact, rough) / k / (k - 1)) / scale).alias(f"txn_amount_std_{d}d"),
         ]
     return done.select("_row.*", *out)
 
 
-def rolling_stats(
-    df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, ...] = (1, 7),
-    hot_rows: int = 200_000, bucket_seconds: int = 60, digits: int = 6,
-) -> DataFrame:
-    """Count, mean and sample deviation of the amount over trailing frames per card.
-
-    Cards up to ``hot_rows`` rows use one window pass over both frames. Larger ones take the
-    running-total form, since a sliding frame costs its length for every row.
-    """
-    rows = df.withColumn("_at", F.unix_micros(ts))
-    # Broadcast, so that no row of a hot card takes part in the shuffle by card.
-    hot = F.broadcast(heavy_keys(df, key, hot_rows))
-    cold_part = _rolling_cold(rows.join(hot, key, "left_anti"), key, ts, amount, days)
-    hot_part = _rolling_hot(rows.join(hot, key, "left_semi"), key, ts, amount, days, bucket_seconds, digits)
-    return cold_part.unionByName(hot_part.select(*cold_part.columns)).drop("_at")
-
-
 def rolling_features(df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, int] = (1, 7), **limits) -> DataFrame:
     """The nine rolling inputs: counts, means, deviation, z-score, amount, hour and weekday."""
     short, long = days

@@ -144,7 +144,7 @@ def rolling_features(d: Data):
 @query("rolling_hot_cards", f"""with r as ({ROLLING_SQL}) select transaction_id, txn_count_1d, txn_count_7d,
   settle(txn_amount_avg_7d, 8) as txn_amount_avg_7d, settle(txn_amount_std_7d, 5) as txn_amount_std_7d from r""")
 def rolling_hot_cards(d: Data):
-    """The same features with a low hot-card limit, so that part of the cards takes the other form."""
+    """The same features with a low hot-card limit, so that part of the cards is spread over time buckets."""
     rows = d.txn.select("transaction_id", "card_id", "transaction_timestamp", "transaction_amount")
     built = ft.rolling_stats(rows, "card_id", "transaction_timestamp", "transaction_amount", hot_rows=60)
     return built.select(
