@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.functions.columns import value_bucket
-from cardwatch.functions.timeparts import spans
+from cardwatch.functions.timeparts import GRAINS, spans
 from cardwatch.operators.classification import averages, cells, class_rows
 from cardwatch.operators.ordered import bin_of, bucket_bits, running
 from cardwatch.session import materialize
 
 WINDOW = ["granularity", "window_start", "window_end"]
 SLICE = ["slice_key", "slice_value"]
+CELL = ["part", "slice_value", "grain", "window_start"]
 # Inside the module the whole table is the slice ("", ""), since running() wants no NULLs.
 FLOOR = 1e-4
 
@@ -75,21 +76,53 @@ def value_counts(
 ) -> DataFrame:
     """Rows per (by, window, slice, column, value), NULL values kept as their own value.
 
-    Numeric values stand in ``num``, categories in ``txt``.
+    Numeric values stand in ``num``, categories in ``txt``. These are the widest tables of the
+    monitor, so column and slice key travel as one number ``part``, the granularity as
+    ``grain``; named() turns them back.
     """
+    columns = numeric + categorical
     time = [F.date_trunc(_cell_unit(granularities), F.col(ts)).alias("_cell")] if granularities else []
     ids = [*by, *(["_cell"] if granularities else []), *[f"_slice_{s}" for s in slices]]
     none = {"num": F.lit(None).cast("double"), "txt": F.lit(None).cast("string")}
 
-    def entry(name: str, **value: Column) -> Column:
-        return F.struct(F.lit(name).alias("column_name"), *[v.alias(k) for k, v in {**none, **value}.items()])
+    def entry(i: int, **value: Column) -> Column:
+        return F.struct(F.lit(i).alias("_col"), *[v.alias(k) for k, v in {**none, **value}.items()])
 
-    entries = [entry(c, num=F.col(c).cast("double")) for c in numeric]
-    entries += [entry(c, txt=F.col(c).cast("string")) for c in categorical]
+    entries = [entry(i, num=F.col(c).cast("double")) for i, c in enumerate(numeric)]
+    entries += [entry(i, txt=F.col(c).cast("string")) for i, c in enumerate(categorical, len(numeric))]
     long = df.select(*by, *time, *_slice_cols(slices), F.explode(F.array(*entries)).alias("_e")).select(*ids, "_e.*")
-    fine = long.groupBy(*ids, "column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
-    keys = [*by, *(WINDOW if granularities else []), *SLICE, "column_name", "num", "txt"]
-    return _spread(fine, slices, granularities).groupBy(*keys).agg(F.sum("n").alias("n"))
+    out = long.groupBy(*ids, "_col", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+
+    parts = [F.struct(F.col("_col").alias("part"), F.lit("").alias("slice_value"))]
+    parts += [
+        F.struct((F.col("_col") + i * len(columns)).alias("part"), F.col(f"_slice_{s}").alias("slice_value"))
+        for i, s in enumerate(slices, 1)
+    ]
+    out = out.withColumn("_s", F.explode(F.array(*parts))).select("*", "_s.*")
+    keys = [*by, *CELL[:2], "num", "txt"]
+    if granularities:
+        starts = [
+            F.struct(F.lit(i).alias("grain"), F.date_trunc(GRAINS[g][0], F.col("_cell")).alias("window_start"))
+            for i, g in enumerate(granularities)
+        ]
+        out = out.withColumn("_w", F.explode(F.array(*starts))).select("*", "_w.*")
+        keys += CELL[2:]
+    return out.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def named(df: DataFrame, columns: list[str], slices: list[str], granularities: tuple[str, ...]) -> DataFrame:
+    """Names in place of part and grain, and the window end."""
+    def pick(names: list[str], at: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(n) for n in names]), at + 1)
+
+    length = F.coalesce(*[
+        F.when(F.col("grain") == i, F.col("window_start") + F.expr(GRAINS[g][1])) for i, g in enumerate(granularities)])
+    return df.withColumns({
+        "column_name": pick(columns, F.col("part") % len(columns)),
+        "slice_key": pick(["", *slices], F.floor(F.col("part") / len(columns)).cast("int")),
+        "granularity": pick(list(granularities), F.col("grain")),
+        "window_end": length,
+    }).drop("part", "grain")
 
 
 def profile(
@@ -128,8 +161,9 @@ def profile(
     ).withColumn("stddev", F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))).drop("_m2")
     distinct = (
         value_counts(log, columns, [], slices, ts, granularities, by)
-        .filter(F.col("num").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_count"))
+        .filter(F.col("num").isNotNull()).groupBy(*by, *CELL).agg(F.count(F.lit(1)).alias("distinct_count"))
     )
+    distinct = named(distinct, columns, slices, granularities)
     joined = merged.join(distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
     return _public(joined)
 
@@ -410,15 +444,18 @@ STATS = ("ks", "chi2", "wasserstein", "psi", "avg_delta")
 
 def _compare(base: DataFrame, cur: DataFrame, numeric: list[str], categorical: list[str],
              keys: list[str], extra: list[str], stats: tuple[str, ...]) -> list[DataFrame]:
-    def side(df: DataFrame, cols: list[str], value: str) -> DataFrame:
+    column = F.col("part") % (len(numeric) + len(categorical))
+
+    def side(df: DataFrame, cols: Column, value: str) -> DataFrame:
         rest = [c for c in df.columns if c not in ("num", "txt")]
-        return df.filter(F.col("column_name").isin(cols)).select(*rest, F.col(value).alias("value"))
+        return df.filter(cols).select(*rest, F.col(value).alias("value"))
 
+    numbers, categories = column < len(numeric), column >= len(numeric)
     parts = []
     if numeric and set(stats) - {"chi2"}:
-        parts.append(numeric_drift(side(base, numeric, "num"), side(cur, numeric, "num"), keys, extra, stats))
+        parts.append(numeric_drift(side(base, numbers, "num"), side(cur, numbers, "num"), keys, extra, stats))
     if categorical and {"chi2", "psi"} & set(stats):
-        parts.append(categorical_drift(side(base, categorical, "txt"), side(cur, categorical, "txt"), keys, extra))
+        parts.append(categorical_drift(side(base, categories, "txt"), side(cur, categories, "txt"), keys, extra))
     return parts
 
 
@@ -433,13 +470,15 @@ def drift_metrics(
     statistics read them. ``stats`` limits the work to some statistics, the columns of the
     others stay NULL.
     """
-    sides = value_counts(cur, numeric, categorical, list(slices), ts, granularities).withColumn("side", F.lit("cur"))
+    slices = list(slices)
+    sides = value_counts(cur, numeric, categorical, slices, ts, granularities).withColumn("side", F.lit("cur"))
     sides = sides.unionByName(
-        value_counts(base, numeric, categorical, list(slices)).withColumn("side", F.lit("base")), allowMissingColumns=True)
+        value_counts(base, numeric, categorical, slices).withColumn("side", F.lit("base")), allowMissingColumns=True)
     sides = materialize(sides, "drift-values", partition_by=("side",))
-    b = sides.filter(F.col("side") == "base").drop("side", *WINDOW)
+    b = sides.filter(F.col("side") == "base").drop("side", *CELL[2:])
     c = sides.filter(F.col("side") == "cur").drop("side")
-    return _assemble(_compare(b, c, numeric, categorical, ["column_name", *SLICE], WINDOW, stats), "BASELINE")
+    parts = _compare(b, c, numeric, categorical, CELL[:2], CELL[2:], stats)
+    return _assemble([named(p, numeric + categorical, slices, granularities) for p in parts], "BASELINE")
 
 
 def drift_consecutive(
@@ -448,12 +487,12 @@ def drift_consecutive(
     stats: tuple[str, ...] = STATS,
 ) -> DataFrame:
     """Every window against the window just before it; a window without one gives no row."""
-    now = materialize(value_counts(cur, numeric, categorical, list(slices), ts, granularities), "drift-cur")
-    length = F.col("window_end") - F.col("window_start")
-    before = now.select(
-        "granularity", *SLICE, "column_name", "num", "txt", "n",
-        F.col("window_end").alias("window_start"), (F.col("window_end") + length).alias("window_end"))
-    return _assemble(_compare(before, now, numeric, categorical, ["column_name", *SLICE, *WINDOW], [], stats), "CONSECUTIVE")
+    slices = list(slices)
+    now = materialize(value_counts(cur, numeric, categorical, slices, ts, granularities), "drift-cur")
+    following = F.coalesce(*[
+        F.when(F.col("grain") == i, F.col("window_start") + F.expr(GRAINS[g][1])) for i, g in enumerate(granularities)])
+    parts = _compare(now.withColumn("window_start", following), now, numeric, categorical, CELL, [], stats)
+    return _assemble([named(p, numeric + categorical, slices, granularities) for p in parts], "CONSECUTIVE")
 
 
 def align_baseline(cur: DataFrame, base: DataFrame) -> DataFrame:
