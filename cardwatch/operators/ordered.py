@@ -65,10 +65,12 @@ def running(
             return F.lead(col).over(frame)
         return _AGG[kind](col).over(frame.rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
-    rows = rows.select("*", *[
-        local(kind, col, override[0] if override else order).alias(f"_l_{name}")
-        for name, (kind, col, *override) in aggs.items() if kind != "total"
-    ])
+    # Finer orders first: their sort also serves the coarser order.
+    plain = {name: local(kind, col, order) for name, (kind, col, *other) in aggs.items() if kind != "total" and not other}
+    finer = {name: local(kind, col, other[0]) for name, (kind, col, *other) in aggs.items() if other}
+    for group in (finer, plain):
+        if group:
+            rows = rows.select("*", *[c.alias(f"_l_{name}") for name, c in group.items()])
     joined = rows.join(offsets, [*by, "_bucket"], "left")
 
     def combine(name: str, kind: str) -> Column:
@@ -87,7 +89,7 @@ def running(
     )
 
 
-def bucket_bits(rows: int, per_bucket: int = 50_000) -> int:
+def bucket_bits(rows: int, per_bucket: int = 250_000) -> int:
     """Bits for value_bucket that keep an evenly spread group near ``per_bucket`` rows."""
     return max(2, min(16, math.ceil(math.log2(max(1.0, rows / per_bucket)))))
 

@@ -332,13 +332,11 @@ def number_or_null(d: Data):
 
 
 @query("round_digits", """
-  select l_orderkey, l_linenumber, round(l_extendedprice / 13e0, 1) as r1, round(l_extendedprice / 7e0, 2) as r2,
-         round(l_extendedprice / 7e0, 3) as r3, round(l_extendedprice / 7e0, 4) as r4 from lineitem""", ())
+  select l_orderkey, l_linenumber, round(sqrt(l_extendedprice), 1) as r1, round(sqrt(l_extendedprice), 2) as r2,
+         round(sqrt(l_extendedprice), 3) as r3, round(sqrt(l_extendedprice), 4) as r4 from lineitem""", ())
 def round_digits(d: Data):
-    seventh = F.col("l_extendedprice") / 7.0
-    return d.table("lineitem").select(
-        "l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") / 13.0, 1).alias("r1"),
-        F.round(seventh, 2).alias("r2"), F.round(seventh, 3).alias("r3"), F.round(seventh, 4).alias("r4"))
+    root = F.sqrt("l_extendedprice")
+    return d.table("lineitem").select("l_orderkey", "l_linenumber", *[F.round(root, n).alias(f"r{n}") for n in (1, 2, 3, 4)])
 
 
 @query("clip_range", """
