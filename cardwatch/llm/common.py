@@ -74,4 +74,5 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         links = step
         if same:
             break
-    return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    named = links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(links.select("v", "v"))
+    return named.groupBy("node").agg(F.min("root").alias("root"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import exact_topk, forest_search, mixing, packing, sharding, warc
+from cardwatch.llm import exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding, toxicity, warc
 from cardwatch.llm.common import table
 from cardwatch.session import pin
 
@@ -33,6 +33,12 @@ def op1_shard(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    rated = toxicity.rated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return rated.drop("text")
+
+
 @query("op4_nearest")
 def op4_nearest(spark, sf_dir):
     return forest_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -43,6 +49,37 @@ def op5_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_ngram_join", """
+with recursive worded as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') as words
+    from documents
+), sets as (
+    select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+        else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as grams
+    from worded
+), entries as (
+    select doc_id, len(grams) as n, unnest(grams) as gram from sets
+), links as (
+    select a.doc_id as x, b.doc_id as y
+    from entries a join entries b on a.gram = b.gram and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+    select doc_id as x, doc_id as y from documents union select r.x, l.y from reach r join links l on r.y = l.x
+), least as (
+    select x, min(y) as component_id from reach group by x
+)
+select doc_id, cast(len(grams) as bigint) as n_shingles, component_id from sets join least on x = doc_id
+""")
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.join_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_mix")
 def op8_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
