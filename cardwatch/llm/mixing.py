@@ -6,7 +6,6 @@ import math
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -222,3 +221,31 @@ def _to_the_word(drawn: DataFrame, source_rows: DataFrame, seed: int, copy: str,
         .withColumn("copies", F.filter(shuffled, lambda c: c["words"] > 0))
         .select("doc_id", "h", "source", "size", "source_size", "target", words.alias("taken"), "copies")
     )
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: one row per copy of a document, with the columns of ``docs``.
+
+    Copies lie where the join puts them and are shuffled there by their random place. The one document
+    per source that goes in partly keeps its first words, and ``n_chars`` is then its new length.
+    Rows equal in doc_id and text share their copies.
+    """
+    columns = docs.columns
+    plan = mix(docs, **options).groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
+        F.flatten(F.collect_list("copies")).alias("copies"), F.first("size").alias("own_size"))
+    marked = docs.withColumn("own_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "own_text_hash"])
+    each = marked.join(
+        plan.filter(F.size("copies") > 0), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text_hash") == F.col("own_h")),
+    ).select(*columns, "own_size", F.explode("copies").alias("copy")).select(*columns, "own_size", "copy.words", "copy.place")
+
+    def cut(batches):
+        for batch in batches:
+            texts, sizes = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
+            for i, (size, words) in enumerate(zip(batch.column("own_size").to_pylist(), batch.column("words").to_pylist())):
+                if words < size:
+                    texts[i] = b" ".join(texts[i].encode().split()[:words]).decode()
+                    sizes[i] = len(texts[i])
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, pa.int64())}
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
+
+    return each.sortWithinPartitions("place").mapInArrow(cut, docs.schema)

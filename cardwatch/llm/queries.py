@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding, toxicity, warc
+from cardwatch.llm import exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity, warc
 from cardwatch.llm.common import table
 from cardwatch.session import pin
 
@@ -33,6 +33,12 @@ def op1_shard(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.removed(docs, keep_first=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark, sf_dir):
     rated = toxicity.rated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
