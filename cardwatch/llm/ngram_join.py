@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import components
+from cardwatch.llm.common import components, found_rows
 from cardwatch.session import materialize
 
 #: Words of an n-gram; two sets link if PART * common >= WHOLE * (sum of sizes), which is a Jaccard index of 0.8.
@@ -107,6 +107,8 @@ def beginnings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     less than that, have one in common. Copies within a task are taken once.
     """
 
+    frequent = np.append(frequent, np.uint64(2**64 - 1))  # a place for what is above all
+
     def spread(batches):
         grams, known = NGrams(), set()
         for batch in batches:
@@ -118,7 +120,7 @@ def beginnings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if len(known) > REMEMBERED:
                     known.clear()
                 known.add(node)
-                last = np.isin(g, frequent) if len(frequent) else np.zeros(len(g), bool)
+                last = frequent[np.searchsorted(frequent, g)] == g
                 first = np.concatenate([g[~last], g[last]])[:len(g) - int(least_common(len(g))) + 1]
                 out.append((first, node, len(g)))
             if out:
@@ -280,22 +282,22 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     near = materialize(candidates(docs, sets.count()), "join-candidates")
     groups = materialize(components(near, "join-group"), "join-groups")
-    chosen = sets.filter("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("doc"))
-    wanted = groups.join(chosen, "node").select(
-        F.col("node"), F.col("root").alias("grp"), F.col("doc.doc_id").alias("own_id"), F.col("doc.h").alias("own_h"))
-    texts = _raw(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")))
+    sized = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    chosen = sets.join(groups, "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "h")).alias("doc"))
+    wanted = chosen.join(sized, "root").select(
+        "node", "parts", F.col("root").alias("grp"), F.col("doc.doc_id").alias("own_id"), F.col("doc.h").alias("own_h"))
+    texts = found_rows(_raw(docs), wanted, "join-wanted")
 
     def build(batches):
         grams = NGrams()
         for batch in batches:
             packed = pa.array([grams(r.as_py()).tobytes() for r in batch.column("raw")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("node"), packed], ["grp", "node", "grams"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "parts", "node")), packed],
+                                             ["grp", "parts", "node", "grams"])
 
-    full = materialize(texts.select("raw", "node", "grp").mapInArrow(build, "grp long, node long, grams binary"), "join-sets")
-    sized = groups.groupBy(F.col("root").alias("grp")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    blocks = full.join(sized, "grp").select("grp", "node", "grams", part.alias("own"), other.alias("other")).select(
+    full = texts.select("raw", "node", "grp", "parts").mapInArrow(build, "grp long, parts int, node long, grams binary")
+    own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    blocks = full.select("grp", "node", "grams", own.alias("own"), other.alias("other")).select(
         "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "grams")
     return blocks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(_compare, "a long, b long")
 

@@ -36,7 +36,7 @@ def op1_shard(spark, sf_dir):
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.removed(docs, keep_first=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup.digests(docs, keep_first=False)
 
 
 @query("op3_toxicity")

@@ -10,8 +10,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from cardwatch.llm.common import found_keys, found_rows
 from cardwatch.session import materialize
 
 #: Bytes of a repeated string, of the anchor that is chosen inside it, and of text that is hashed at once.
@@ -260,8 +260,8 @@ def repeats(docs: DataFrame, keep_first: bool, text: str = "text") -> DataFrame:
     arrays. With ``keep_first`` the first place in the order of the corpus is left out.
     """
     runs = materialize(_all_runs(docs, text), "dedup-runs")
-    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    some = materialize(runs.join(again, "anchor"), "dedup-some")
+    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    some = materialize(found_keys(runs, again, "anchor", "dedup-again").drop("n"), "dedup-some")
     spans = materialize(
         some.groupBy("anchor", "span").agg(F.count("*").alias("copies"), F.min(_place()).alias("least"), F.max("windows").alias("windows")),
         "dedup-spans")
@@ -274,7 +274,7 @@ def repeats(docs: DataFrame, keep_first: bool, text: str = "text") -> DataFrame:
         .groupBy(F.col("least.doc_id").alias("own_id"), F.col("least.h").alias("own_h"))
         .agg(F.collect_list(F.struct("anchor", F.col("least.first").alias("first"), "windows", "kinds")).alias("parts"))
     )
-    texts = _documents(docs, text).join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")))
+    texts = found_rows(_documents(docs, text), wanted, "dedup-wanted")
 
     def cut(batches):
         for batch in batches:
@@ -308,44 +308,54 @@ def kept_parts(raw: bytes, found: list[tuple[int, int]]) -> tuple[list[bytes], i
     return [*parts, raw[at:]], cuts
 
 
-def removed(docs: DataFrame, keep_first: bool = True, text: str = "text", min_length: int = LENGTH) -> DataFrame:
-    """Documents without the bytes of strings of 200 bytes that stand elsewhere too, all columns kept.
+CUT = "n_removed long, n_spans long, kept_sha256 string, kept array<binary>"
+
+
+def removed(docs: DataFrame, keep_first: bool = True, text: str = "text") -> DataFrame:
+    """Documents that hold a string of 200 bytes which stands elsewhere too, and what is left of them.
 
     Texts are UTF-8 bytes; matches do not cross documents, and strings are judged on the input. With
     ``keep_first`` the first place in the corpus (by doc_id, NULL last, then position) stays; else every
-    place goes. Adds n_bytes, n_removed, n_spans (cuts), kept_sha256 and kept (the bytes left); columns
-    of these names are replaced.
+    place goes. One row per touched document: doc_id, h (hash of the text), n_removed, n_spans
+    (cuts), kept_sha256 and kept (the pieces of bytes left).
 
     NULL text: no bytes. Rows that are equal in doc_id and text are one document when the first place
-    is chosen, and copies of each other when every place goes. An empty table gives an empty result.
+    is chosen, and copies of each other when every place goes; they give one row. Other columns are
+    not read.
     """
-    if min_length != LENGTH:
-        raise ValueError(f"strings of {LENGTH} bytes only")
     found = materialize(repeats(docs, keep_first, text), "dedup-found")
     by_doc = found.groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
-        F.collect_set(F.struct("first", "windows")).alias("own_found"))
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    base = docs.drop(*added)
-    columns = base.columns
-    joined = base.withColumn("own_text_hash", F.xxhash64(text)).join(
-        by_doc, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text_hash") == F.col("own_h")), "left")
+        F.collect_set(F.struct("first", "windows")).alias("found"))
+    touched = found_rows(_documents(docs, text), by_doc, "dedup-by-doc").dropDuplicates(["doc_id", "h"])
 
     def cut(batches):
         for batch in batches:
             out = []
-            for value, parts in zip(batch.column(text), batch.column("own_found").to_pylist()):
-                raw = (value.as_py() or "").encode()
-                pieces, cuts = kept_parts(raw, [(p["first"], p["windows"]) for p in parts or []])
+            for raw, parts in zip(batch.column("raw").to_pylist(), batch.column("found").to_pylist()):
+                pieces, cuts = kept_parts(raw, [(p["first"], p["windows"]) for p in parts])
                 left = b"".join(pieces)
-                out.append((len(raw), len(raw) - len(left), cuts, hashlib.sha256(left).hexdigest(), pieces))
-            cols = list(zip(*out)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.binary()))
+                out.append((len(raw) - len(left), cuts, hashlib.sha256(left).hexdigest(), pieces))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.binary()))
+            cols = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *(pa.array(c, k) for c, k in zip(cols, kinds))], [*columns, *added])
+                [batch.column("doc_id"), batch.column("h"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                ["doc_id", "h", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    kinds = (T.LongType(), T.LongType(), T.LongType(), T.StringType(), T.ArrayType(T.BinaryType()))
-    return joined.select(*columns, "own_found").mapInArrow(
-        cut, T.StructType([*base.schema.fields, *map(T.StructField, added, kinds)]))
+    return touched.select("doc_id", "h", "raw", "found").mapInArrow(cut, f"doc_id long, h long, {CUT}")
+
+
+def digests(docs: DataFrame, keep_first: bool = True, text: str = "text") -> DataFrame:
+    """Per document row doc_id, n_bytes, n_removed, n_spans and kept_sha256; see ``removed``.
+
+    An empty table gives an empty result.
+    """
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    whole = docs.select("doc_id", F.xxhash64(text).alias("h"), F.octet_length(raw).cast("long").alias("n_bytes"),
+                        F.sha2(raw, 256).alias("whole_sha256"))
+    cut = materialize(removed(docs, keep_first, text).drop("kept"), "dedup-cut").withColumnsRenamed({"doc_id": "own_id", "h": "own_h"})
+    return whole.join(cut, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")), "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -354,19 +364,17 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     A character that a cut splits goes with the cut. ``n_chars`` is the new length where the text has
     changed. Documents of which nothing is left drop out; NULL and empty texts stay as they are.
     """
-    columns = docs.columns
-    found = removed(docs, keep_first=True).filter("n_removed < n_bytes or n_bytes = 0")
-
     def write(batches):
         for batch in batches:
-            texts, sizes = [], []
-            for value, size, n, pieces in zip(*(batch.column(c).to_pylist() for c in ("text", "n_chars", "n_removed", "kept"))):
-                if n:
-                    value = "".join(p.decode("utf-8", "ignore") for p in pieces)
-                    size = len(value)
-                texts.append(value)
-                sizes.append(size)
-            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
-
-    return found.mapInArrow(write, docs.schema)
+            texts = ["".join(p.decode("utf-8", "ignore") for p in pieces) for pieces in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("h"), pa.array(texts, pa.string())], ["own_id", "own_h", "own_text"])
+
+    cut = removed(docs, keep_first=True).select("doc_id", "h", "kept").mapInArrow(write, "own_id long, own_h long, own_text string")
+    marked = docs.withColumn("own_text_hash", F.xxhash64("text"))
+    cut = materialize(cut, "dedup-texts")
+    joined = marked.join(cut, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text_hash") == F.col("own_h")), "left")
+    changed = {"text": F.coalesce("own_text", "text"),
+               "n_chars": F.when(F.col("own_text").isNull(), F.col("n_chars")).otherwise(F.length("own_text").cast("long"))}
+    return joined.filter("own_text is null or own_text <> ''").select(
+        *(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
