@@ -15,10 +15,11 @@ from cardwatch.session import materialize
 
 #: Words of an n-gram; two sets link if PART * common >= WHOLE * (sum of sizes), which is a Jaccard index of 0.8.
 WORDS, PART, WHOLE = 5, 9, 4
-#: Documents looked at to find frequent n-grams, how often such an n-gram occurs among them, and how many are kept.
-SAMPLE, FREQUENT, MOST_FREQUENT = 8192, 3, 200_000
+#: One in EVERY documents is looked at to find frequent n-grams (all of fewer than SAMPLE documents), how often
+#: such an n-gram occurs among those, and how many n-grams are kept.
+EVERY, SAMPLE, FREQUENT, MOST_FREQUENT = 32, 8192, 2, 1_000_000
 #: Columns of the incidence matrix up to this length give their pairs at once; nodes in a block of a longer one.
-SHORT, BLOCK = 64, 512
+SHORT, BLOCK = 256, 512
 REMEMBERED = 300_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,7 +85,7 @@ def frequent_grams(docs: DataFrame, rows: int) -> np.ndarray:
     Any order gives the same links; this one keeps passages that many documents share out of the
     short beginnings that are compared.
     """
-    every = max(1, rows // SAMPLE)
+    every = min(EVERY, max(1, rows // SAMPLE))
 
     def spread(batches):
         grams = NGrams()
