@@ -17,10 +17,10 @@ from cardwatch.session import materialize
 WORDS, PART, WHOLE = 5, 9, 4
 #: One in EVERY documents is looked at to find frequent n-grams (all of fewer than SAMPLE documents), how often
 #: such an n-gram occurs among those, and how many n-grams are kept.
-EVERY, SAMPLE, FREQUENT, MOST_FREQUENT = 32, 8192, 2, 1_000_000
+EVERY, SAMPLE, FREQUENT, MOST_FREQUENT = 32, 8192, 2, 200_000
 #: Columns of the incidence matrix up to this length give their pairs at once; nodes in a block of a longer one.
 SHORT, BLOCK = 256, 512
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 

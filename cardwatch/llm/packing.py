@@ -19,7 +19,7 @@ CAPACITY, LEAST = 2048, 64
 #: Id that ends every document.
 END_ID = 1
 #: Words whose ids a worker remembers; the older half goes when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hashed words, bins per statistic, rank of the interactions, words remembered per worker.
-SPACE, BINS, RANK, REMEMBERED = 2**15, 16, 8, 300_000
+SPACE, BINS, RANK, REMEMBERED = 2**15, 16, 8, 150_000
 #: Bounded sample of labelled rows, passes over it, rows per step, rate, ridge.
-SAMPLE, PASSES, STEP_ROWS, RATE, RIDGE = 12_000, 8, 64, 0.05, 1e-5
+SAMPLE, PASSES, STEP_ROWS, RATE, RIDGE = 8_000, 8, 64, 0.05, 1e-5
 #: Score from which a text counts as good.
 GOOD = 0.3
 UPPER, LOWER, DIGIT, SPACES, STOPS, MARKS, HIGH = range(7)

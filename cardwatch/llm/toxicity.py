@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Hashed features, letters of the word beginnings used besides whole words, words remembered per worker.
-SPACE, BEGINNINGS, REMEMBERED = 2**20, (4, 5), 300_000
+SPACE, BEGINNINGS, REMEMBERED = 2**20, (4, 5), 150_000
 #: Bounded sample of labelled rows per label, how much more frequent a feature must be, features kept, weight of the L1 penalty, steps.
-SAMPLE, LIFT, KEPT, PENALTY, STEPS = 6000, 10, 1024, 2e-4, 300
+SAMPLE, LIFT, KEPT, PENALTY, STEPS = 4000, 10, 1024, 2e-4, 300
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -121,8 +121,8 @@ def _screened(cols: np.ndarray, rows: np.ndarray, marked: np.ndarray, kept: int)
     return np.sort(best[score[best] > 0])
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> list[tuple[int, np.ndarray, np.ndarray, int]]:
-    """Feature counts of a bounded sample of labelled rows: (label, features, counts, words).
+def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> list[tuple[int, bytes, bytes]]:
+    """Feature counts of a bounded sample of labelled rows: (label, features, counts) with both as 32-bit numbers.
 
     Of each label the rows with the smallest hash of doc_id; the texts are read with the sampled ids
     at hand (at most ``per_label`` per label), so no text is shuffled.
@@ -136,20 +136,19 @@ def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) ->
         counted = Counted()
         for batch in batches:
             out = []
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                found, words = counted(text)
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
+                found = counted(text.as_py())[0]
                 out.append((label, np.fromiter(found, np.uint32, len(found)).tobytes(),
-                            np.fromiter(found.values(), np.uint32, len(found)).tobytes(), words))
-            cols = list(zip(*out)) or [[]] * 4
+                            np.fromiter(found.values(), np.uint32, len(found)).tobytes()))
+            cols = list(zip(*out)) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.int64()))],
-                ["label", "features", "counts", "words"])
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()))],
+                ["label", "features", "counts"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label").mapInArrow(
-        count, "label int, features binary, counts binary, words long")
-    rows = [(r["label"], np.frombuffer(r["features"], np.uint32).astype(np.int64),
-             np.frombuffer(r["counts"], np.uint32).astype(np.float64), r["words"]) for r in found.toLocalIterator()]
-    return sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+        count, "label int, features binary, counts binary")
+    rows = {(r["label"], bytes(r["features"]), bytes(r["counts"])) for r in found.toLocalIterator()}  # copies teach once
+    return sorted(rows, key=lambda r: (r[0], len(r[1]), r[1], r[2]))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
@@ -160,15 +159,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     flagged texts. Without labels of both kinds the model finds nothing toxic.
     """
     rows = sample_rows(docs, labels)
-    rows = [r for i, r in enumerate(rows) if not i or r[1].tobytes() != rows[i - 1][1].tobytes()]  # copies teach once
     flagged = np.array([r[0] > 0 for r in rows], bool)
     if not flagged.any() or flagged.all():
         return OrdinalModel({}, np.array([50.0, 50.0]))
-    owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    cols = np.concatenate([r[1] for r in rows])
-    counts = np.concatenate([r[2] for r in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[1]) // 4 for r in rows])
+    cols = np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
+    counts = np.frombuffer(b"".join(r[2] for r in rows), np.uint32)
     kept = _screened(cols, owner, flagged, KEPT)
-    inside = np.isin(cols, kept)
+    inside = np.isin(np.arange(SPACE), kept)[cols]
     owner, cols, counts = owner[inside], np.searchsorted(kept, cols[inside]), counts[inside]
     n, m = max(1, int((~flagged).sum())), int(flagged.sum())
     clean = np.bincount(cols[~flagged[owner]], minlength=len(kept))
