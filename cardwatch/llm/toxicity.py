@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 #: Hashed features, letters of the word beginnings used besides whole words, words remembered per worker.
 SPACE, BEGINNINGS, REMEMBERED = 2**20, (4, 5), 150_000
 #: Bounded sample of labelled rows per label, how much more frequent a feature must be, features kept, weight of the L1 penalty, steps.
-SAMPLE, LIFT, KEPT, PENALTY, STEPS = 4000, 10, 1024, 2e-4, 300
+SAMPLE, LIFT, KEPT, PENALTY, STEPS = 4000, 10, 1024, 1e-4, 300
+#: Chance of a grade above 0 from which a text is called toxic.
+TOXIC = 0.3
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -32,7 +34,7 @@ class Counted:
     def __init__(self, kept: set[int] | None = None):
         self.kept, self.seen = kept, {}
 
-    def __call__(self, text: str | None) -> tuple[dict[int, int], int]:
+    def __call__(self, text: str | None) -> dict[int, int]:
         words = Counter(WORD.findall((text or "").lower()))
         out: dict[int, int] = {}
         for word, n in words.items():
@@ -45,7 +47,7 @@ class Counted:
                 self.seen[word] = found
             for f in found:
                 out[f] = out.get(f, 0) + n
-        return out, words.total()
+        return out
 
 
 @dataclass
@@ -137,7 +139,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) ->
         for batch in batches:
             out = []
             for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
-                found = counted(text.as_py())[0]
+                found = counted(text.as_py())
                 out.append((label, np.fromiter(found, np.uint32, len(found)).tobytes(),
                             np.fromiter(found.values(), np.uint32, len(found)).tobytes()))
             cols = list(zip(*out)) or [[]] * 3
@@ -181,7 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
 
 
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and expected_severity, grade (the likeliest) and toxic (grade above 0 is likelier).
+    """All columns of ``docs`` and expected_severity, grade (the likeliest) and toxic (the chance
+    of a grade above 0 is TOXIC or more).
 
     Expected severity is the sum of the chances to be above each threshold: 0 to the number of
     thresholds. NULL and empty texts have no features. The columns added replace those of their name.
@@ -195,11 +198,11 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame
         for batch in batches:
             severity, grade, toxic = [], [], []
             for t in batch.column(text):
-                above = model.above(counted(t.as_py())[0])
+                above = model.above(counted(t.as_py()))
                 chance = -np.diff(np.concatenate([[1.0], above, [0.0]]))
                 severity.append(float(above.sum()))
                 grade.append(int(np.argmax(chance)))
-                toxic.append(bool(above[0] >= 0.5))
+                toxic.append(bool(above[0] >= TOXIC))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(severity, pa.float64()), pa.array(grade, pa.int32()), pa.array(toxic, pa.bool_())],
                 [*batch.schema.names, *added])
