@@ -18,8 +18,9 @@ WORDS, PART, WHOLE = 5, 9, 4
 #: One in EVERY documents is looked at to find frequent n-grams (all of fewer than SAMPLE documents), how often
 #: such an n-gram occurs among those, and how many n-grams are kept.
 EVERY, SAMPLE, FREQUENT, MOST_FREQUENT = 32, 8192, 2, 200_000
-#: Columns of the incidence matrix up to this length give their pairs at once; nodes in a block of a longer one.
-SHORT, BLOCK = 256, 512
+#: Columns of the incidence matrix up to this length give their pairs at once; nodes in a block of a
+#: group, and shared n-grams multiplied at once.
+SHORT, BLOCK, SLICE = 256, 512, 2048
 REMEMBERED = 120_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -195,7 +196,7 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif high - low > 1:
                 columns.append((node[low:high], n[low:high]))
                 pending += (high - low) ** 2
-                if pending > 400_000:
+                if pending > 100_000:
                     yield emit(_overlaps(columns))
                     columns, pending = [], 0
         if columns:
@@ -231,9 +232,9 @@ def _linked(grams: list[np.ndarray]) -> np.ndarray:
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
         common = np.zeros((len(grams), len(grams)), np.float32)
-        for low in range(0, int(shared.sum()), 8192):
-            i, j = np.searchsorted(column, [low, low + 8192])
-            part = np.zeros((len(grams), 8192), np.float32)
+        for low in range(0, int(shared.sum()), SLICE):
+            i, j = np.searchsorted(column, [low, low + SLICE])
+            part = np.zeros((len(grams), SLICE), np.float32)
             part[owner[i:j], column[i:j] - low] = 1
             common += part @ part.T
     return PART * common >= WHOLE * (sizes[:, None] + sizes[None])

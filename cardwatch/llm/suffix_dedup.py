@@ -15,9 +15,9 @@ from cardwatch.llm.common import found_keys, found_rows
 from cardwatch.session import materialize
 
 #: Bytes of a repeated string, of the anchor that is chosen inside it, and of text that is hashed at once.
-LENGTH, ANCHOR, PIECE = 200, 64, 1 << 21
+LENGTH, ANCHOR, PIECE = 200, 64, 1 << 19
 #: Bytes of spans in one suffix array; an anchor with more different spans than this is dealt out by window.
-AT_ONCE, MOST_SPANS = 1 << 20, 2000
+AT_ONCE, MOST_SPANS = 1 << 18, 500
 WIDE = LENGTH - ANCHOR + 1
 #: Bits of a hash that give way to the position.
 PLACE = np.uint64((1 << 22) - 1)
@@ -102,7 +102,7 @@ def ranks(code: np.ndarray) -> list[tuple[int, np.ndarray]]:
         value = (value << np.uint64(8)) | padded[j:j + n + LENGTH]
     out, size = [], 8
     rank = np.unique(value, return_inverse=True)[1].astype(np.uint64)
-    out.append((8, rank))
+    out.append((8, rank.astype(np.uint32)))
     while size < LENGTH:
         step = min(size, LENGTH - size)
         key = np.zeros_like(rank)
@@ -110,7 +110,7 @@ def ranks(code: np.ndarray) -> list[tuple[int, np.ndarray]]:
         key[-step:] = rank[-step:] * np.uint64(len(rank))
         rank = np.unique(key, return_inverse=True)[1].astype(np.uint64)
         size += step
-        out.append((size, rank))
+        out.append((size, rank.astype(np.uint32)))
     return out
 
 
