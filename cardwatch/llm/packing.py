@@ -19,7 +19,7 @@ CAPACITY, LEAST = 2048, 64
 #: Id that ends every document.
 END_ID = 1
 #: Words whose ids a worker remembers; the older half goes when it is full.
-REMEMBERED = 120_000
+REMEMBERED = 250_000
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -72,6 +72,16 @@ class WordEncoder:
             yield b"".join(map(self.new.__getitem__, words))
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process: the tasks that run there one after another share its words."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def cuts(n: int, capacity: int = CAPACITY, least: int = LEAST) -> list[int]:
     """Lengths of a document's pieces: whole sequences, then powers of two, then a rest below ``least``."""
     whole, rest = divmod(n, capacity)
@@ -134,7 +144,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
     spark = docs.sparkSession
 
     def pieces(batches):
-        encoder, end = WordEncoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        encoder, end = worker_encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             names, raws = batch.column("doc_id").to_pylist(), batch.column("raw").to_pylist()
             rows = []
