@@ -20,6 +20,8 @@ CAPACITY, LEAST = 2048, 64
 END_ID = 1
 #: Words whose ids a worker remembers; the older half goes when it is full.
 REMEMBERED = 250_000
+#: New words that are encoded as one text.
+TOGETHER = 500
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -34,12 +36,29 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(names.values()) + 1, bool)
+        self.closing[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        """Ids of each word. Words of letters go through together and are told apart by their closing tokens."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        letters = [i for i, t in enumerate(texts) if t.isalpha()]
+        groups = [letters[i:i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in g) for g in groups], add_special_tokens=False)
+        out: dict[int, bytes] = {}
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, "<u4")
+            cut = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+            if len(cut) == len(group):
+                raw = ids.tobytes()
+                out.update(zip(group, (raw[i:j] for i, j in zip([0, *cut], cut))))
+        rest = [i for i in range(len(texts)) if i not in out]
+        single = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        out.update((i, np.array(e.ids, "<u4").tobytes()) for i, e in zip(rest, single))
+        return [out[i] for i in range(len(texts))]
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.new) > REMEMBERED:
