@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def veiled(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with numbered column names, which clash with none of an operator's own, and where each went."""
+    names = {c: f"col{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def _marked(wanted: DataFrame, name: str) -> DataFrame:
     """Write ``wanted`` so that an inner join with it filters the other side by a Bloom filter of its keys.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import numbered
+from cardwatch.llm.common import numbered, veiled
 from cardwatch.session import materialize
 
 #: Weights by the sources' order, share of all words that the mix takes, and how often a source may go in at most.
@@ -230,22 +230,24 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     per source that goes in partly keeps its first words, and ``n_chars`` is then its new length.
     Rows equal in doc_id and text share their copies.
     """
-    columns = docs.columns
-    plan = mix(docs, **options).groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
-        F.flatten(F.collect_list("copies")).alias("copies"), F.first("size").alias("own_size"))
-    marked = docs.withColumn("own_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "own_text_hash"])
-    each = marked.join(
-        plan.filter(F.size("copies") > 0), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text_hash") == F.col("own_h")),
-    ).select(*columns, "own_size", F.explode("copies").alias("copy")).select(*columns, "own_size", "copy.words", "copy.place")
+    plan = mix(docs, **options).filter(F.size("copies") > 0).groupBy(
+        F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
+        F.flatten(F.collect_list("copies")).alias("copies"), F.first("size").alias("size"))
+    plain, at = veiled(docs)
+    marked = plain.withColumns({"doc_id": F.col(at["doc_id"]), "h": F.xxhash64(at["text"])}).dropDuplicates(["doc_id", "h"])
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h"))
+    each = marked.join(plan, same).select(*at.values(), "size", F.explode("copies").alias("copy"))
+    each = each.select(*at.values(), "size", F.col("copy.words").alias("words"), F.col("copy.place").alias("place"))
 
     def cut(batches):
         for batch in batches:
-            texts, sizes = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
-            for i, (size, words) in enumerate(zip(batch.column("own_size").to_pylist(), batch.column("words").to_pylist())):
+            texts, sizes = batch.column(at["text"]).to_pylist(), batch.column(at["n_chars"]).to_pylist()
+            for i, (size, words) in enumerate(zip(batch.column("size").to_pylist(), batch.column("words").to_pylist())):
                 if words < size:
                     texts[i] = b" ".join(texts[i].encode().split()[:words]).decode()
                     sizes[i] = len(texts[i])
-            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
+            new = {at["text"]: pa.array(texts, pa.string()), at["n_chars"]: pa.array(sizes, pa.int64())}
+            names = list(at.values())
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in names], names)
 
-    return each.sortWithinPartitions("place").mapInArrow(cut, docs.schema)
+    return each.sortWithinPartitions("place").mapInArrow(cut, plain.schema).toDF(*docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import components, found_rows
+from cardwatch.llm.common import components, found_rows, veiled
 from cardwatch.session import materialize
 
 #: Words of an n-gram; two sets link if PART * common >= WHOLE * (sum of sizes), which is a Jaccard index of 0.8.
@@ -340,10 +340,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     first = classes.filter("node is not null").groupBy("class").agg(F.min(order).alias("first"))
     stay = first.select(F.col("first.doc_id").alias("own_id"), F.col("first.h").alias("own_h"))
-    columns = docs.columns
-    words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.withColumn("own_h", F.xxhash64("text"))
-    kept = marked.filter(words).join(
-        stay.withColumnRenamed("own_h", "stay_h"),
-        F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_h") == F.col("stay_h")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "own_h"]).select(columns).union(docs.filter(~words).select(columns))
+    plain, at = veiled(docs)
+    words = F.coalesce(F.col(at["text"]), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = plain.filter(words).withColumns({"doc_id": F.col(at["doc_id"]), "h": F.xxhash64(at["text"])})
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h"))
+    kept = marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", "h"]).drop("doc_id", "h")
+    return kept.union(plain.filter(~words)).toDF(*docs.columns)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import found_keys, found_rows
+from cardwatch.llm.common import found_keys, found_rows, veiled
 from cardwatch.session import materialize
 
 #: Bytes of a repeated string, of the anchor that is chosen inside it, and of text that is hashed at once.
@@ -371,10 +371,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("h"), pa.array(texts, pa.string())], ["own_id", "own_h", "own_text"])
 
     cut = removed(docs, keep_first=True).select("doc_id", "h", "kept").mapInArrow(write, "own_id long, own_h long, own_text string")
-    marked = docs.withColumn("own_text_hash", F.xxhash64("text"))
     cut = materialize(cut, "dedup-texts")
-    joined = marked.join(cut, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text_hash") == F.col("own_h")), "left")
-    changed = {"text": F.coalesce("own_text", "text"),
-               "n_chars": F.when(F.col("own_text").isNull(), F.col("n_chars")).otherwise(F.length("own_text").cast("long"))}
-    return joined.filter("own_text is null or own_text <> ''").select(
-        *(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+    plain, at = veiled(docs)
+    text, n_chars = F.col(at["text"]), F.col(at["n_chars"])
+    same = F.col(at["doc_id"]).eqNullSafe(F.col("own_id")) & (F.xxhash64(at["text"]) == F.col("own_h"))
+    joined = plain.join(cut, same, "left").filter("own_text is null or own_text <> ''")
+    changed = {"text": F.coalesce("own_text", text),
+               "n_chars": F.when(F.col("own_text").isNull(), n_chars).otherwise(F.length("own_text").cast("long"))}
+    return joined.select(*(changed.get(c, F.col(name)).alias(c) for c, name in at.items()))
