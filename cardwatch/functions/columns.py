@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -102,3 +102,10 @@ def value_bucket(value: Column, bits: int = 10) -> Column:
         .otherwise(F.when(v > 0, code).otherwise(-code))
         .cast("bigint")
     )
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL, as groups have it; the keys of ``left`` stay."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.columns import safe_div, value_bucket
+from cardwatch.functions.columns import join_on, safe_div, value_bucket
 from cardwatch.operators.ordered import running
 
 
@@ -29,7 +29,7 @@ def confusion(df: DataFrame, label: str, pred: str, by: list[str], classes: tupl
     for name in ("label", "prediction"):
         grid = grid.withColumn(name, F.explode(F.array(*[F.lit(c) for c in classes])))
     keys = [*by, "label", "prediction"]
-    return grid.join(found, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
+    return join_on(grid, found, keys).select(*keys, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def binary_metrics(df: DataFrame, label: str, pred: str, by: list[str]) -> DataFrame:

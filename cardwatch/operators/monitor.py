@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.functions.columns import value_bucket
+from cardwatch.functions.columns import join_on, value_bucket
 from cardwatch.functions.timeparts import GRAINS, spans
 from cardwatch.operators.classification import averages, cells, class_rows
 from cardwatch.operators.ordered import bin_of, bucket_bits, running
@@ -164,7 +164,7 @@ def profile(
         .filter(F.col("num").isNotNull()).groupBy(*by, *CELL).agg(F.count(F.lit(1)).alias("distinct_count"))
     )
     distinct = named(distinct, columns, slices, granularities)
-    joined = merged.join(distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
+    joined = join_on(merged, distinct, keys).withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
     return _public(joined)
 
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.columns import value_bucket
+from cardwatch.functions.columns import join_on, value_bucket
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "next": F.min, "total": F.sum}
 
@@ -71,7 +71,7 @@ def running(
     for group in (finer, plain):
         if group:
             rows = rows.select("*", *[c.alias(f"_l_{name}") for name, c in group.items()])
-    joined = rows.join(offsets, [*by, "_bucket"], "left")
+    joined = join_on(rows, offsets, [*by, "_bucket"])
 
     def combine(name: str, kind: str) -> Column:
         here, other = F.col(f"_l_{name}"), F.col(f"_o_{name}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardwatch.functions.columns import join_on
 from cardwatch.operators.ordered import exact_quantiles, value_table
 from cardwatch.sources.tables import typed_from_text, write_table
 
@@ -27,7 +28,10 @@ def payload_records(df: DataFrame, body_col: str, schema: T.StructType) -> DataF
 
 
 def payload_split(df: DataFrame, body_col: str, schema: T.StructType) -> DataFrame:
-    """One row per entry of ``dataframe_split.data``, matched to fields by column name."""
+    """One row per entry of ``dataframe_split.data``, matched to fields by column name.
+
+    A cell that a short row lacks is NULL; of a repeated name the first column counts.
+    """
     body = T.StructType([T.StructField("dataframe_split", T.StructType([
         T.StructField("columns", T.ArrayType(T.StringType())),
         T.StructField("data", T.ArrayType(T.ArrayType(T.StringType()))),
@@ -37,9 +41,13 @@ def payload_split(df: DataFrame, body_col: str, schema: T.StructType) -> DataFra
         df.withColumn("_body", F.from_json(body_col, body))
         .select(*keep, F.col("_body.dataframe_split.columns").alias("_names"),
                 F.posexplode("_body.dataframe_split.data").alias("row_no", "_cells"))
-        .withColumn("_row", F.map_from_arrays("_names", "_cells"))
     )
-    return rows.select(*keep, "row_no", *[F.try_element_at("_row", F.lit(f.name)).alias(f.name) for f in schema.fields])
+
+    def cell(name: str) -> Column:
+        place = F.array_position("_names", F.lit(name)).cast("int")
+        return F.try_element_at("_cells", F.when(place > 0, place)).alias(name)
+
+    return rows.select(*keep, "row_no", *[cell(f.name) for f in schema.fields])
 
 
 def _type_fault(field: T.StructField) -> Column:
@@ -97,7 +105,7 @@ def usage_by_day(log: DataFrame, at: str, latency: str) -> DataFrame:
     rows = log.withColumn("usage_date", F.to_date(at))
     totals = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("requests"), F.avg(latency).alias("avg_latency"))
     p95 = exact_quantiles(value_table(rows, by, latency), by, latency, {"p95_latency": 0.95})
-    return totals.join(p95, by, "left")
+    return join_on(totals, p95, by)
 
 
 def latest_per(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
