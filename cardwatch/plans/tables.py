@@ -80,13 +80,23 @@ def delete_where(d: Data):
     return kept.select("transaction_id", "transaction_amount")
 
 
-@query("ingest_batch", "select event_id, ts, user_id, event_type, value from events", ())
+@query("ingest_batch", """
+  select event_id, ts, user_id, event_type, value, cast(null as varchar) as raw_line from events
+  union all select null, null, null, null, null, concat('{"event_id": ', cast(event_id as varchar), ', "value"') from events where event_id % 50 = 0
+  union all select null, null, null, null, null, concat('{"event_id":', cast(event_id as varchar), ',"value":"abc"}') from events where event_id % 50 = 1""", ())
 def ingest_batch(d: Data):
+    """Some events also arrive as a cut line, others as a line with a text in place of a number."""
     landing = fresh_path(d.spark, "landing")
     raw = d.table("events").select("event_id", "ts", "user_id", "event_type", "value")
     raw.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(landing)
+    number = F.col("event_id").cast("string")
+    cut = raw.filter("event_id % 50 = 0").select(F.concat(F.lit('{"event_id": '), number, F.lit(', "value"')))
+    text = raw.filter("event_id % 50 = 1").select(F.concat(F.lit('{"event_id":'), number, F.lit(',"value":"abc"}')))
+    cut.union(text).write.mode("append").text(landing)
     schema = T.StructType([f for f in EVENTS.fields if f.name != "props"])
-    return src.scan(d.spark, src.ingest_batch(d.spark, landing, schema, fresh_path(d.spark, "raw")), schema)
+    path, rejects = fresh_path(d.spark, "raw"), fresh_path(d.spark, "rejects")
+    good = src.scan(d.spark, src.ingest_batch(d.spark, landing, schema, path, rejects=rejects), schema)
+    return good.unionByName(d.spark.read.parquet(rejects).select("raw_line"), allowMissingColumns=True)
 
 
 @query("feature_table_write", f"select card_id, {_cards_sql(ALL_CARD_COLS)} from cards", ("cards",))
@@ -175,9 +185,15 @@ def payload_split(d: Data):
 
 @query("enforce_signature", f"""
   select request_id, row_no, card_id, case when digit in (0, 5) then null else transaction_amount end as transaction_amount,
-         case digit when 0 then 'bad transaction_amount' when 5 then 'bad is_vpn_used' end as reject_reason from ({REQ})""")
+         case digit when 0 then 'bad transaction_amount' when 5 then 'bad is_vpn_used' end as reject_reason from ({REQ})
+  union all select replace(request_id, 'REQ', 'BAD'), null, null, null, 'unreadable body' from ({REQ}) where row_no = 0 and digit = 0""")
 def enforce_signature(d: Data):
-    accepted, rejected = pay.enforce_signature(pay.payload_records(requests(d, spoil=True).drop("request_time"), "body", REQUEST), REQUEST)
+    """Besides the spoiled rows some requests have a body that is cut or no JSON at all."""
+    unreadable = numbered(d).filter("number % 20 = 0").select(
+        F.replace("request_id", F.lit("REQ"), F.lit("BAD")).alias("request_id"),
+        F.when(F.col("number") % 40 == 0, "not json").otherwise('{"dataframe_records":[{"card_id":').alias("body"))
+    bodies = requests(d, spoil=True).drop("request_time").unionByName(unreadable)
+    accepted, rejected = pay.enforce_signature(pay.payload_records(bodies, "body", REQUEST), REQUEST)
     good = accepted.select("request_id", F.col("row_no").cast("int").alias("row_no"), "card_id", "transaction_amount", F.lit(None).cast("string").alias("reject_reason"))
     bad = rejected.select("request_id", "row_no", "card_id", F.lit(None).cast("double").alias("transaction_amount"), "reject_reason")
     return good.unionByName(bad)

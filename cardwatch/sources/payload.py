@@ -15,37 +15,51 @@ def payload_records(df: DataFrame, body_col: str, schema: T.StructType) -> DataF
     """One row per object of ``dataframe_records``; row_no keeps the order inside the request.
 
     Fields are read as text first, so that a bad scalar is seen by the type check and does
-    not make the whole body NULL.
+    not make the whole body NULL. An empty list gives no row. A body without a readable list
+    gives one row whose row_no and fields are NULL, which ``check_signature`` rejects.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     body = T.StructType([T.StructField("dataframe_records", T.ArrayType(text))])
     return (
         df.withColumn("_body", F.from_json(body_col, body))
-        .select(*[c for c in df.columns if c != body_col],
-                F.posexplode("_body.dataframe_records").alias("row_no", "_row"))
-        .select("*", "_row.*").drop("_row")
+        .select(*[c for c in df.columns if c != body_col], *_entries(F.col("_body.dataframe_records"), text))
+        .withColumn("row_no", _number())
+        .select("*", "_row.*").drop("_row", "_read")
     )
 
 
+def _entries(found: Column, kind: T.DataType) -> list[Column]:
+    """The entries of a list with their places; one NULL entry in place of a list that is not there."""
+    return [found.isNotNull().alias("_read"),
+            F.posexplode(F.coalesce(found, F.array(F.lit(None).cast(kind)))).alias("row_no", "_row")]
+
+
+def _number() -> Column:
+    return F.when(F.col("_read"), F.col("row_no"))
+
+
 def payload_split(df: DataFrame, body_col: str, schema: T.StructType) -> DataFrame:
     """One row per entry of ``dataframe_split.data``, matched to fields by column name.
 
-    A cell that a short row lacks is NULL; of a repeated name the first column counts.
+    A cell that a short row lacks is NULL; of a repeated name the first column counts. A body
+    without readable names and rows gives one row of NULLs, as in ``payload_records``.
     """
     body = T.StructType([T.StructField("dataframe_split", T.StructType([
         T.StructField("columns", T.ArrayType(T.StringType())),
         T.StructField("data", T.ArrayType(T.ArrayType(T.StringType()))),
     ]))])
     keep = [c for c in df.columns if c != body_col]
+    part = F.col("_body.dataframe_split")
+    readable = F.when(part["columns"].isNotNull(), part["data"])
     rows = (
         df.withColumn("_body", F.from_json(body_col, body))
-        .select(*keep, F.col("_body.dataframe_split.columns").alias("_names"),
-                F.posexplode("_body.dataframe_split.data").alias("row_no", "_cells"))
+        .select(*keep, part["columns"].alias("_names"), *_entries(readable, T.ArrayType(T.StringType())))
+        .withColumn("row_no", _number())
     )
 
     def cell(name: str) -> Column:
         place = F.array_position("_names", F.lit(name)).cast("int")
-        return F.try_element_at("_cells", F.when(place > 0, place)).alias(name)
+        return F.try_element_at("_row", F.when(place > 0, place)).alias(name)
 
     return rows.select(*keep, "row_no", *[cell(f.name) for f in schema.fields])
 
@@ -61,12 +75,17 @@ def _type_fault(field: T.StructField) -> Column:
 
 
 def check_signature(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add reject_reason: the first column that is missing or of another type, else NULL."""
+    """Add reject_reason: the first column that is missing or of another type, else NULL.
+
+    A parsed body without a row_no could not be read at all.
+    """
     reason = F.coalesce(*[
         F.when(F.col(f.name).isNull(), F.lit(f"missing {f.name}"))
         .when(_type_fault(f), F.lit(f"bad {f.name}"))
         for f in schema.fields
     ])
+    if "row_no" in df.columns:
+        reason = F.when(F.col("row_no").isNull(), F.lit("unreadable body")).otherwise(reason)
     return df.withColumn("reject_reason", reason)
 
 

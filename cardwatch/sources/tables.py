@@ -78,12 +78,27 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def ingest_batch(spark: SparkSession, source: str, schema: T.StructType, path: str, fmt: str = "json") -> str:
-    """Load landing files with a declared schema into a raw table."""
-    reader = spark.read.schema(schema)
+def ingest_batch(
+    spark: SparkSession, source: str, schema: T.StructType, path: str, fmt: str = "json", rejects: str | None = None,
+) -> str:
+    """Load landing files with a declared schema into a raw table.
+
+    Lines of JSON or CSV files that are malformed, or hold a value that is not of its declared
+    type, go whole into the table ``rejects`` (by default ``path`` with the ending -rejects), as
+    raw_line beside the columns that could be read. The landing files are parsed once for each
+    of the two tables.
+    """
+    if fmt not in ("json", "csv"):
+        return write_table(spark.read.schema(schema).format(fmt).load(source), path, mode="append")
+    raw = "raw_line"
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())]))
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return write_table(reader.format(fmt).load(source), path, mode="append")
+    lines = reader.format(fmt).load(source)
+    bad = F.col(raw).isNotNull()
+    write_table(lines.filter(bad), rejects or f"{path.rstrip('/')}-rejects", mode="append")
+    return write_table(lines.filter(~bad).drop(raw), path, mode="append")
 
 
 def typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cardwatch.functions.timeparts import GRAINS
 from cardwatch.operators.features import lookup
+from cardwatch.session import materialize
 
 
 def file_stream(spark: SparkSession, source: str, schema: T.StructType, pattern: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -81,7 +82,8 @@ def refresh(log: DataFrame, new_rows: DataFrame, ts: str, build: Callable[[DataF
     ``build`` turns log rows into metric rows with granularity and window_start. Per
     granularity the log is cut to the touched windows by a semi join on the window start,
     a list with one row per touched window. First and last touched window are read as one
-    row, so that a plain time range reaches the scan.
+    row, so that a plain time range reaches the scan. A touched window that has no rows any
+    more loses its partition.
     """
     for name in granularities:
         unit, length = GRAINS[name]
@@ -91,9 +93,22 @@ def refresh(log: DataFrame, new_rows: DataFrame, ts: str, build: Callable[[DataF
             continue
         inside = (F.col(ts) >= F.lit(span["low"])) & (F.col(ts) < F.lit(span["high"]))
         rows = log.filter(inside).withColumn("_start", F.date_trunc(unit, F.col(ts))).join(touched, "_start", "left_semi")
+        built = materialize(build(rows.drop("_start")).filter(F.col("granularity") == name), "refresh")
         (
-            build(rows.drop("_start")).filter(F.col("granularity") == name)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            built.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("granularity", "window_start").parquet(path)
         )
+        emptied = touched.select(F.col("_start").alias("window_start")).join(built, "window_start", "left_anti")
+        table = log.sparkSession.read.schema(built.schema).parquet(path)
+        drop_windows(table.filter(F.col("granularity") == name), emptied)
     return path
+
+
+def drop_windows(table: DataFrame, starts: DataFrame) -> None:
+    """Remove the partitions of some windows; the driver sees one folder name per window."""
+    spark = table.sparkSession
+    stale = table.select("window_start", "_metadata.file_path").join(starts, "window_start", "left_semi")
+    folders = stale.select(F.regexp_replace("file_path", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

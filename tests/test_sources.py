@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwatch.operators import classification as cl
 from cardwatch.schemas import REQUEST
@@ -45,6 +46,40 @@ def test_split_matches_fields_by_name(spark):
     assert [(r["row_no"], r["card_id"], r["is_vpn_used"], r["transaction_amount"]) for r in got] == [(0, "CC_1", "1", None), (1, "CC_2", "0", None)]
 
 
+def test_unreadable_bodies_are_rejected_not_lost(spark):
+    texts = ["not json", None, '{"dataframe_split":{"columns":["card_id"],"data":[["CC_1"]]}}', '{"dataframe_records":[]}',
+             '{"dataframe_records":[{"card_id":"CC', '{"dataframe_records":[%s]}' % (ROW % ("1.5", "1"))]
+    df = spark.createDataFrame(list(enumerate(texts)), "request_id int, body string")
+    accepted, rejected = pay.enforce_signature(pay.payload_records(df, "body", REQUEST), REQUEST)
+    assert [(r["request_id"], r["row_no"]) for r in accepted.collect()] == [(5, 0)]
+    assert {(r["request_id"], r["row_no"], r["reject_reason"]) for r in rejected.collect()} == {(i, None, "unreadable body") for i in (0, 1, 2, 4)}
+
+
+def test_unreadable_split_bodies_are_rejected_not_lost(spark):
+    texts = ["not json", None, '{"dataframe_split":{"data":[["CC_1"]]}}', '{"dataframe_split":{"columns":["card_id"],"data":[]}}',
+             '{"dataframe_split":{"columns":["card_id"],"data":[["CC_1"],[]]}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "request_id int, body string")
+    checked = pay.check_signature(pay.payload_split(df, "body", REQUEST), REQUEST).collect()
+    got = {(r["request_id"], r["row_no"], r["card_id"], r["reject_reason"]) for r in checked}
+    assert got == {(i, None, None, "unreadable body") for i in (0, 1, 2)} | {
+        (4, 0, "CC_1", "missing transaction_timestamp"), (4, 1, None, "missing card_id")}
+
+
+@pytest.mark.parametrize("fmt,lines,good", [
+    ("json", ['{"n": 1, "v": 0.5}', '{"n": 2, "v"', '{"n": 3, "v": "abc"}', "nothing", '{"n": 4}', ""], {(1, 0.5), (4, None)}),
+    ("csv", ["n,v", "1,0.5", "2,abc", "x,1.0", "4,"], {(1, 0.5), (4, None)}),
+])
+def test_ingest_keeps_bad_lines_apart(spark, fmt, lines, good):
+    landing, path = fresh_path(spark, "landing"), fresh_path(spark, "raw")
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(landing)
+    for times in (1, 2):
+        src.ingest_batch(spark, landing, T.StructType.fromDDL("n int, v double"), path, fmt)
+        rows = [tuple(r) for r in spark.read.parquet(path).collect()]
+        bad = [r["raw_line"] for r in spark.read.parquet(f"{path}-rejects").collect()]
+        assert set(rows) == good and len(rows) == times * len(good)
+        assert len(bad) == times * len(set(bad)) and set(bad) == set(lines) - {"", "n,v"} - {lines[1] if fmt == "csv" else lines[0], lines[4]}
+
+
 def test_replace_partition_twice_changes_nothing_else(spark):
     path = fresh_path(spark, "t")
     both = spark.createDataFrame([(1, "a"), (2, "b")], "n int, model_version string")
@@ -125,3 +160,24 @@ def test_refresh_touches_only_new_windows(spark):
     assert first == again
     got = {(r["granularity"], str(r["window_start"])[:10]): (r["tp"], r["fn"]) for r in spark.read.parquet(path).collect()}
     assert got == {("1 day", "2024-01-01"): (1, 0), ("1 day", "2024-01-02"): (1, 1), ("1 week", "2024-01-01"): (2, 1)}
+
+
+def test_refresh_drops_windows_left_without_rows(spark):
+    from cardwatch.functions.timeparts import windows
+
+    def build(rows):
+        return cl.binary_metrics(windows(rows, "ts"), "y", "p", ["granularity", "window_start", "model_version"])
+
+    def days():
+        return {(r["granularity"], str(r["window_start"])[:10]): r["tp"] for r in spark.read.parquet(path).collect()}
+
+    path = fresh_path(spark, "refresh")
+    one = spark.createDataFrame([(datetime(2024, 1, 1, 5), 1, 1, "m")], LOG)
+    two = spark.createDataFrame([(datetime(2024, 1, 2, 5), 1, 1, "m")], LOG)
+    jobs.refresh(one.unionByName(two), one.unionByName(two), "ts", build, path)
+    for _ in range(2):  # a second run changes nothing
+        jobs.refresh(one, two, "ts", build, path)
+        assert days() == {("1 day", "2024-01-01"): 1, ("1 week", "2024-01-01"): 1}
+    empty = fresh_path(spark, "refresh")
+    jobs.refresh(one.limit(0), one, "ts", build, empty)
+    assert spark.read.schema("n int").parquet(empty).count() == 0
