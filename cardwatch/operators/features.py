@@ -146,13 +146,15 @@ def rolling_stats(
     leaves one microsecond after the frame has passed it, so the frame's content is a running
     total of entries minus exits: one pass for all frames, at a cost that does not depend on
     their length. Amounts are counted in whole units of 10**-digits, which keeps the totals
-    exact. A card of more than ``hot_rows`` rows is spread over its time buckets.
+    exact. A card of more than ``hot_rows`` rows is spread over its time buckets. A NaN or infinite
+    amount counts as a NULL one: the row is counted, its amount is not.
     """
+    finite = F.abs(F.col(amount).cast("double")) < F.lit(float("inf"))
     hot = heavy_keys(df, key, hot_rows).withColumn("_hot", F.lit(True))
     # At most a million keys, see heavy_keys; no row moves for this join.
     rows = df.withColumns({
         "_row": F.struct(*df.columns), "_at": F.unix_micros(ts),
-        "_u": F.round(F.col(amount) * F.lit(float(10**digits))).cast("bigint"),
+        "_u": F.when(finite, F.round(F.col(amount) * F.lit(float(10**digits))).cast("bigint")),
     }).join(F.broadcast(hot), key, "left")
 
     def move(at: Column, entry: bool, signs: dict[int, int]) -> Column:

@@ -262,23 +262,35 @@ def numeric_drift(
     ``keys`` pair a current group with its baseline, ``extra`` are further keys of the
     current side (its windows). The baseline is never repeated per window: its cumulative
     count C(x) and sum S(x) are looked up at the current values in one ordered pass.
+
+    Sums are taken of x, the value's distance from the least one of its baseline group, so that
+    values with a large offset keep their digits; order and bins follow the value itself. NaN and
+    infinite values are left out, as NULL is.
     """
     group = keys + extra
     stats = set(stats)
-    base = base.filter(F.col("value").isNotNull())
-    rows = cur.filter(F.col("value").isNotNull())
-    n, value, mass = F.col("n"), F.col("value"), F.col("n") * F.col("value")
+    finite = F.abs(F.col("value").cast("double")) < F.lit(float("inf"))
+    base, rows = base.filter(finite), cur.filter(finite)
+    n, value, mass = F.col("n"), F.col("value"), F.col("n") * F.col("x")
+    tables = base, rows
+    if stats & {"wasserstein", "avg_delta"}:
+        # One row per baseline group, written, so that the planner joins it by its real size.
+        least = materialize(base.groupBy(*keys).agg(F.min("value").alias("_least")), "drift-least")
+        base, rows = (
+            df.join(least, keys).withColumn("x", value.cast("double") - F.col("_least").cast("double")).drop("_least")
+            for df in tables)
+    else:
+        base, rows = (df.withColumn("x", value.cast("double")) for df in tables)
     shapes = bool(stats & {"ks", "wasserstein"})
     bits = 10
     if shapes:
-        # Row counts come from the footers of the written value tables.
-        bits = bucket_bits(base.count() + rows.count())
+        bits = bucket_bits(sum(df.count() for df in tables))
         at_value = value_bucket(value, bits)
-        cum = materialize(running(rows.select(*group, "value", "n"), group, ["value"], at_value, {
-            "cum": ("sum", n), "size": ("total", n), "next": ("next", value),
+        cum = materialize(running(rows.select(*group, "value", "x", "n"), group, ["value"], at_value, {
+            "cum": ("sum", n), "size": ("total", n), "next": ("next", F.col("x")),
         }), "drift-cum")
         both = cum.withColumns({"is_base": F.lit(False), "b": F.lit(0).cast("bigint"), "bv": F.lit(0.0)}).unionByName(
-            base.select(*keys, "value", F.lit(True).alias("is_base"), n.alias("b"), mass.alias("bv")),
+            base.select(*keys, "value", "x", F.lit(True).alias("is_base"), n.alias("b"), mass.alias("bv")),
             allowMissingColumns=True)
         b, bv = F.col("b"), F.col("bv")
         seen = materialize(running(both, keys, ["value"], at_value, {
@@ -343,7 +355,7 @@ def numeric_drift(
 
 
 def _add_area(rows: DataFrame, knots: DataFrame, keys: list[str], extra: list[str], bits: int) -> DataFrame:
-    """Add each row's part of the integral of |Fb - Fc| over the value axis.
+    """Add each row's part of the integral of |Fb - Fc| over the axis of x, the centred value.
 
     Fc is a constant a between a current value c and the next one, d, while Fb rises. With
     G(x) = (x C(x) - S(x)) / Nb, the integral of Fb up to x, and t the place in [c, d] where
@@ -352,7 +364,7 @@ def _add_area(rows: DataFrame, knots: DataFrame, keys: list[str], extra: list[st
     passes a strictly between c and d is t a baseline value; those few rows find it in a pass
     ordered by cumulative share.
     """
-    nb, c, d = F.col("n_base"), F.col("value"), F.col("next")
+    nb, c, d = F.col("n_base"), F.col("x"), F.col("next")
     a, fb = F.col("share"), F.col("base_share")
     g = (c * F.col("c_le") - F.col("s_le")) / nb
     has_next, has_previous = d.isNotNull(), F.col("cum") > F.col("n")
@@ -365,7 +377,7 @@ def _add_area(rows: DataFrame, knots: DataFrame, keys: list[str], extra: list[st
     # Rows whose right part depends on where Fb reaches a: at d or before.
     open_rows = rows.filter(has_next & ~at_start).select(
         *[k for k in rows.columns if k not in ("area", "gap", "n", "edges", "b_bins")])
-    knot = F.struct(F.col("value").alias("v"), F.col("c_le").alias("c"), F.col("s_le").alias("s"))
+    knot = F.struct(F.col("x").alias("v"), F.col("c_le").alias("c"), F.col("s_le").alias("s"))
     marks = knots.select(*keys, (F.col("c_le") / nb).alias("share"), knot.alias("knot"))
     ranked = running(
         open_rows.withColumn("is_probe", F.lit(True)).unionByName(marks, allowMissingColumns=True), keys, ["share"],

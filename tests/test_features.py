@@ -54,6 +54,14 @@ def test_rolling_stats_equal_brute_force(spark, hot_rows):
                 assert r[f"txn_amount_std_{d}d"] is None
 
 
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_rolling_stats_take_nan_and_infinity_as_missing(spark, hot_rows):
+    amounts = [1.0, float("nan"), float("inf"), 3.0, None, float("-inf")]
+    df = spark.createDataFrame([(i, "k", T0 + timedelta(hours=i), a, "x") for i, a in enumerate(amounts)], TXN)
+    last = ft.rolling_stats(df, "card_id", "ts", "amount", hot_rows=hot_rows).filter("id = 5").first()
+    assert (last["txn_count_7d"], last["txn_amount_avg_7d"]) == (6, 2.0) and last["txn_amount_std_7d"] == pytest.approx(2**0.5)
+
+
 @pytest.mark.parametrize("hot_rows", [0, 10**9])
 def test_zscore_is_null_without_spread(spark, hot_rows):
     df = spark.createDataFrame([(i, "k", T0 + timedelta(hours=i), 12.34, "x") for i in range(4)], TXN)

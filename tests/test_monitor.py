@@ -48,6 +48,32 @@ def test_distances_equal_brute_force(spark, seed, values):
         assert math.isclose(r["avg_delta"], np.mean(inside) - np.mean(ref), rel_tol=1e-9, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("offset", [0.0, 1.7e9, 1e12, -1e12])
+def test_distances_keep_their_digits_at_an_offset(spark, offset):
+    rng = random.Random(9)
+    base = [offset + rng.gauss(0, 1) for _ in range(400)]
+    cur = [offset + rng.gauss(0.5, 1) for _ in range(300)]
+    frames = [frame(spark, [(T0, v, "a", None) for v in values]) for values in (base, cur)]
+    drift = mon.drift_metrics(*frames, "transaction_timestamp", ["x"], []).filter("granularity = '1 day'").first()
+    ks, w1 = brute(np.array(base) - offset, np.array(cur) - offset)
+    delta = math.fsum(x - offset for x in cur) / len(cur) - math.fsum(x - offset for x in base) / len(base)
+    spread = max(base + cur) - min(base + cur)
+    assert drift["ks_test"]["statistic"] == pytest.approx(ks, abs=1e-12)
+    assert abs(drift["wasserstein_distance"] - w1) < 1e-9 * spread and abs(drift["avg_delta"] - delta) < 1e-9 * spread
+
+
+def test_nan_and_infinity_count_as_missing(spark):
+    base, cur = sample(1, 80), sample(2, 60, 1.0)
+    odd = [(T0, v, "a", "u") for v in (float("nan"), float("inf"), float("-inf"), None)]
+    plain, mixed = (
+        {(r["granularity"], str(r["window"]["start"])): (r["ks_test"]["statistic"], r["wasserstein_distance"], r["avg_delta"], r["population_stability_index"])
+         for r in mon.drift_metrics(frame(spark, base + extra), frame(spark, cur + extra), "transaction_timestamp", ["x"], []).collect()}
+        for extra in ([], odd))
+    assert plain.keys() == mixed.keys()
+    for k in plain:
+        assert plain[k] == pytest.approx(mixed[k], abs=1e-12)
+
+
 def test_identical_tables_do_not_drift(spark):
     df = frame(spark, sample(7, 200))
     rows = mon.drift_metrics(df, df, "transaction_timestamp", ["x"], ["c"], granularities=("1 week",)).collect()
