@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.columns import hash_word, uniform
+from cardwatch.functions.columns import hash_word, join_on, uniform
 from cardwatch.functions.timeparts import with_time_features
 from cardwatch.operators.ordered import heavy_keys, rank_by_hash, running
 from cardwatch.session import materialize
@@ -136,60 +136,108 @@ def card_profile(
 
 # --- rolling features --------------------------------------------------------------------
 
+def _moments(here: Column) -> dict[str, Column]:
+    """Rows, known amounts and their mean, variance, least and greatest, over the rows where ``here`` holds."""
+    x = F.when(here, F.col("_x"))
+    return {"n": F.count(F.when(here, 1)), "k": F.count(x), "m": F.avg(x), "v": F.var_pop(x), "lo": F.min(x), "hi": F.max(x)}
+
+
+def _moves(rows: DataFrame, key: str, width: int, bucket_seconds: int, *cols: str) -> DataFrame:
+    """Each row entering at its time and leaving ``width`` later, with its block of that width and its bucket."""
+    move = F.explode(F.array(
+        F.struct(F.col("_at").alias("_t"), F.lit(True).alias("_in")),
+        F.struct((F.col("_at") + F.lit(width)).alias("_t"), F.lit(False).alias("_in"))))
+    # A row without a time has no exit: its frame is the rows without a time.
+    events = rows.select(key, *cols, "_x", "_hot", move.alias("_m")).select(
+        key, *[F.when(F.col("_m._in"), F.col(c)).alias(c) for c in cols], "_x", "_hot", "_m.*").filter("_in or _t is not null")
+    return events.withColumns({
+        "_block": F.col("_t") - F.pmod(F.col("_t"), F.lit(width)),
+        "_bucket": F.when(F.col("_hot"), F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0)),
+    })
+
+
+def _elsewhere(events: DataFrame, by: list[str]) -> DataFrame:
+    """Moments of the entries in the earlier buckets of a block and of the exits in the later ones."""
+    parts = {"a": (F.col("_in"), F.col("_bucket").asc()), "b": (~F.col("_in"), F.col("_bucket").desc())}
+    totals = events.groupBy(*by, "_bucket").agg(
+        *[col.alias(f"_{p}_{name}") for p, (here, _) in parts.items() for name, col in _moments(here).items()])
+    for p, (_, step) in parts.items():
+        n, k, m, v, lo, hi = (F.col(f"_{p}_{name}") for name in ("n", "k", "m", "v", "lo", "hi"))
+        before = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.withColumns({"_K": F.sum(k).over(before), "_S": F.sum(k * m).over(before)})
+        apart = m - F.col("_S") / F.col("_K")
+        # Squares about the mean grow by a bucket's own and by the distance of the two means: only sums of positive terms.
+        grown = F.when(k > 0, k * v + F.when(F.col("_K") > 0, apart * apart * k * (F.col("_K") / (F.col("_K") + k))).otherwise(0.0))
+        totals = totals.withColumn("_Q", grown).select(
+            *[c for c in totals.columns if not c.startswith((f"_{p}_", "_K", "_S"))],
+            F.sum(n).over(before).alias(f"_{p}_n"), F.col("_K").alias(f"_{p}_k"),
+            F.when(F.col("_K") > 0, F.col("_S") / F.col("_K")).alias(f"_{p}_m"),
+            F.sum("_Q").over(before).alias(f"_{p}_q"),
+            F.min(lo).over(before).alias(f"_{p}_lo"), F.max(hi).over(before).alias(f"_{p}_hi"))
+    return totals
+
+
 def rolling_stats(
     df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, ...] = (1, 7),
-    hot_rows: int = 200_000, bucket_seconds: int = 60, digits: int = 6,
+    hot_rows: int = 200_000, bucket_seconds: int = 60,
 ) -> DataFrame:
     """Count, mean and sample deviation of the amount over trailing frames per card.
 
-    A sliding window frame is summed anew for every row. Here each row enters at its time and
-    leaves one microsecond after the frame has passed it, so the frame's content is a running
-    total of entries minus exits: one pass for all frames, at a cost that does not depend on
-    their length. Amounts are counted in whole units of 10**-digits, which keeps the totals
-    exact. A card of more than ``hot_rows`` rows is spread over its time buckets. A NaN or infinite
-    amount counts as a NULL one: the row is counted, its amount is not.
+    A sliding window frame is summed anew for every row. Here time is cut into blocks as long as
+    the frame, which then is the beginning of the row's block up to the row and the end of the
+    block before: two running totals, at a cost that does not depend on the frame's length. Every
+    row enters its block at its time and leaves, one block later, one microsecond after the frame
+    has passed it, so the end is what has yet to leave. Nothing is ever subtracted: count, mean and
+    squares about the mean are merged, in doubles, whatever the size of the amounts. A card
+    of more than ``hot_rows`` rows is spread over its time buckets. A NaN or infinite amount counts
+    as a NULL one: the row is counted, its amount is not.
     """
-    finite = F.abs(F.col(amount).cast("double")) < F.lit(float("inf"))
+    value = F.col(amount).cast("double")
     hot = heavy_keys(df, key, hot_rows).withColumn("_hot", F.lit(True))
     # At most a million keys, see heavy_keys; no row moves for this join.
     rows = df.withColumns({
-        "_row": F.struct(*df.columns), "_at": F.unix_micros(ts),
-        "_u": F.when(finite, F.round(F.col(amount) * F.lit(float(10**digits))).cast("bigint")),
+        "_row": F.struct(*df.columns), "_at": F.unix_micros(ts), "_x": F.when(F.abs(value) < F.lit(float("inf")), value),
     }).join(F.broadcast(hot), key, "left")
-
-    def move(at: Column, entry: bool, signs: dict[int, int]) -> Column:
-        return F.struct(at.alias("_t"), F.lit(entry).alias("_in"), *[F.lit(signs.get(d, 0)).alias(f"_s{d}") for d in days])
-
-    moves = [move(F.col("_at"), True, dict.fromkeys(days, 1))]
-    moves += [move(F.col("_at") + F.lit(d * DAY_US + 1), False, {d: -1}) for d in days]
-    events = rows.select(key, "_row", "_u", "_hot", F.explode(F.array(*moves)).alias("_m")).select(
-        key, F.when(F.col("_m._in"), F.col("_row")).alias("_row"), "_u", "_hot", "_m.*")
-
-    unit = F.coalesce("_u", F.lit(0).cast("bigint"))
-    square = unit.cast("decimal(19,0)") * unit.cast("decimal(19,0)")
-    aggs = {}
-    for d in days:
-        sign = F.col(f"_s{d}").cast("bigint")
-        aggs[f"_n{d}"] = ("sum", sign)
-        aggs[f"_k{d}"] = ("sum", F.when(F.col("_u").isNotNull(), sign).otherwise(0))
-        aggs[f"_x{d}"] = ("sum", unit * sign)
-        aggs[f"_q{d}"] = ("sum", F.when(F.col(f"_s{d}") == 0, F.lit(0)).when(F.col(f"_s{d}") > 0, square).otherwise(-square).cast("decimal(38,0)"))
-    bucket = F.when(F.col("_hot"), F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))).otherwise(F.lit(0))
-    done = running(events, [key], ["_t"], bucket, aggs).filter("_in")
-
-    scale, out = F.lit(float(10**digits)), []
+    plain, out, found = rows, [], []
+    by = [key, "_block"]
     for d in days:
-        k, x, q = F.col(f"_k{d}"), F.col(f"_x{d}"), F.col(f"_q{d}")
-        whole = x.cast("decimal(19,0)")
-        # k * sum of squares - squared sum, exact in whole units unless it exceeds 38 digits.
-        exact = F.try_subtract(F.try_multiply(k.cast("decimal(19,0)"), q), F.try_multiply(whole, whole)).cast("double")
-        rough = F.greatest(F.lit(0.0), k * q.cast("double") - x.cast("double") * x.cast("double"))
-        out += [
-            F.col(f"_n{d}").alias(f"txn_count_{d}d"),
-            F.when(k > 0, x / k / scale).alias(f"txn_amount_avg_{d}d"),
-            F.when(k > 1, F.sqrt(F.coalesce(exact, rough) / k / (k - 1)) / scale).alias(f"txn_amount_std_{d}d"),
-        ]
-    return done.select("_row.*", *out)
+        width = d * DAY_US + 1
+        carried = ["_row", "_at", *found]
+        events = _moves(rows, key, width, bucket_seconds, *carried)
+        # Exits of a row's own time have left: in the order they come before the entries.
+        events = events.withColumn("_o", F.col("_t") * 2 + F.col("_in").cast("int"))
+        whole = Window.partitionBy(*by, "_bucket")
+        sides = {"p": (F.col("_in"), F.col("_o").asc()), "s": (~F.col("_in"), F.col("_o").desc())}
+        for p, (here, order) in sides.items():
+            frame = whole.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            events = events.select("*", *[col.over(frame).alias(f"_{p}_{name}") for name, col in _moments(here).items()])
+        done = events.filter("_in").withColumns({f"_{p}_q": F.col(f"_{p}_k") * F.col(f"_{p}_v") for p in sides})
+        done = join_on(done, _elsewhere(_moves(plain, key, width, bucket_seconds), by), [*by, "_bucket"])
+
+        def added(name: str, term) -> Column:
+            return reduce(add, [F.coalesce(term(p), F.lit(0)) for p in "apsb"]).alias(name)
+
+        def among(pick, name: str) -> Column:
+            return pick(*[F.col(f"_{p}_{name}") for p in "apsb"])
+
+        done = done.select(key, "_hot", "_x", *carried, *[F.col(f"_{p}_{c}") for p in "apsb" for c in ("k", "m", "q")],
+                           added(f"_n{d}", lambda p: F.col(f"_{p}_n")), added("_k", lambda p: F.col(f"_{p}_k")),
+                           added("_sum", lambda p: F.col(f"_{p}_k") * F.col(f"_{p}_m")),
+                           among(F.least, "lo").alias("_lo"), among(F.greatest, "hi").alias("_hi"))
+        k, lo, even = F.col("_k"), F.col("_lo"), F.col("_lo") == F.col("_hi")
+        done = done.withColumn(f"_m{d}", F.when(k > 0, F.when(even, lo).otherwise(F.col("_sum") / k)))
+
+        def squares(p: str) -> Column:
+            apart = F.col(f"_{p}_m") - F.col(f"_m{d}")
+            return F.col(f"_{p}_q") + apart * apart * F.col(f"_{p}_k")
+
+        done = done.withColumn("_q", added("_q", squares))
+        found += [f"_n{d}", f"_m{d}", f"_d{d}"]
+        rows = done.withColumn(f"_d{d}", F.when(k > 1, F.when(even, 0.0).otherwise(F.sqrt(F.col("_q") / (k - 1))))).select(
+            key, "_hot", "_x", "_row", "_at", *found)
+        out += [F.col(f"_n{d}").alias(f"txn_count_{d}d"), F.col(f"_m{d}").alias(f"txn_amount_avg_{d}d"),
+                F.col(f"_d{d}").alias(f"txn_amount_std_{d}d")]
+    return rows.select("_row.*", *out)
 
 
 def rolling_features(df: DataFrame, key: str, ts: str, amount: str, days: tuple[int, int] = (1, 7), **limits) -> DataFrame:

@@ -1,6 +1,7 @@
 import math
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -62,6 +63,25 @@ def test_rolling_stats_take_nan_and_infinity_as_missing(spark, hot_rows):
     assert (last["txn_count_7d"], last["txn_amount_avg_7d"]) == (6, 2.0) and last["txn_amount_std_7d"] == pytest.approx(2**0.5)
 
 
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_rolling_stats_hold_for_amounts_of_any_size(spark, hot_rows):
+    sizes = {"fine": [1e-9, 2e-9, 4e-9, 3e-7], "large": [1e13, 2e13, 1e13 + 1, 3e15], "mixed": [1e20, 1e-9, 3e-9, 5.0],
+             "far": [1e12 + i for i in range(40)], "near": [1e9 + i % 7 for i in range(40)]}
+    rows = [(i, k, T0 + timedelta(hours=13 * i), a, "x") for k, amounts in sizes.items() for i, a in enumerate(amounts)]
+    rows += [(100 + i, k, T0 + timedelta(days=60, hours=i), a, "x") for k in sizes for i, a in enumerate([1e-9, 3e-9, 7e-9])]
+    got = ft.rolling_stats(spark.createDataFrame(rows, TXN), "card_id", "ts", "amount", hot_rows=hot_rows).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for d in (1, 7):
+            known = [Fraction(a) for a in frame_values(rows, r, d)]
+            mean = sum(known) / len(known)
+            assert r[f"txn_count_{d}d"] == len(known) and r[f"txn_amount_avg_{d}d"] == pytest.approx(float(mean), rel=1e-12)
+            if len(known) > 1:
+                want = math.sqrt(sum((a - mean) ** 2 for a in known) / (len(known) - 1))
+                # within the last digit of the greatest amount in the frame
+                assert r[f"txn_amount_std_{d}d"] == pytest.approx(want, rel=1e-9, abs=1e-16 * float(max(known)))
+
+
 @pytest.mark.parametrize("hot_rows", [0, 10**9])
 def test_zscore_is_null_without_spread(spark, hot_rows):
     df = spark.createDataFrame([(i, "k", T0 + timedelta(hours=i), 12.34, "x") for i in range(4)], TXN)
