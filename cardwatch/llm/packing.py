@@ -80,8 +80,13 @@ class WordEncoder:
             self.new[w] = self.new[w[:-1]] + self.new[w[-1:]]
 
     def words(self, raw: bytes) -> list[bytes]:
-        """Lower case does not change the ids, unless the text spells a special token."""
-        return raw.split() if b"<|" in raw else raw.lower().split()
+        """Lower case does not change an ASCII word's ids, unless the text spells a special token.
+
+        In other words a capital may be composed with a mark after it before the tokenizer lowers it, so they stay.
+        """
+        if b"<|" in raw:
+            return raw.split()
+        return raw.lower().split() if raw.isascii() else [w.lower() if w.isascii() else w for w in raw.split()]
 
     def texts(self, raws: list[bytes]) -> Iterator[bytes]:
         """Ids of each text as unsigned 32-bit little-endian numbers."""

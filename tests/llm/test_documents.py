@@ -180,6 +180,17 @@ def test_special_tokens_and_odd_signs_keep_their_ids():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_capitals_before_combining_marks_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    pairs = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"]
+    texts = [*pairs, "H\u0331anukkah is Near, J\u030cOB. X", *[p + "Abc DEF " + p.lower() + "abc Def" for p in pairs]]
+    found = packing.WordEncoder(VOCABULARY).texts([t.encode() for t in texts])
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_mix_meets_its_targets(odd, odd_rows, none):
     out = mixing.mix(odd).collect()
     sizes = Counter()
