@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import numbered, veiled
+from cardwatch.llm.common import buckets_for, numbered, veiled
 from cardwatch.session import materialize
 
 #: Weights by the sources' order, share of all words that the mix takes, and how often a source may go in at most.
 WEIGHTS, SHARE, MOST = (3, 1, 2), Fraction(3, 2), 2
 #: Size classes per doubling of a document's words; output shards.
 STEPS, SHARDS = 16, 8
-#: Sources are named by people; more than this is taken for a mistake.
-MAX_SOURCES = 100_000
+#: Blocks that sources are dealt into; the driver sees one row of totals per block.
+BLOCKS = 4096
 
 
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST) -> list[Fraction]:
@@ -36,7 +38,8 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: Fractio
         for i in over:
             out[i] = Fraction(most * sizes[i])
             left -= out[i]
-        open_ = [i for i in open_ if i not in set(over)]
+        gone = set(over)
+        open_ = [i for i in open_ if i not in gone]
     return out
 
 
@@ -61,8 +64,11 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int
     return min(good, n, max(0, n - bad, round(n * p + spread * rng.standard_normal())))
 
 
-def splitting_tree(quotas: list[int], shards: int, seed: list[int]) -> np.ndarray:
-    """Quota per shard and class: each node splits its quotas at random between two halves of the shards."""
+def splitting_tree(quotas: list[int], shards: int, seed: list[int], room: list[int] | None = None) -> np.ndarray:
+    """Quota per shard and class: each node splits its quotas at random between two halves of the shards.
+
+    The shards take equal numbers, or what ``room`` says for each.
+    """
     out = np.zeros((shards, len(quotas)), np.int64)
 
     def split(quota: list[int], low: int, high: int) -> None:
@@ -71,7 +77,8 @@ def splitting_tree(quotas: list[int], shards: int, seed: list[int]) -> np.ndarra
             return
         rng = np.random.default_rng([*seed, low, high])
         middle = (low + high) // 2
-        rest, want, left = sum(quota), sum(quota) * (middle - low) // (high - low), []
+        rest, left = sum(quota), []
+        want = sum(room[low:middle]) if room else rest * (middle - low) // (high - low)
         for q in quota:
             got = hypergeometric(rng, q, rest - q, want)
             left.append(got)
@@ -115,6 +122,85 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return raw.mapInArrow(count, "doc_id long, source string, h long, size long")
 
 
+def source_table(strata: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """Rows (name, sid, source_size, weight): sources numbered in code point order, NULL last, by ranges of names."""
+    sizes = materialize(strata.groupBy(F.col("source").alias("name")).agg(F.sum("words").alias("source_size")), "mix-sizes")
+    ranges = sizes.repartitionByRange(buckets_for(sizes.count(), 50_000), F.col("name").asc_nulls_last())
+    dealt = materialize(ranges.withColumn("part", F.spark_partition_id()), "mix-ranges")
+    # One row per range, a few thousand names each.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = dealt.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    within = Window.partitionBy("part").orderBy(F.col("name").asc_nulls_last())
+    named = dealt.withColumn("at", F.row_number().over(within) - 1).join(firsts, "part").select(
+        "name", (F.col("first") + F.col("at")).alias("sid"), "source_size")
+    turn = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("sid") % len(weights)).cast("int") + 1)
+    return materialize(named.withColumn("weight", turn.cast("long")), "mix-sources")
+
+
+def water_level(sources: DataFrame, share: Fraction, most: int) -> Fraction:
+    """Words per unit of weight at which the sources, none above ``most`` times its size, hold ``share`` of all words.
+
+    Each round is one pass over the sources and gives back two sums; the level only rises.
+    """
+    words, weight = sources.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = share * words / weight
+    while True:
+        cap, part = (F.lit(Decimal(x)).cast("decimal(38,0)") for x in (level.denominator * most, level.numerator))
+        over = part * F.col("weight") > cap * F.col("source_size")
+        full, open_ = sources.agg(
+            F.coalesce(F.sum(F.when(over, F.col("source_size"))), F.lit(0)), F.sum(F.when(~over, F.col("weight")))).first()
+        if not open_ or (higher := (share * words - most * full) / open_) == level:
+            return level
+        level = higher
+
+
+def shard_ends(strata: DataFrame, level: Fraction, most: int, shards: int, seed: int) -> DataFrame:
+    """Rows (sid, class, n, ends, target, aim): where each shard's part of a stratum ends, layer after layer.
+
+    ``strata`` has sid, class, n, words, source_size and weight. Quotas follow from a source's own size classes,
+    a few hundred at most. The splitting tree first splits the totals of blocks of sources, in the driver, then
+    each block's strata by the block's part of every shard, which is the same draw.
+    """
+    layers = range(most + 1)
+
+    def rules(pdf):
+        rows = sorted(pdf[["sid", "class", "n", "words", "source_size", "weight"]].itertuples(index=False, name=None),
+                      key=lambda r: (r[0], -r[1]))
+        block, out = int(pdf["block"].iloc[0]), []
+        for sid, part in groupby(rows, key=lambda r: r[0]):
+            classes = [tuple(map(int, r[1:4])) for r in part if (last := r)]
+            size, weight = int(last[4]), int(last[5])
+            wanted = min(level * weight, Fraction(most * size))
+            whole = int(wanted // size) if size else 0
+            fraction = (wanted - whole * size) / size if size else Fraction(0)
+            quotas = class_quotas(fraction, [c[1:] for c in classes])
+            for (name, n, _), q in zip(classes, quotas):
+                quota = [n if layer < whole and name >= 0 else q if layer == whole else 0 for layer in layers]
+                out.append((int(sid), name, n, block, quota, float(wanted), math.floor(wanted + Fraction(1, 2))))
+        return type(pdf)(out, columns=["sid", "class", "n", "block", "quota", "target", "aim"])
+
+    blocked = strata.withColumn("block", F.pmod(F.col("sid"), F.lit(BLOCKS)))
+    ruled = materialize(blocked.groupBy("block").applyInPandas(
+        rules, "sid long, class int, n long, block long, quota array<long>, target double, aim long"), "mix-quotas")
+    totals = ruled.groupBy("block").agg(*[F.sum(F.col("quota")[layer]) for layer in layers]).orderBy("block").collect()
+    trees = [splitting_tree([r[1 + layer] for r in totals], shards, [seed, layer]) for layer in layers]
+    rooms = ruled.sparkSession.createDataFrame(
+        [(r[0], [t[:, i].tolist() for t in trees]) for i, r in enumerate(totals)], "block long, rooms array<array<long>>")
+
+    def deal(pdf):
+        pdf = pdf.sort_values(["sid", "class"], ascending=[True, False], ignore_index=True)
+        block, rooms = int(pdf["block"].iloc[0]), pdf["rooms"].iloc[0]
+        quotas = [[int(x) for x in q] for q in pdf["quota"]]
+        ends = [np.cumsum(splitting_tree([q[layer] for q in quotas], shards, [seed, layer, block], [int(x) for x in rooms[layer]]), axis=0)
+                for layer in layers]
+        pdf["ends"] = np.concatenate(ends).T.tolist()
+        return pdf[["sid", "class", "n", "ends", "target", "aim"]]
+
+    return materialize(ruled.join(F.broadcast(rooms), "block").groupBy("block").applyInPandas(
+        deal, "sid long, class int, n long, ends array<long>, target double, aim long"), "mix-ends")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST,
         shards: int = SHARDS, seed: int = 11) -> DataFrame:
     """Draw documents so that each source comes to its target of words; one row per document.
@@ -130,62 +216,43 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = S
 
     NULL text counts no words. Documents without words take nothing. Repeated rows are documents of
     their own. NULL doc_id is kept, NULL source is a source. An empty table gives an empty result.
-    One row per (source, size class) goes through the driver. Other columns are not read.
+    Sources may be any number: the driver sees the totals of ``BLOCKS`` blocks of them. Other columns are not read.
     """
     spark = docs.sparkSession
     schema = ("doc_id long, h long, source string, size long, source_size long, target double, taken long, "
               "copies array<struct<layer: int, shard: int, words: long, place: long>>")
     steps = F.floor(STEPS * F.log2(F.greatest(F.col("size"), F.lit(1)).cast("double"))).cast("int")
     slim = materialize(word_counts(docs).withColumn("class", F.when(F.col("size") > 0, steps).otherwise(-1)), "mix-rows")
-    strata = slim.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words")).collect()
-    names = sorted({r["source"] for r in strata}, key=lambda s: (s is None, s or ""))
-    if not names:
+    strata = materialize(
+        slim.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-strata")
+    if strata.isEmpty():
         return spark.createDataFrame([], schema)
-    if len(names) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    by_source: list[list] = [[] for _ in names]
-    place = {s: i for i, s in enumerate(names)}
-    for r in sorted(strata, key=lambda r: -r["class"]):
-        by_source[place[r["source"]]].append((r["class"], r["n"], r["words"]))
-    sizes = [sum(c[2] for c in classes) for classes in by_source]
-    wanted = targets(sizes, weights, share, most)
-    rules, order = [], []
-    for i, classes in enumerate(by_source):
-        whole = int(wanted[i] // sizes[i]) if sizes[i] else 0
-        fraction = (wanted[i] - whole * sizes[i]) / sizes[i] if sizes[i] else Fraction(0)
-        quotas = class_quotas(fraction, [c[1:] for c in classes])
-        for (name, n, words), q in zip(classes, quotas):
-            order.append((i, name))
-            rules.append([n if layer < whole and name >= 0 else q if layer == whole else 0 for layer in range(most + 1)])
-    layers = [splitting_tree([r[layer] for r in rules], shards, [seed, layer]) for layer in range(most + 1)]
-    members = {o: j for j, o in enumerate(order)}
-    counts = {(place[r["source"]], r["class"]): r["n"] for r in strata}
+    sources = source_table(strata, weights)
+    same = F.col("source").eqNullSafe(F.col("name"))
+    ends = shard_ends(strata.join(sources, same), water_level(sources, share, most), most, shards, seed)
+    layers = range(most + 1)
 
     def draw(frames):
-        ends = [np.cumsum(t, axis=0) for t in layers]
         for pdf in frames:
-            keys = list(zip(pdf["sid"], pdf["class"]))
-            j = np.array([members[k] for k in keys], np.int64)
-            n = np.array([counts[k] for k in keys], np.int64)
-            number, size = pdf["number"].to_numpy(), pdf["size"].to_numpy()
-            copies: list[list] = [[] for _ in keys]
-            for layer, end in enumerate(ends):
+            n, number, size = (pdf[c].to_numpy() for c in ("n", "number", "size"))
+            end = np.stack(pdf["ends"].to_numpy()).reshape(len(pdf), len(layers), shards)
+            copies: list[list] = [[] for _ in range(len(pdf))]
+            for layer in layers:
                 at = permuted(number, n, seed * 1000 + 10 * layer)
-                shard = (at[:, None] >= end[:, j].T).sum(axis=1)
+                shard = (at[:, None] >= end[:, layer]).sum(axis=1)
                 for i in np.flatnonzero(shard < shards):
                     copies[i].append({"layer": layer, "shard": int(shard[i]), "words": int(size[i]), "place": 0})
             pdf["copies"] = copies
             yield pdf[["doc_id", "h", "source", "size", "sid", "class", "number", "copies"]]
 
-    source_rows = spark.createDataFrame(
-        [(s, i, sizes[i], float(wanted[i]), math.floor(wanted[i] + Fraction(1, 2))) for s, i in place.items()],
-        "name string, sid int, source_size long, target double, aim long")
-    dealt = slim.join(F.broadcast(source_rows), F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "h", "source", "size", "sid", "class")
+    source_rows = materialize(
+        sources.join(ends.groupBy("sid").agg(F.first("target").alias("target"), F.first("aim").alias("aim")), "sid")
+        .select("sid", "source_size", "target", "aim"), "mix-targets")
+    dealt = slim.join(sources.select("name", "sid"), same).select("doc_id", "h", "source", "size", "sid", "class")
     lined = numbered(materialize(dealt, "mix-dealt"), ["sid", "class"], ["doc_id", "h"], "number")
     copy = "array<struct<layer: int, shard: int, words: long, place: long>>"
-    drawn = materialize(lined.mapInPandas(
-        draw, f"doc_id long, h long, source string, size long, sid int, class int, number long, copies {copy}"), "mix-drawn")
+    drawn = materialize(lined.join(ends.select("sid", "class", "n", "ends"), ["sid", "class"]).mapInPandas(
+        draw, f"doc_id long, h long, source string, size long, sid long, class int, number long, copies {copy}"), "mix-drawn")
     return _to_the_word(drawn, source_rows, seed, copy, most, shards)
 
 
@@ -193,7 +260,7 @@ def _to_the_word(drawn: DataFrame, source_rows: DataFrame, seed: int, copy: str,
     """Shorten one drawn copy per source, or add a part of one document, so that the words meet the target."""
     words = F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
     state = drawn.withColumn("taken", words)
-    sums = state.groupBy("sid").agg(F.sum("taken").alias("got")).join(F.broadcast(source_rows), "sid")
+    sums = state.groupBy("sid").agg(F.sum("taken").alias("got")).join(source_rows, "sid")
     gap = F.col("aim") - F.col("got")
     free = F.col("size") * most - F.col("taken")
     name = F.struct("class", "number")
@@ -217,7 +284,7 @@ def _to_the_word(drawn: DataFrame, source_rows: DataFrame, seed: int, copy: str,
         c["layer"].alias("layer"), c["shard"].alias("shard"), c["words"].alias("words"),
         F.xxhash64(F.lit(seed), c["layer"], F.col("sid"), F.col("class"), F.col("number")).alias("place")))
     return (
-        state.join(F.broadcast(fix), "sid").withColumn("fitted", fitted)
+        state.join(fix, "sid").withColumn("fitted", fitted)
         .withColumn("copies", F.filter(shuffled, lambda c: c["words"] > 0))
         .select("doc_id", "h", "source", "size", "source_size", "target", words.alias("taken"), "copies")
     )

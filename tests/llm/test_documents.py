@@ -210,6 +210,19 @@ def test_mix_meets_its_targets(odd, odd_rows, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mix_of_more_sources_than_blocks(spark, monkeypatch):
+    # was refused above 100,000 sources
+    docs = spark.range(100_500).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id % 7 as int))").alias("text"), F.concat(F.lit("https://host"), "id").alias("source"))
+    monkeypatch.setattr(mixing, "BLOCKS", 16)
+    out = mixing.mix(docs).toPandas().sort_values("source", ignore_index=True)
+    want = mixing.targets([int(i) % 7 + 1 for i in out["doc_id"]])
+    assert out["target"].tolist() == [float(t) for t in want]
+    assert all(abs(got - t) <= 1 for got, t in zip(out["taken"], want))
+    tree = mixing.splitting_tree([5, 7, 90], 4, [1], [50, 2, 0, 50])
+    assert tree.sum(axis=0).tolist() == [5, 7, 90] and tree.sum(axis=1).tolist() == [50, 2, 0, 50]
+
+
 def test_mixed_copies_have_the_words_of_the_plan(odd):
     plan = mixing.mix(odd).agg(F.sum("taken")).first()[0]
     out = mixing.mixed(odd)
