@@ -268,10 +268,11 @@ def _to_the_word(drawn: DataFrame, source_rows: DataFrame, seed: int, copy: str,
     ends = state.groupBy("sid").agg(
         F.max(F.when(F.size("copies") > 0, F.struct("size", name.alias("row")))).alias("long"),
         F.max(F.struct(F.least(free, F.col("size")).alias("room"), name.alias("row"))).alias("wide"))
-    fix = sums.join(ends, "sid").select(
+    # A written table: its size decides the join, so a large source is not dealt to one task.
+    fix = materialize(sums.join(ends, "sid").select(
         "sid", "source_size", "target",
         F.when(gap < 0, F.greatest(gap, -F.col("long.size"))).otherwise(F.least(gap, F.col("wide.room"))).alias("gap"),
-        F.when(gap < 0, F.col("long.row")).otherwise(F.col("wide.row")).alias("row"))
+        F.when(gap < 0, F.col("long.row")).otherwise(F.col("wide.row")).alias("row")), "mix-fix")
     here = (F.col("row") == name) & (F.col("gap") != 0)
     less = F.transform("copies", lambda c, i: F.struct(
         c["layer"].alias("layer"), c["shard"].alias("shard"),
