@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity, warc
+from cardwatch.llm import (conversation_repair, exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding,
+                           suffix_dedup, toxicity, warc)
 from cardwatch.llm.common import table
 from cardwatch.session import pin
 
@@ -122,3 +123,8 @@ from firsts
 """)
 def op10_warc(spark, sf_dir):
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op11_repair")
+def op11_repair(spark, sf_dir):
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
