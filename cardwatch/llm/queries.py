@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.llm import (conversation_repair, exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding,
-                           suffix_dedup, toxicity, warc)
+                           suffix_dedup, token_alignment, toxicity, warc)
 from cardwatch.llm.common import table
 from cardwatch.session import pin
 
@@ -128,3 +128,9 @@ def op10_warc(spark, sf_dir):
 @query("op11_repair")
 def op11_repair(spark, sf_dir):
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_align")
+def op13_align(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
