@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import (conversation_repair, exact_topk, forest_search, mixing, ngram_join, packing, quality, sharding,
-                           suffix_dedup, token_alignment, toxicity, warc)
+from cardwatch.llm import (conversation_repair, exact_topk, forest_search, mixing, ngram_join, packing, personal_data,
+                           quality, sharding, suffix_dedup, token_alignment, toxicity, warc)
 from cardwatch.llm.common import table
 from cardwatch.session import pin
 
@@ -130,6 +130,11 @@ def op11_repair(spark, sf_dir):
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
 
 
+@query("op12_personal_data")
+def op12_personal_data(spark, sf_dir):
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
 @query("op13_align")
 def op13_align(spark, sf_dir):
     return token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
