@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,27 @@ from cardwatch.session import materialize
 BATCH_ROWS = 512
 
 
+#: Bytes of the longest word that a worker remembers; longer ones are worked out anew.
+LONGEST_WORD = 64
+
+
+def trimmed() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def worker_memory(owner: str) -> dict:
+    """What an operator keeps in a worker process from task to task; what others kept there goes when it starts."""
+    kept = pa.__dict__.setdefault("_operator_memories", {})
+    if any(name != owner for name in kept):
+        kept.clear()
+        trimmed()
+    return kept.setdefault(owner, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a table of the given folder; sets the batch size that the text operators need."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

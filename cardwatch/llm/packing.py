@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import numbered
+from cardwatch.llm.common import numbered, worker_memory
 from cardwatch.session import materialize
 
 #: Tokens of a sequence, and the smallest binary piece; what is left of a document below it stays whole.
@@ -20,8 +21,12 @@ CAPACITY, LEAST = 2048, 64
 END_ID = 1
 #: Words whose ids a worker remembers; the older half goes when it is full.
 REMEMBERED = 250_000
+#: Bytes of words and ids, at five a letter, above which they all go: texts without spaces are one word each.
+MOST_BYTES = 64 << 20
 #: New words that are encoded as one text.
 TOGETHER = 500
+#: A capital before a character that may be a combining mark: one of U+0300 to U+037F, or of U+0580 and above.
+MARKED = re.compile(rb"[A-Z][\xcc\xcd\xd6-\xf4]")
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
@@ -41,6 +46,7 @@ class WordEncoder:
         self.closing[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word. Words of letters go through together and are told apart by their closing tokens."""
@@ -61,8 +67,8 @@ class WordEncoder:
         return [out[i] for i in range(len(texts))]
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+        if len(self.new) > REMEMBERED or self.size > MOST_BYTES:
+            self.old, self.new, self.size = self.new if self.size <= MOST_BYTES else {}, {}, 0
         missing = [w for w in words if w not in self.new]
         fresh = []
         for w in missing:
@@ -78,15 +84,19 @@ class WordEncoder:
         self.new.update(zip(need, self._encode(need)))
         for w in split:
             self.new[w] = self.new[w[:-1]] + self.new[w[-1:]]
+        self.size += sum(5 * len(w) for w in missing)
 
     def words(self, raw: bytes) -> list[bytes]:
-        """Lower case does not change an ASCII word's ids, unless the text spells a special token.
+        """Lower case does not change a word's ids, unless the text spells a special token.
 
-        In other words a capital may be composed with a mark after it before the tokenizer lowers it, so they stay.
+        A capital with a mark right behind it may be composed before the tokenizer lowers it, so words
+        other than ASCII keep their case in a text that holds such a pair.
         """
         if b"<|" in raw:
             return raw.split()
-        return raw.lower().split() if raw.isascii() else [w.lower() if w.isascii() else w for w in raw.split()]
+        if raw.isascii() or not MARKED.search(raw):
+            return raw.lower().split()
+        return [w.lower() if w.isascii() else w for w in raw.split()]
 
     def texts(self, raws: list[bytes]) -> Iterator[bytes]:
         """Ids of each text as unsigned 32-bit little-endian numbers."""
@@ -98,9 +108,7 @@ class WordEncoder:
 
 def worker_encoder(path: str) -> WordEncoder:
     """One encoder per worker process: the tasks that run there one after another share its words."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+    kept = worker_memory("packing")
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]
