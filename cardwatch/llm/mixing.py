@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import buckets_for, numbered, veiled
+from cardwatch.llm.common import buckets_for, numbered, veiled, worker_memory
 from cardwatch.session import materialize
 
 #: Weights by the sources' order, share of all words that the mix takes, and how often a source may go in at most.
@@ -115,6 +115,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     raw = docs.select("doc_id", "source", F.xxhash64("text").alias("h"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
 
     def count(batches):
+        worker_memory("mixing")
         for batch in batches:
             size = pa.array([len(x.as_py().split()) for x in batch.column("raw")], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], size], ["doc_id", "source", "h", "size"])

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import components, found_rows, veiled
+from cardwatch.llm.common import LONGEST_WORD, components, found_rows, veiled, worker_memory
 from cardwatch.session import materialize
 
 #: Words of an n-gram; two sets link if PART * common >= WHOLE * (sum of sizes), which is a Jaccard index of 0.8.
@@ -34,7 +34,7 @@ class NGrams:
     """Sorted distinct 64-bit hashes of a text's n-grams; a shorter text is one n-gram as a whole."""
 
     def __init__(self):
-        self.seen: dict[bytes, int] = {}
+        self.seen: dict[bytes, int] = worker_memory("ngram_join")
 
     def __call__(self, raw: bytes) -> np.ndarray:
         words = raw.lower().split()
@@ -42,9 +42,11 @@ class NGrams:
             return np.zeros(0, np.uint64)
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
+        more = {}
         for w in set(words).difference(self.seen):
-            self.seen[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
+            (self.seen if len(w) <= LONGEST_WORD else more)[w] = xxhash.xxh3_64_intdigest(w)
+        known = (lambda w: more[w] if w in more else self.seen[w]) if more else self.seen.__getitem__
+        h = np.fromiter(map(known, words), np.uint64, len(words))
         n = min(WORDS, len(h))
         out = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch.llm.common import LONGEST_WORD
+
 #: Hashed words, bins per statistic, rank of the interactions, words remembered per worker.
 SPACE, BINS, RANK, REMEMBERED = 2**15, 16, 8, 150_000
 #: Bounded sample of labelled rows, passes over it, rows per step, rate, ridge.
@@ -56,7 +58,9 @@ class Features:
             if (h := self.seen.get(w)) is None:
                 if len(self.seen) >= REMEMBERED:
                     self.seen.clear()
-                h = self.seen[w] = zlib.crc32(w) % SPACE
+                h = zlib.crc32(w) % SPACE
+                if len(w) <= LONGEST_WORD:
+                    self.seen[w] = h
             out.add(h)
         return np.fromiter(out, np.int64, len(out)), statistics_of(raw, words, n_chars)
 

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import found_keys, found_rows, veiled
+from cardwatch.llm.common import found_keys, found_rows, trimmed, veiled, worker_memory
 from cardwatch.session import materialize
 
 #: Bytes of a repeated string, of the anchor that is chosen inside it, and of text that is hashed at once.
@@ -183,6 +183,7 @@ def _documents(docs: DataFrame, text: str) -> DataFrame:
 
 def _all_runs(docs: DataFrame, text: str) -> DataFrame:
     def find(batches):
+        worker_memory("suffix_dedup")
         for batch in batches:
             doc_id, h = (batch.column(c) for c in ("doc_id", "h"))
             for anchor, span, owner, first, windows in runs_of(batch.column("raw").to_pylist()):
@@ -225,6 +226,7 @@ def _compared(spans: DataFrame, others: bool) -> DataFrame:
                     size += len(row[3])
                 anchor = a
         yield flush(rows)
+        trimmed()
 
     ordered = spans.repartition("anchor").sortWithinPartitions("anchor", F.col("doc_id").isNull(), "doc_id", "h", "first")
     return ordered.mapInArrow(search, "doc_id long, h long, first long, windows int")
@@ -296,6 +298,16 @@ def repeats(docs: DataFrame, keep_first: bool, text: str = "text") -> DataFrame:
     )
 
 
+def merged(found: DataFrame) -> DataFrame:
+    """Runs of windows whose bytes touch or overlap joined into one, so that a text has few of them."""
+    ahead = Window.partitionBy("doc_id", "h").orderBy("first", "end")
+    begins = F.coalesce(F.col("first") > F.max("end").over(ahead.rowsBetween(Window.unboundedPreceding, -1)) + LENGTH - 1, F.lit(True))
+    runs = found.withColumn("end", F.col("first") + F.col("windows")).withColumn("begins", begins.cast("int"))
+    numbered = runs.withColumn("run", F.sum("begins").over(ahead.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc_id", "h", "run").agg(F.min("first").alias("first"), F.max("end").alias("end")).select(
+        "doc_id", "h", "first", (F.col("end") - F.col("first")).alias("windows"))
+
+
 def kept_parts(raw: bytes, found: list[tuple[int, int]]) -> tuple[list[bytes], int]:
     """What is left of a text without the bytes that the found runs of windows cover; number of cuts."""
     parts, at, cuts = [], 0, 0
@@ -324,8 +336,8 @@ def removed(docs: DataFrame, keep_first: bool = True, text: str = "text") -> Dat
     not read.
     """
     found = materialize(repeats(docs, keep_first, text), "dedup-found")
-    by_doc = found.groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
-        F.collect_set(F.struct("first", "windows")).alias("found"))
+    by_doc = merged(found).groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
+        F.collect_list(F.struct("first", "windows")).alias("found"))
     touched = found_rows(_documents(docs, text), by_doc, "dedup-by-doc").dropDuplicates(["doc_id", "h"])
 
     def cut(batches):

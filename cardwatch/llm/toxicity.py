@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardwatch.llm.common import LONGEST_WORD, worker_memory
+
 #: Hashed features, letters of the word beginnings used besides whole words, words remembered per worker.
 SPACE, BEGINNINGS, REMEMBERED = 2**20, (4, 5), 150_000
 #: Bounded sample of labelled rows per label, how much more frequent a feature must be, features kept, weight of the L1 penalty, steps.
@@ -44,7 +46,8 @@ class Counted:
                     found = tuple(f for f in found if f in self.kept)
                 if len(self.seen) >= REMEMBERED:
                     self.seen.clear()
-                self.seen[word] = found
+                if len(word) <= LONGEST_WORD:
+                    self.seen[word] = found
             for f in found:
                 out[f] = out.get(f, 0) + n
         return out
@@ -135,6 +138,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) ->
     chosen = parts[0].union(parts[1]).select("doc_id", F.col("toxic").cast("int").alias("label"))
 
     def count(batches):
+        worker_memory("toxicity")
         counted = Counted()
         for batch in batches:
             out = []
@@ -194,6 +198,7 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame
     kept = set(model.weights)
 
     def rate(batches):
+        worker_memory("toxicity")
         counted = Counted(kept)
         for batch in batches:
             severity, grade, toxic = [], [], []
