@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ SLICE = ["slice_key", "slice_value"]
 CELL = ["part", "slice_value", "grain", "window_start"]
 # Inside the module the whole table is the slice ("", ""), since running() wants no NULLs.
 FLOOR = 1e-4
+#: Lists in which the states of a group are merged before they are merged with each other.
+CHUNKS = 64
 
 
 def _cell_unit(granularities: tuple[str, ...]) -> str:
@@ -33,7 +35,16 @@ def _cell_unit(granularities: tuple[str, ...]) -> str:
 
 
 def _slice_cols(slices: list[str]) -> list[Column]:
-    return [F.coalesce(F.col(s).cast("string"), F.lit("NULL")).alias(f"_slice_{s}") for s in slices]
+    return [_told(s).alias(f"_slice_{s}") for s in slices]
+
+
+def _told(name: str) -> Column:
+    """A slice value behind an equals sign; NULL is the empty text, so it meets no value."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
+
+
+def _untold(value: Column) -> Column:
+    return F.when(value != "", F.substring(value, 2, 2**31 - 1))
 
 
 def _spread(fine: DataFrame, slices: list[str], granularities: tuple[str, ...], whole: bool = True) -> DataFrame:
@@ -48,10 +59,10 @@ def _spread(fine: DataFrame, slices: list[str], granularities: tuple[str, ...],
 
 
 def _public(df: DataFrame) -> DataFrame:
-    """The whole-table slice carries NULL in the published tables."""
+    """Published slices: (NULL, NULL) is the whole table, (key, NULL) are the rows where the slice column is NULL."""
     blank = F.col("slice_key") == ""
     return df.withColumns({
-        "slice_value": F.when(~blank, F.col("slice_value")),
+        "slice_value": F.when(~blank, _untold(F.col("slice_value"))),
         "slice_key": F.when(~blank, F.col("slice_key")),
     })
 
@@ -59,12 +70,12 @@ def _public(df: DataFrame) -> DataFrame:
 def slice_grouping(df: DataFrame, by: list[Column], slices: list[str], aggs: list[Column]) -> DataFrame:
     """Overall and per-slice aggregates in one pass with grouping sets."""
     names = [f"_by{i}" for i in range(len(by))]
-    rows = df.withColumns(dict(zip(names, by))).withColumns({s: F.coalesce(F.col(s).cast("string"), F.lit("NULL")) for s in slices})
+    rows = df.withColumns(dict(zip(names, by))).withColumns({s: _told(s) for s in slices})
     keys = [F.col(n) for n in names]
     sets = [keys] + [keys + [F.col(s)] for s in slices]
     grouped = rows.groupingSets(sets, *keys, *[F.col(s) for s in slices]).agg(*aggs)
     key = F.coalesce(*[F.when(F.col(s).isNotNull(), F.lit(s)) for s in slices])
-    value = F.coalesce(*[F.col(s) for s in slices])
+    value = _untold(F.coalesce(*[F.col(s) for s in slices]))
     return grouped.withColumns({"slice_key": key, "slice_value": value}).drop(*slices)
 
 
@@ -115,59 +126,123 @@ def named(df: DataFrame, columns: list[str], slices: list[str], granularities: t
     def pick(names: list[str], at: Column) -> Column:
         return F.element_at(F.array(*[F.lit(n) for n in names]), at + 1)
 
-    length = F.coalesce(*[
-        F.when(F.col("grain") == i, F.col("window_start") + F.expr(GRAINS[g][1])) for i, g in enumerate(granularities)])
-    return df.withColumns({
+    out = df.withColumns({
         "column_name": pick(columns, F.col("part") % len(columns)),
         "slice_key": pick(["", *slices], F.floor(F.col("part") / len(columns)).cast("int")),
-        "granularity": pick(list(granularities), F.col("grain")),
-        "window_end": length,
-    }).drop("part", "grain")
+    }).drop("part")
+    if not granularities:
+        return out
+    length = F.coalesce(*[
+        F.when(F.col("grain") == i, F.col("window_start") + F.expr(GRAINS[g][1])) for i, g in enumerate(granularities)])
+    return out.withColumns({"granularity": pick(list(granularities), F.col("grain")), "window_end": length}).drop("grain")
+
+
+def _moments(states: Column) -> Column:
+    """One (n, mean, m2) of many: each is merged around the mean of both, so no digits cancel."""
+    def merge(one: Column, two: Column) -> Column:
+        n, d = one["n"] + two["n"], two["mean"] - one["mean"]
+        part = F.when(n > 0, two["n"] / n).otherwise(0.0)
+        return F.struct(n.alias("n"), (one["mean"] + d * part).alias("mean"), (one["m2"] + two["m2"] + d * d * one["n"] * part).alias("m2"))
+
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(states, start, merge)
+
+
+def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of ``keys`` with the cells' states merged, in two steps so that no list holds all cells of a hot group."""
+    flat = [F.sum("_null").alias("_null"), F.sum("_odd").alias("_odd"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")]
+    state = _moments(F.collect_list("_state")).alias("_state")
+    some = rows.withColumn("_chunk", F.pmod(F.xxhash64("_state", "_null", "_lo", "_hi"), F.lit(CHUNKS))).groupBy(*keys, "_chunk").agg(state, *flat)
+    return some.groupBy(*keys).agg(state, *flat)
 
 
 def profile(
     log: DataFrame, ts: str, columns: list[str], slices: list[str],
     granularities: tuple[str, ...] = ("1 day", "1 week"), by: tuple[str, ...] = ("model_version",),
+    categorical: list[str] | None = None,
 ) -> DataFrame:
-    """Count, NULLs, mean, deviation, minimum, maximum and distinct values per group.
+    """Count, NULLs, NaNs, mean, deviation, minimum, maximum and distinct values per group.
 
-    Moments are taken per cell with the built-in stable aggregates and merged around the
-    group mean, so long windows lose no digits.
+    States (n, mean, squares about the mean) are taken per cell with the built-in stable aggregates
+    and merged from cell to window and slice. NaN and infinite values are counted in ``num_nan`` and
+    count as missing otherwise. Text columns (``categorical``) have counts and distinct values only.
+    Without granularities the groups are slices of the whole table. A NULL slice value is a slice of
+    its own, apart from the text 'NULL'.
     """
-    ids = [*by, "_cell", *[f"_slice_{s}" for s in slices]]
+    categorical = categorical or []
+    time = [F.date_trunc(_cell_unit(granularities), F.col(ts)).alias("_cell")] if granularities else []
+    ids = [*by, *(["_cell"] if granularities else []), *[f"_slice_{s}" for s in slices]]
+    names = [f"_x{i}" for i in range(len(columns) + len(categorical))]
     flat = log.select(
-        *by, F.date_trunc(_cell_unit(granularities), F.col(ts)).alias("_cell"), *_slice_cols(slices),
-        *[F.col(c).cast("double").alias(c) for c in columns])
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(columns):
-        aggs += [F.count(c).alias(f"_n{i}"), F.avg(c).alias(f"_m{i}"), F.var_pop(c).alias(f"_v{i}"),
-                 F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}")]
+        *by, *time, *_slice_cols(slices), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, names)],
+        *[F.col(c).cast("string").alias(x) for c, x in zip(categorical, names[len(columns):])])
+    aggs = []
+    for i, x in enumerate(names):
+        aggs.append(F.count(F.when(F.col(x).isNull(), 1)).alias(f"_null{i}"))
+        if i < len(columns):
+            known = F.when(F.abs(x) < F.lit(float("inf")), F.col(x))
+            aggs += [F.count(known).alias(f"_n{i}"), F.avg(known).alias(f"_m{i}"), F.var_pop(known).alias(f"_v{i}"),
+                     F.min(known).alias(f"_lo{i}"), F.max(known).alias(f"_hi{i}"), F.count(x).alias(f"_all{i}")]
+        else:
+            aggs.append(F.count(x).alias(f"_n{i}"))
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
+
+    def entry(i: int, name: str) -> Column:
+        n, number = F.col(f"_n{i}"), i < len(columns)
+        mean = F.coalesce(F.col(f"_m{i}"), F.lit(0.0)) if number else F.lit(0.0)
+        squares = F.coalesce(F.col(f"_v{i}") * n, F.lit(0.0)) if number else F.lit(0.0)
+        return F.struct(
+            F.lit(name).alias("column_name"), F.lit(number).alias("_number"), F.struct(n.alias("n"), mean.alias("mean"), squares.alias("m2")).alias("_state"),
+            F.col(f"_null{i}").alias("_null"), (F.col(f"_all{i}") - n if number else zero).alias("_odd"),
+            (F.col(f"_lo{i}") if number else none).alias("_lo"), (F.col(f"_hi{i}") if number else none).alias("_hi"))
+
     wide = flat.groupBy(*ids).agg(*aggs)
-    entries = [F.struct(
-        F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("_n"), (F.col("_rows") - F.col(f"_n{i}")).alias("_null"),
-        F.col(f"_m{i}").alias("_m"), F.col(f"_v{i}").alias("_v"), F.col(f"_lo{i}").alias("_lo"), F.col(f"_hi{i}").alias("_hi"),
-    ) for i, c in enumerate(columns)]
-    fine = wide.select(*ids, F.explode(F.array(*entries)).alias("_e")).select(*ids, "_e.*")
-    rows = _spread(fine, slices, granularities)
-    keys = [*by, *WINDOW, *SLICE, "column_name"]
-    group = Window.partitionBy(*keys)
-    size = F.sum("_n").over(group)
-    rows = rows.withColumn("_gm", F.sum(F.col("_n") * F.col("_m")).over(group) / F.when(size > 0, size))
-    shift = F.col("_m") - F.col("_gm")
-    merged = rows.groupBy(*keys).agg(
-        F.sum("_n").alias("count"), F.sum("_null").alias("num_nulls"), F.max("_gm").alias("avg"),
-        F.sum(F.col("_n") * (F.col("_v") + shift * shift)).alias("_m2"),
-        F.min("_lo").alias("min"), F.max("_hi").alias("max"),
-    ).withColumn("stddev", F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))).drop("_m2")
-    distinct = (
-        value_counts(log, columns, [], slices, ts, granularities, by)
-        .filter(F.col("num").isNotNull()).groupBy(*by, *CELL).agg(F.count(F.lit(1)).alias("distinct_count"))
-    )
-    distinct = named(distinct, columns, slices, granularities)
+    fine = wide.select(*ids, F.explode(F.array(*[entry(i, c) for i, c in enumerate(columns + categorical)])).alias("_e")).select(*ids, "_e.*")
+    keys = [*by, *(WINDOW if granularities else []), *SLICE, "column_name"]
+    n = F.col("_state.n")
+    merged = _merged(_spread(fine, slices, granularities), [*keys, "_number"]).select(
+        *keys, n.alias("count"), F.col("_null").alias("num_nulls"), F.col("_odd").alias("num_nan"),
+        F.when(F.col("_number") & (n > 0), F.col("_state.mean")).alias("avg"), F.col("_lo").alias("min"), F.col("_hi").alias("max"),
+        F.when(F.col("_number") & (n > 1), F.sqrt(F.col("_state.m2") / (n - 1))).alias("stddev"))
+    found = value_counts(log, columns, categorical, slices, ts, granularities, by)
+    found = found.filter((F.abs("num") < F.lit(float("inf"))) | F.col("txt").isNotNull())
+    distinct = found.groupBy(*by, *CELL[:2], *(CELL[2:] if granularities else [])).agg(F.count(F.lit(1)).alias("distinct_count"))
+    distinct = named(distinct, columns + categorical, slices, granularities)
     joined = join_on(merged, distinct, keys).withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
     return _public(joined)
 
 
+def profile_table(
+    log: DataFrame, ts: str, numeric: list[str], categorical: list[str], slices: list[str], label: str | None = None, pred: str | None = None,
+    baseline: DataFrame | None = None, granularities: tuple[str, ...] = ("1 day", "1 week"), by: tuple[str, ...] = ("model_version",),
+) -> DataFrame:
+    """The published profile table, written once: a row per window, slice and column.
+
+    ``log_type`` INPUT are the windows of the log, BASELINE the slices of the whole baseline table (no
+    window). With ``label`` and ``pred`` each window and slice has one more row, column ``:table``, with the
+    quality metrics; the columns of the other kind are NULL.
+    """
+    def nested(df: DataFrame, log_type: str) -> DataFrame:
+        span = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")) if "window_start" in df.columns else (
+            F.lit(None).cast("struct<start:timestamp,end:timestamp>"))
+        grain = F.col("granularity") if "granularity" in df.columns else F.lit(None).cast("string")
+        return df.select(
+            span.alias("window"), grain.alias("granularity"), *by, "column_name", F.lit(log_type).alias("log_type"), *SLICE,
+            "count", "num_nulls", "num_nan", "avg", "stddev", "min", "max", "distinct_count")
+
+    parts = []
+    if numeric or categorical:
+        parts.append(nested(profile(log, ts, numeric, slices, granularities, by, categorical), "INPUT"))
+    if baseline is not None:
+        parts.append(nested(profile(baseline, ts, numeric, slices, (), by, categorical), "BASELINE"))
+    if label and pred:
+        parts.append(quality(log, ts, label, pred, slices, granularities, by))
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part, allowMissingColumns=True)
+    return materialize(table, "profile-metrics")
+
+
 def quality(
     log: DataFrame, ts: str, label: str, pred: str, slices: list[str],
     granularities: tuple[str, ...] = ("1 day", "1 week"), by: tuple[str, ...] = ("model_version",),
@@ -507,9 +582,12 @@ def drift_consecutive(
     return _assemble([named(p, numeric + categorical, slices, granularities) for p in parts], "CONSECUTIVE")
 
 
-def align_baseline(cur: DataFrame, base: DataFrame) -> DataFrame:
-    """Pair profile rows of each window with the baseline row of the same column and slice."""
-    pair = [cur[c].eqNullSafe(base[c]) for c in ("column_name", *SLICE)]
-    cond = pair[0] & pair[1] & pair[2]
-    return cur.join(base, cond, "left").select(
-        *[cur[c] for c in cur.columns], base["avg"].alias("baseline_avg"), base["count"].alias("baseline_count"))
+def align_baseline(table: DataFrame) -> DataFrame:
+    """Profile rows of each window with the baseline row of the same column and slice, from the published table."""
+    cur, base = table.filter("log_type = 'INPUT' and column_name <> ':table'"), table.filter("log_type = 'BASELINE'")
+    kept = base.select(*[F.col(c).alias(f"_{c}") for c in ("column_name", *SLICE)], F.col("avg").alias("baseline_avg"),
+                       F.col("count").alias("baseline_count"))
+    cond = F.lit(True)
+    for c in ("column_name", *SLICE):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return cur.join(kept, cond, "left").drop(*[f"_{c}" for c in ("column_name", *SLICE)])

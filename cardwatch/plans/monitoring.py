@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch.functions.timeparts import windows
 from cardwatch.operators import alerts as al
 from cardwatch.operators import monitor as mon
-from cardwatch.plans.data import AS_OF, CATEGORICAL, NUMERIC, SLICES, Data
+from cardwatch.plans.data import AS_OF, CATEGORICAL, CUT, NUMERIC, SLICES, Data
 from cardwatch.plans.registry import query, rounded
 from cardwatch.session import materialize
 
@@ -220,17 +220,50 @@ def slice_grouping(d: Data):
     return rounded(grouped.withColumnRenamed("_by0", "window_start"), {"amount": 2})
 
 
-PROFILE_COLS = ["transaction_amount", "points", "prediction"]
+PROFILE_COLS = ["transaction_amount", "points", "prediction", "risk"]
+TEXT_COLS = ["merchant_category", "transaction_status"]
+RISK = "case when points = 0 then 'nan'::double when points = 8 then 'inf'::double when points = 10 then null else points / 7e0 end"
 _spread_log = SPREAD.format(cols="l.*", source="log l")
 
 
+def with_risk(log: DataFrame) -> DataFrame:
+    """The log with a column that has NULL, NaN and infinite values."""
+    points = F.col("points")
+    return log.withColumn("risk", F.when(points == 0, float("nan")).when(points == 8, float("inf")).when(points != 10, points / 7.0))
+
+
+def profile_table(d: Data) -> DataFrame:
+    """The published profile table: windows of the log, its baseline, and quality rows."""
+    log, base = with_risk(d.log), with_risk(d.log.filter(F.col(TS) < F.lit(CUT).cast("timestamp")))
+    return mon.profile_table(log, TS, PROFILE_COLS, TEXT_COLS, SLICES, "is_fraud", "prediction", base)
+
+
+def _profiled(spread: str, window: str, kind: str) -> str:
+    number = " union all ".join(f"select model_version, {window}, slice_key, slice_value, '{c}' as column_name, cast({c} as double) as v from {spread}" for c in PROFILE_COLS)
+    text = " union all ".join(f"select model_version, {window}, slice_key, slice_value, '{c}' as column_name, cast({c} as varchar) as t from {spread}" for c in TEXT_COLS)
+    out = [c.rsplit(" as ", 1)[-1].strip() for c in window.split(", ")]
+    keys = f"model_version, {', '.join(out)}, slice_key, slice_value, column_name"
+    return f"""
+      select {keys}, '{kind}' as log_type, count(x) as "count", count(*) filter (v is null) as num_nulls, count(v) - count(x) as num_nan, settle(avg(x), 8) as "avg",
+        min(x) as "min", max(x) as "max", settle(stddev_samp(x), 6) as stddev, count(distinct x) as distinct_count
+      from (select *, case when isfinite(v) then v end as x from ({number})) group by all
+      union all select {keys}, '{kind}', count(t), count(*) - count(t), 0, null, null, null, null, count(distinct t) from ({text}) group by all"""
+
+
+_none = "null::varchar as granularity, null::timestamp as window_start, null::timestamp as window_end"
+
+
 @query("monitor_profile", f"""
-  with spread as ({_spread_log}),
-  long as ({' union all '.join(f"select model_version, {WIN}, slice_key, slice_value, '{c}' as column_name, cast({c} as double) as v from spread" for c in PROFILE_COLS)})
-  select model_version, {WIN}, slice_key, slice_value, column_name, count(v) as "count", count(*) - count(v) as num_nulls, settle(avg(v), 8) as "avg",
-         min(v) as "min", max(v) as "max", settle(stddev_samp(v), 6) as stddev, count(distinct v) as distinct_count from long group by all""", ("log",))
+  with noted as (select *, {RISK} as risk from log),
+  spread as ({SPREAD.format(cols="l.*", source="noted l")}),
+  base_spread as (select l.*, s.k as slice_key, case s.k when 'home_country' then home_country when 'home_state' then home_state end as slice_value
+    from noted l cross join (values (null), ('home_country'), ('home_state')) s(k) where {TS} < timestamp '{CUT}')
+  {_profiled("spread", WIN, "INPUT")} union all {_profiled("base_spread", _none, "BASELINE")}""", ("log",))
 def monitor_profile(d: Data):
-    return rounded(mon.profile(d.log, TS, PROFILE_COLS, SLICES), {"avg": 8, "stddev": 6})
+    rows = profile_table(d).filter("column_name <> ':table'").select(
+        "model_version", "granularity", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "slice_key",
+        "slice_value", "column_name", "log_type", "count", "num_nulls", "num_nan", "avg", "min", "max", "stddev", "distinct_count")
+    return rounded(rows, {"avg": 8, "stddev": 6})
 
 
 QUALITY = f"""
@@ -252,8 +285,8 @@ QCOLS = ["accuracy_score", "precision_weighted", "recall_weighted", "f1_weighted
 @query("monitor_quality", f"""with {QUALITY}
   select model_version, {WIN}, slice_key, slice_value, 'INPUT' as log_type, n as "count", {', '.join(f'settle({c}, 6) as {c}' for c in QCOLS)} from quality""", ("log",))
 def monitor_quality(d: Data):
-    table = mon.quality(d.log, TS, "is_fraud", "prediction", SLICES)
-    rows = table.select(
+    table = mon.profile_table(d.log, TS, [], [], SLICES, "is_fraud", "prediction")
+    rows = table.filter("column_name = ':table'").select(
         "model_version", "granularity", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         "slice_key", "slice_value", "log_type", "count", "accuracy_score",
         *[F.col(f"{m}.weighted").alias(f"{n}_weighted") for m, n in (("precision", "precision"), ("recall", "recall"), ("f1_score", "f1"))],
@@ -262,21 +295,25 @@ def monitor_quality(d: Data):
     return rounded(rows, dict.fromkeys(QCOLS, 6))
 
 
+def _means(source: str, window: str, avg: str) -> str:
+    return " union all ".join(
+        f"select {window}slice_key, slice_value, '{c}' as column_name, count({c}) as n, avg({'hour(' + TS + ')' if c == 'hour_of_day' else c}) as {avg} from {source} group by all"
+        .replace(f"count({c})", f"count({TS})" if c == "hour_of_day" else f"count({c})") for c in NUMERIC)
+
+
 @query("baseline_align", f"""
-  with b as (select 'transaction_amount' as column_name, s.k as slice_key, case s.k when 'home_country' then home_country when 'home_state' then home_state end as slice_value,
-      transaction_amount as v from base cross join (values (null), ('home_country'), ('home_state')) s(k)),
-  bg as (select column_name, slice_key, slice_value, count(v) as baseline_count, avg(v) as baseline_avg from b group by all),
-  c as ({SPREAD.format(cols='transaction_amount', source='drifted')}),
-  cg as (select {WIN}, slice_key, slice_value, count(transaction_amount) as "count", avg(transaction_amount) as "avg" from c group by all)
-  select {WIN}, cg.slice_key, cg.slice_value, 'transaction_amount' as column_name, cg."count", settle(cg."avg", 9) as "avg", settle(baseline_avg, 9) as baseline_avg, baseline_count
-  from cg left join bg on cg.slice_key is not distinct from bg.slice_key and cg.slice_value is not distinct from bg.slice_value""", VIEWS)
+  with {M}, spread_b as (select l.*, s.k as slice_key, case s.k when 'home_country' then home_country when 'home_state' then home_state end as slice_value
+      from base_m l cross join (values (null), ('home_country'), ('home_state')) s(k)),
+  spread_c as ({SPREAD.format(cols="l.*", source="drifted_m l")}),
+  bg as ({_means("spread_b", "", "baseline_avg")}), cg as ({_means("spread_c", WIN + ", ", '"avg"')})
+  select {WIN}, cg.slice_key, cg.slice_value, cg.column_name, cg.n as "count", settle(cg."avg", 6) as "avg", settle(baseline_avg, 6) as baseline_avg, bg.n as baseline_count
+  from cg left join bg on cg.column_name = bg.column_name and cg.slice_key is not distinct from bg.slice_key and cg.slice_value is not distinct from bg.slice_value""", VIEWS)
 def baseline_align(d: Data):
-    cur = mon.profile(d.drifted, TS, ["transaction_amount"], SLICES, by=())
-    whole = mon.slice_grouping(
-        d.base, [F.lit("transaction_amount")], SLICES,
-        [F.count("transaction_amount").alias("count"), F.avg("transaction_amount").alias("avg")]).withColumnRenamed("_by0", "column_name")
-    paired = mon.align_baseline(cur.select("granularity", "window_start", "window_end", "slice_key", "slice_value", "column_name", "count", "avg"), whole)
-    return rounded(paired, {"avg": 9, "baseline_avg": 9})
+    table = mon.profile_table(d.monitored(d.drifted), TS, NUMERIC, [], SLICES, baseline=d.monitored(d.base), by=())
+    paired = mon.align_baseline(table).select(
+        "granularity", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *mon.SLICE, "column_name",
+        "count", "avg", "baseline_avg", "baseline_count")
+    return rounded(paired, {"avg": 6, "baseline_avg": 6})
 
 
 # --- alerts ------------------------------------------------------------------------------

@@ -39,8 +39,8 @@ def test_distances_equal_brute_force(spark, seed, values):
     rows = drift.collect()
     assert len(rows) == 3 * 4  # two days and a week, whole table and three slices
     for r in rows:
-        inside = [x for t, x, _, h in cur if r["window"]["start"] <= t < r["window"]["end"] and (r["slice_key"] is None or (h or "NULL") == r["slice_value"])]
-        ref = [x for _, x, _, h in base if r["slice_key"] is None or (h or "NULL") == r["slice_value"]]
+        inside = [x for t, x, _, h in cur if r["window"]["start"] <= t < r["window"]["end"] and (r["slice_key"] is None or h == r["slice_value"])]
+        ref = [x for _, x, _, h in base if r["slice_key"] is None or h == r["slice_value"]]
         ks, w1 = brute(np.array(ref), np.array(inside))
         assert math.isclose(r["ks_test"]["statistic"], ks, abs_tol=1e-12)
         assert math.isclose(r["wasserstein_distance"], w1, rel_tol=1e-9, abs_tol=1e-9)
@@ -125,12 +125,39 @@ def test_profile_merges_moments(spark):
     df = frame(spark, rows).withColumn("model_version", F.lit("m"))
     for r in mon.profile(df, "transaction_timestamp", ["x"], ["home"]).collect():
         inside = [(x, h) for t, x, _, h in rows if r["window_start"] <= t < r["window_end"]]
-        inside = [x for x, h in inside if r["slice_key"] is None or (h or "NULL") == r["slice_value"]]
+        inside = [x for x, h in inside if r["slice_key"] is None or h == r["slice_value"]]
         known = [x for x in inside if x is not None]
         assert (r["count"], r["num_nulls"], r["distinct_count"]) == (len(known), len(inside) - len(known), len(set(known)))
         assert r["avg"] == pytest.approx(np.mean(known)) and r["stddev"] == pytest.approx(np.std(known, ddof=1))
 
 
+def test_null_slices_text_columns_and_odd_numbers(spark):
+    odd = [float("nan"), float("inf"), None, 2.0, 1e12 + 1, 1e12 + 2]
+    rows = [(T0, v, c, h) for v, c, h in zip(odd, ["a", None, "a", "b", "NULL", "a"], [None, "NULL", None, "NULL", None, "x"])]
+    df = frame(spark, rows).withColumn("model_version", F.lit("m"))
+    table = mon.profile_table(df, "transaction_timestamp", ["x"], ["c"], ["home"], baseline=df, granularities=("1 day",))
+    got = {(r["log_type"], r["column_name"], r["slice_key"], r["slice_value"]):
+           (r["count"], r["num_nulls"], r["num_nan"], r["min"], r["max"], r["distinct_count"]) for r in table.collect()}
+    for kind in ("INPUT", "BASELINE"):
+        assert got[kind, "x", None, None] == (3, 1, 2, 2.0, 1e12 + 2, 3)
+        assert got[kind, "x", "home", None] == (1, 1, 1, 1e12 + 1, 1e12 + 1, 1)
+        assert got[kind, "x", "home", "NULL"] == (1, 0, 1, 2.0, 2.0, 1)
+        assert got[kind, "c", None, None] == (5, 1, 0, None, None, 3)
+        assert got[kind, "c", "home", "NULL"] == (1, 1, 0, None, None, 1)
+    assert len(got) == 2 * 2 * 4
+    grouped = mon.slice_grouping(df, [F.lit(1)], ["home"], [F.count("*").alias("n")]).collect()
+    assert {(r["slice_key"], r["slice_value"], r["n"]) for r in grouped} == {(None, None, 6), ("home", None, 3), ("home", "NULL", 2), ("home", "x", 1)}
+
+
+def test_states_keep_their_digits(spark):
+    rng = random.Random(4)
+    rows = [(T0 + timedelta(days=i % 7), 1e9 + (i % 7) + rng.gauss(0, 1e-3), "a", f"h{i % 50}") for i in range(2000)]
+    df = frame(spark, rows).withColumn("model_version", F.lit("m"))
+    for r in mon.profile(df, "transaction_timestamp", ["x"], ["home"]).filter("slice_key is null").collect():
+        inside = [x - 1e9 for t, x, _, _ in rows if r["window_start"] <= t < r["window_end"]]
+        assert r["stddev"] == pytest.approx(np.std(inside, ddof=1), rel=1e-4)
+
+
 def quality_log(spark, hits):
     rows = [(T0, y, p, "m", "u") for y, p in hits]
     return spark.createDataFrame(rows, "ts timestamp, y int, p int, model_version string, home string")
