@@ -11,7 +11,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -429,6 +429,79 @@ def numeric_drift(
     return found.select(*group, "n_base", "n_cur", *out)
 
 
+#: Rank error of the first look at the baseline's deciles, as one in so many rows.
+SKETCH = 10_000
+
+
+def _long_numbers(df: DataFrame, numeric: list[str], slices: list[str], cell: list[Column]) -> DataFrame:
+    """Finite values as rows (part, slice_value, [_cell], value), one per column and slice."""
+    entries = [F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("value")) for i, c in enumerate(numeric)]
+    long = df.select(*cell, *_slice_cols(slices), F.explode(F.array(*entries)).alias("_e")).filter(F.abs("_e.value") < F.lit(float("inf")))
+    parts = [F.struct(F.col("_e._col").alias("part"), F.lit("").alias("slice_value"))]
+    parts += [F.struct((F.col("_e._col") + i * len(numeric)).alias("part"), F.col(f"_slice_{s}").alias("slice_value")) for i, s in enumerate(slices, 1)]
+    kept = ["_cell"] if cell else []
+    return long.withColumn("_s", F.explode(F.array(*parts))).select("_s.*", *kept, F.col("_e.value").alias("value"))
+
+
+def baseline_deciles(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact decile edges of each group of (keys, value) rows: keys, n_base, edges, b_bins.
+
+    A sketch brackets each of the nine ranks, a second pass counts what lies below the brackets and the
+    values inside them, which are few, and the edge is found among those. An edge is the least value
+    with at least i tenths of the rows at or below it; b_bins are the rows of the ten bins. A bracket that
+    misses its rank opens to the whole range.
+    """
+    i_s = range(1, 10)
+    slack = 2.0 / SKETCH
+    marks = [max(0.0, i / 10 - slack) for i in i_s] + [min(1.0, i / 10 + slack) for i in i_s]
+    first = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_base"), F.percentile_approx("value", marks, SKETCH).alias("_q"))
+    first = materialize(first, "psi-first")
+
+    def brackets(known: DataFrame) -> DataFrame:
+        rows = base.join(known, keys)
+        sums = [F.count(F.when(F.col("value") < F.col("_q")[i - 1], 1)).alias(f"_below{i}") for i in i_s]
+        below = rows.groupBy(*keys).agg(F.max("n_base").alias("n_base"), *sums)
+        inside = F.filter(F.array(*[F.when((F.col("value") >= F.col("_q")[i - 1]) & (F.col("value") <= F.col("_q")[i + 8]), F.lit(i)) for i in i_s]),
+                          lambda x: x.isNotNull())
+        near = rows.select(*keys, "value", F.explode(inside).alias("_i")).groupBy(*keys, "_i", "value").agg(F.count(F.lit(1)).alias("_n"))
+        below = below.select(*keys, "n_base", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below")) for i in i_s])).alias("_b")).select(*keys, "n_base", "_b.*")
+        ahead = Window.partitionBy(*keys, "_i").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        near = near.withColumn("_cum", F.sum("_n").over(ahead)).join(below, [*keys, "_i"]).withColumn("_c", F.col("_below") + F.col("_cum"))
+        reached = F.col("_c") * 10 >= F.col("n_base") * F.col("_i")
+        return near.groupBy(*keys, "_i").agg(
+            F.max("n_base").alias("n_base"), F.max("_below").alias("_below"), F.min(F.when(reached, F.struct(F.col("value").alias("v"), F.col("_c").alias("c")))).alias("_edge"))
+
+    found = materialize(brackets(first), "psi-edges")
+    right = F.col("_edge").isNotNull() & (F.col("_below") * 10 < F.col("n_base") * F.col("_i"))
+    missed = found.filter(~F.coalesce(right, F.lit(False))).select(*keys).distinct()
+    if not missed.isEmpty():
+        lows = base.join(missed, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_base"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+        wide = lows.select(*keys, "n_base", F.concat(F.array_repeat("_lo", 9), F.array_repeat("_hi", 9)).alias("_q"))
+        found = found.join(missed, keys, "left_anti").unionByName(brackets(wide))
+    edges = found.groupBy(*keys).agg(F.max("n_base").alias("n_base"), *[F.max(F.when(F.col("_i") == i, F.col("_edge"))).alias(f"_e{i}") for i in i_s])
+    upto = [F.lit(0).cast("bigint"), *[F.col(f"_e{i}.c") for i in i_s], F.col("n_base")]
+    return edges.select(
+        *keys, "n_base", F.array(*[F.col(f"_e{i}.v") for i in i_s]).alias("edges"),
+        F.array(*[F.greatest(upto[i + 1] - upto[i], F.lit(0)) for i in range(10)]).alias("b_bins"))
+
+
+def numeric_psi(base: DataFrame, cur: DataFrame, ts: str, numeric: list[str], slices: list[str], granularities: tuple[str, ...]) -> DataFrame:
+    """PSI of numeric columns per window and slice: rows are binned by their slice's edges before they spread over windows."""
+    keys = CELL[:2]
+    edges = materialize(baseline_deciles(_long_numbers(base, numeric, slices, []), keys), "psi-info")
+    cell = F.date_trunc(_cell_unit(granularities), F.col(ts)).alias("_cell")
+    rows = _long_numbers(cur, numeric, slices, [cell]).join(edges.select(*keys, "edges"), keys)
+    counted = rows.groupBy(*keys, "_cell", bin_of(F.col("value"), F.col("edges")).alias("_bin")).agg(F.count(F.lit(1)).alias("n"))
+    starts = [F.struct(F.lit(i).alias("grain"), F.date_trunc(GRAINS[g][0], F.col("_cell")).alias("window_start")) for i, g in enumerate(granularities)]
+    spread = counted.withColumn("_w", F.explode(F.array(*starts))).select(*keys, "_bin", "n", "_w.*")
+    bins = F.array(*[F.sum(F.when(F.col("_bin") == i, F.col("n")).otherwise(0)) for i in range(10)]).alias("c_bins")
+    found = spread.groupBy(*CELL).agg(F.sum("n").alias("n_cur"), bins).join(edges.drop("edges"), keys)
+    index = F.aggregate(F.zip_with("b_bins", "c_bins", lambda b, c: _psi_term(c / F.col("n_cur"), b / F.col("n_base"))), F.lit(0.0), lambda s, t: s + t)
+    enough = (F.col("n_cur") > 1) & (F.col("n_base") > 1)
+    return found.select(*CELL, "n_base", "n_cur", F.when(enough, index).alias("population_stability_index"))
+
+
 def _add_area(rows: DataFrame, knots: DataFrame, keys: list[str], extra: list[str], bits: int) -> DataFrame:
     """Add each row's part of the integral of |Fb - Fc| over the axis of x, the centred value.
 
@@ -558,6 +631,13 @@ def drift_metrics(
     others stay NULL.
     """
     slices = list(slices)
+    if set(stats) == {"psi"} and numeric:
+        numbers = named(numeric_psi(base, cur, ts, numeric, slices, granularities), numeric, slices, granularities)
+        if not categorical:
+            return _assemble([numbers], "BASELINE")
+        b, c = value_counts(base, [], categorical, slices), value_counts(cur, [], categorical, slices, ts, granularities)
+        texts = _compare(b, c, [], categorical, CELL[:2], CELL[2:], stats)
+        return _assemble([numbers, *[named(p, categorical, slices, granularities) for p in texts]], "BASELINE")
     sides = value_counts(cur, numeric, categorical, slices, ts, granularities).withColumn("side", F.lit("cur"))
     sides = sides.unionByName(
         value_counts(base, numeric, categorical, slices).withColumn("side", F.lit("base")), allowMissingColumns=True)

@@ -62,6 +62,21 @@ def test_distances_keep_their_digits_at_an_offset(spark, offset):
     assert abs(drift["wasserstein_distance"] - w1) < 1e-9 * spread and abs(drift["avg_delta"] - delta) < 1e-9 * spread
 
 
+@pytest.mark.parametrize("sketch", [10_000, 12])
+@pytest.mark.parametrize("values", [None, [1.0, 1.0, 2.0, 7.5], [-0.5, 1e300, -1e300, 3.0, float("nan")]])
+def test_psi_of_narrowed_deciles_is_that_of_cumulated_values(spark, monkeypatch, sketch, values):
+    monkeypatch.setattr(mon, "SKETCH", sketch)
+    base, cur = frame(spark, sample(21, 300, 0.0, values)), frame(spark, sample(22, 150, 1.0, values))
+    key = lambda r: (r["granularity"], r["window"]["start"], r["column_name"], r["slice_key"] or "", r["slice_value"] or "")
+    one, two = (
+        {key(r): (r["population_stability_index"], r["count"], r["baseline_count"])
+         for r in mon.drift_metrics(base, cur, "transaction_timestamp", ["x"], ["c"], slices=("home",), stats=stats).collect()}
+        for stats in (("psi",), ("psi", "avg_delta")))
+    assert one.keys() == two.keys() and len(one) == 3 * 4 * 2
+    for k in one:
+        assert one[k][1:] == two[k][1:] and one[k][0] == pytest.approx(two[k][0], abs=1e-12)
+
+
 def test_nan_and_infinity_count_as_missing(spark):
     base, cur = sample(1, 80), sample(2, 60, 1.0)
     odd = [(T0, v, "a", "u") for v in (float("nan"), float("inf"), float("-inf"), None)]
