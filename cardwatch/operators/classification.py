@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.columns import join_on, safe_div, value_bucket
+from cardwatch.functions.columns import join_on, safe_div
 from cardwatch.operators.ordered import running
 
 
@@ -114,7 +114,7 @@ def cumulative(table: DataFrame, by: list[str]) -> DataFrame:
     """True and false positives at or above each threshold, with the class totals."""
     pos, neg = F.col("pos"), F.col("neg")
     return running(
-        table, by, ["threshold"], value_bucket(F.col("threshold")),
+        table, by, ["threshold"], None,
         {"tp": ("sum", pos), "fp": ("sum", neg), "all_pos": ("total", pos), "all_neg": ("total", neg)},
         descending=True,
     )
@@ -150,7 +150,7 @@ def lift_chart(df: DataFrame, label: str, score: str, by: list[str], parts: int
     """
     sized = score_table(df, label, score, by).withColumn("n", F.col("pos") + F.col("neg"))
     n = F.col("n")
-    cum = running(sized, by, ["threshold"], value_bucket(F.col("threshold")), {
+    cum = running(sized, by, ["threshold"], None, {
         "cum": ("sum", n), "all_n": ("total", n), "all_pos": ("total", F.col("pos"))})
     at = F.floor((F.col("cum") - n) * parts / F.col("all_n")).cast("int")
     binned = cum.groupBy(*by, at.alias("bin")).agg(

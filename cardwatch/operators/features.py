@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import hash_word, join_on, uniform
 from cardwatch.functions.timeparts import with_time_features
-from cardwatch.operators.ordered import heavy_keys, rank_by_hash, running
+from cardwatch.operators.ordered import hash_cuts, heavy_keys, rank_by_hash, running
 from cardwatch.session import materialize
 
 DAY_US = 86_400_000_000
@@ -298,7 +298,9 @@ def fit_codes(df: DataFrame, cols: list[str]) -> DataFrame:
         df.select(*[F.col(c).cast("string").alias(c) for c in cols])
         .unpivot([], cols, "column_name", "value").filter(F.col("value").isNotNull()).distinct()
     )
-    ranked = running(values, ["column_name"], ["value"], F.substring("value", 1, 8), {"_rank": ("sum", F.lit(1))})
+    # Ranges are cut from a sample of the values, so a shared beginning does not gather them in one task.
+    ranges = materialize(values.repartitionByRange("column_name", "value").withColumn("_part", F.spark_partition_id()), "code-ranges")
+    ranked = running(ranges, ["column_name"], ["value"], F.col("_part"), {"_rank": ("sum", F.lit(1))})
     # A fitted dictionary is kept as a table, whose size then decides how it is joined.
     return materialize(ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code")), "codes")
 
@@ -319,14 +321,14 @@ def apply_codes(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:
 def split(df: DataFrame, key: str, label: str, share: float = 0.2, seed: int = 42, exact: bool = True) -> DataFrame:
     """Add is_test with the share held per label.
 
-    Exact mode ranks the key hashes of each label and takes the first round(share * n).
-    Otherwise each row is decided by its own hash: no shuffle, share held in expectation.
+    Exact mode takes the first round(share * n) rows of each label in the order of the key's hash: the hash
+    at the cut is found from a histogram, then each row is decided by its own. Otherwise each row is decided by its own hash: no shuffle, share held in expectation.
     """
     if not exact:
         return df.withColumn("is_test", uniform(F.col(key), seed) < F.lit(share))
-    ranked = rank_by_hash(df, [label], key, seed)
-    return ranked.select(
-        *df.columns, (F.col("hash_rank") <= F.round(F.col("group_size") * F.lit(share))).alias("is_test"))
+    cuts = hash_cuts(df, [label], key, seed, share)
+    own = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    return join_on(df, cuts, [label]).select(*df.columns, F.coalesce(own <= F.col("hash_cut"), F.lit(False)).alias("is_test"))
 
 
 def folds(df: DataFrame, key: str, label: str, n: int = 3, seed: int = 42) -> DataFrame:

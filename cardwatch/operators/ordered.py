@@ -13,8 +13,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.columns import join_on, value_bucket
+from cardwatch.functions.columns import join_on
+from cardwatch.session import materialize
 
+#: Buckets that a group is cut into at its own quantiles.
+SPLITS = 64
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "next": F.min, "total": F.sum}
 
 
@@ -22,7 +25,7 @@ def running(
     df: DataFrame,
     by: list[str],
     order: list[str],
-    bucket: Column,
+    bucket: Column | None,
     aggs: dict[str, tuple],
     *,
     descending: bool = False,
@@ -36,10 +39,11 @@ def running(
     * next: the column's value in the following row (not NULL, one row per position);
     * total: the sum over the whole group.
 
-    ``bucket`` must not decrease along the first order column. The ``by`` columns may not
-    hold NULL.
+    ``bucket`` must not decrease along the first order column. Without one the first order column, a
+    number, is cut at quantiles of the group itself, so buckets are even wherever the values lie. NULL is
+    a group like any other.
     """
-    rows = df.withColumn("_bucket", bucket)
+    rows = split_by_value(df, by, order[0]) if bucket is None else df.withColumn("_bucket", bucket)
     totals = rows.groupBy(*by, "_bucket").agg(
         *[_AGG[kind](col).alias(f"_t_{name}") for name, (kind, col, *_) in aggs.items()]
     )
@@ -89,6 +93,19 @@ def running(
     )
 
 
+def split_by_value(df: DataFrame, by: list[str], value: str, parts: int = SPLITS) -> DataFrame:
+    """Add _bucket, 0 to ``parts`` - 1, which follows ``value`` within each group and holds about as many rows each.
+
+    ``df`` and the groups' splitters are written, so that every later branch sees the same buckets; the
+    splitters are approximate quantiles, any of which give exact results. Equal values share a bucket.
+    """
+    table = materialize(df, "ordered-rows")
+    shares = [i / parts for i in range(1, parts)]
+    marks = table.groupBy(*by).agg(F.percentile_approx(F.col(value).cast("double"), shares, 20 * parts).alias("_marks"))
+    marked = join_on(table, materialize(marks, "ordered-marks"), by)
+    return marked.withColumn("_bucket", bin_of(F.col(value).cast("double"), F.array_distinct("_marks"))).drop("_marks")
+
+
 def bucket_bits(rows: int, per_bucket: int = 250_000) -> int:
     """Bits for value_bucket that keep an evenly spread group near ``per_bucket`` rows."""
     return max(2, min(16, math.ceil(math.log2(max(1.0, rows / per_bucket)))))
@@ -105,6 +122,25 @@ def rank_by_hash(df: DataFrame, by: list[str], key: str, seed: int) -> DataFrame
         hashed, by, ["_hash"], bucket, {"hash_rank": ("sum", one), "group_size": ("total", one)}).drop("_hash")
 
 
+def hash_cuts(df: DataFrame, by: list[str], key: str, seed: int, share: float) -> DataFrame:
+    """Per group the md5(key:seed) up to which the first round(share * n) keys lie; groups where that is none are left out.
+
+    A histogram of 4,096 even ranges of hashes finds the range of the cut, and only the hashes in it are
+    ordered; the rows themselves are not moved.
+    """
+    hashed = df.select(*by, F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))).alias("_hash"))
+    ranges = hashed.groupBy(*by, F.substring("_hash", 1, 3).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    need = F.round(F.sum("_n").over(whole) * F.lit(share)).cast("long")
+    marked = ranges.select(*by, "_range", "_n", need.alias("_need"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    cuts = materialize(marked.filter((F.col("_need") > F.col("_before")) & (F.col("_need") <= F.col("_before") + F.col("_n"))), "hash-cuts")
+    close = join_on(hashed, cuts, by, "inner").filter(F.substring("_hash", 1, 3) == F.col("_range"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_hash"))
+    last = close.withColumn("_place", place).filter(F.col("_place") == F.col("_need") - F.col("_before"))
+    return materialize(last.select(*by, F.col("_hash").alias("hash_cut")), "hash-cut")
+
+
 def value_table(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Rows per distinct non-NULL value; combined on the map side before the shuffle."""
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
@@ -112,7 +148,7 @@ def value_table(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 def _cumulated(counts: DataFrame, by: list[str], value: str) -> DataFrame:
     n = F.col("n")
-    return running(counts, by, [value], value_bucket(F.col(value)), {"_cum": ("sum", n), "_size": ("total", n)})
+    return running(counts, by, [value], None, {"_cum": ("sum", n), "_size": ("total", n)})
 
 
 def exact_quantiles(counts: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -133,18 +169,6 @@ def exact_quantiles(counts: DataFrame, by: list[str], value: str, probs: dict[st
     ])
 
 
-def quantile_edges(counts: DataFrame, by: list[str], value: str, parts: int = 10, out: str = "edges") -> DataFrame:
-    """Array of the parts-1 inner edges per group: the smallest value that reaches each share."""
-    reach = [
-        F.min(F.when(F.col("_cum") * parts >= F.col("_size") * i, F.col(value))).alias(f"_e{i}")
-        for i in range(1, parts)
-    ]
-    return (
-        _cumulated(counts, by, value).groupBy(*by).agg(*reach)
-        .select(*by, F.array(*[f"_e{i}" for i in range(1, parts)]).alias(out))
-    )
-
-
 def bin_of(value: Column, edges: Column) -> Column:
     """Number of edges below the value: bins are closed on the right, the outer ones open."""
     return F.size(F.filter(edges, lambda e: e < value))

@@ -184,3 +184,16 @@ def test_rule_score_and_perturbation(spark):
     assert got == {"1": (0.53, 1), "2": (0.0, 0), "3": (0.0, 0)}
     moved = sc.perturb(scored.withColumn("score", F.col("rule_score")), "k", "m").collect()
     assert all(0 <= r["score"] <= 1 and abs(r["score"] - r["rule_score"]) <= 0.08 for r in moved)
+
+
+def test_codes_of_values_with_a_shared_beginning(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("shared beginning "), F.lpad((F.col("id") % 7919).cast("string"), 6, "0")).alias("c"))
+    codes = ft.fit_codes(df.repartition(8), ["c"])
+    got = [(r["value"], r["code"]) for r in codes.orderBy("value").collect()]
+    assert [c for _, c in got] == list(range(7919)) and [v for v, _ in got] == sorted(v for v, _ in got)
+
+
+def test_split_moves_no_whole_rows(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("y"), F.lit("wide").alias("wide"))
+    plan = ft.split(df, "id", "y")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" not in plan and "Window" not in plan

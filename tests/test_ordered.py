@@ -66,12 +66,29 @@ def test_quantiles_equal_numpy(spark):
         assert np.allclose([r[k] for k in probs], np.quantile(values, list(probs.values())))
 
 
-def test_edges_are_the_first_values_that_reach_each_share(spark):
-    data = rows_of(3)
-    df = spark.createDataFrame(data, "g string, v double, n int")
-    for r in od.quantile_edges(od.value_table(df, ["g"], "v"), ["g"], "v", parts=4).collect():
-        values = sorted(v for g, v, _ in data if g == r["g"])
-        assert r["edges"] == [values[math.ceil(len(values) * i / 4) - 1] for i in (1, 2, 3)]
+def test_buckets_follow_the_values_of_each_group(spark):
+    rng = np.random.default_rng(8)
+    rows = [("close", float(v)) for v in 0.999 + rng.random(20_000) / 1000] + [("wide", float(v)) for v in rng.lognormal(0, 9, 5_000)]
+    rows += [("one", 3.0)] * 500 + [(None, 1.0), (None, -2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    cut = od.split_by_value(df, ["g"], "v")
+    sizes = {}
+    for r in cut.groupBy("g", "_bucket").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("g", "_bucket").collect():
+        sizes.setdefault(r["g"], []).append((r["n"], r["lo"], r["hi"]))
+    for g in ("close", "wide"):
+        assert len(sizes[g]) >= 32 and max(n for n, *_ in sizes[g]) < 3 * sum(n for n, *_ in sizes[g]) / 64
+        assert all(a[2] < b[1] for a, b in zip(sizes[g], sizes[g][1:]))
+    assert len(sizes["one"]) == 1
+    got = od.running(df, ["g"], ["v"], None, {"n": ("sum", F.lit(1))}).filter("g is null").orderBy("v").collect()
+    assert [r["n"] for r in got] == [1, 2]
+
+
+def test_the_cut_of_a_split_is_that_of_the_whole_order(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") % 10 == 0, 1).when(F.col("id") > 5, 0).alias("y"))
+    cuts = od.hash_cuts(df, ["y"], "id", 42, 0.2)
+    ranked = od.rank_by_hash(df, ["y"], "id", 42).withColumn("h", F.md5(F.concat(F.col("id").cast("string"), F.lit(":42"))))
+    wanted = {r["y"]: r["h"] for r in ranked.filter("hash_rank = round(group_size * 0.2)").collect()}
+    assert {r["y"]: r["hash_cut"] for r in cuts.collect()} == wanted and len(wanted) == 3
 
 
 def test_hash_rank_is_a_permutation_per_group(spark):
