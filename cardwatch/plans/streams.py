@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from cardwatch.functions.timeparts import windows, with_time_features
 from cardwatch.operators import classification as cl
 from cardwatch.operators.features import rule_points
-from cardwatch.plans.data import CUT, Data, model_log
+from cardwatch.operators.scoring import score_model
+from cardwatch.plans.data import CHAMPION, CUT, Data, model_log
 from cardwatch.plans.features import CARD_COLS, ROUND, _cards_sql
+from cardwatch.plans.models import ONE_SPLIT_SQL, one_split_model
 from cardwatch.plans.registry import query, rounded
 from cardwatch.schemas import EVENTS
 from cardwatch.session import fresh_path
+from cardwatch.sources.tables import publish_features
 from cardwatch.streaming import jobs
 
 
@@ -24,23 +27,41 @@ def paths(d: Data, name: str) -> tuple[str, str]:
     return f"{base}/table", f"{base}/checkpoint"
 
 
-@query("ingest_stream", "select event_id, ts, user_id, event_type, value, props from events", ())
+@query("ingest_stream", """
+  select event_id, ts, user_id, event_type, value, props, cast(null as varchar) as raw_line from events
+  union all select null, null, null, null, null, null, concat('{"event_id": ', cast(event_id as varchar), ', "value"') from events where event_id % 50 = 0
+  union all select null, null, null, null, null, null, concat('{"event_id":', cast(event_id as varchar), ',"value":"abc"}') from events where event_id % 50 = 1""", ())
 def ingest_stream(d: Data):
-    """The second run finds no new files, so each event is there once."""
+    """JSON lines land in two waves, some of them cut or with a text for a number; a third run finds nothing new."""
+    landing, rejects = fresh_path(d.spark, "stream-landing"), fresh_path(d.spark, "stream-rejects")
     out, checkpoint = paths(d, "ingest-stream")
-    for _ in range(2):
-        jobs.ingest_stream(d.spark, d.folder, EVENTS, out, checkpoint, "events*.parquet")
-    return d.spark.read.schema(EVENTS).parquet(out)
+    number = F.col("event_id").cast("string")
+    for wave in (0, 1, None):
+        if wave is not None:
+            raw = d.table("events").filter(F.col("event_id") % 2 == wave)
+            raw.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(landing)
+            ending = ', "value"' if wave == 0 else ',"value":"abc"}'
+            start = '{"event_id": ' if wave == 0 else '{"event_id":'
+            raw.filter(F.col("event_id") % 50 == wave).select(F.concat(F.lit(start), number, F.lit(ending))).write.mode("append").text(landing)
+        jobs.ingest_stream(d.spark, landing, EVENTS, out, checkpoint, fmt="json", rejects=rejects)
+    good, bad = jobs.read_batches(d.spark, out), jobs.read_batches(d.spark, rejects)
+    return good.unionByName(bad.select("raw_line"), allowMissingColumns=True)
+
+
+def published_cards(d: Data, cols: list[str]) -> str:
+    """The feature table as the serving side finds it: a numbered version that was written before."""
+    base = fresh_path(d.spark, "card-features")
+    publish_features(d.some_cards.select("card_id", *cols), base)
+    return base
 
 
 @query("stream_static_lookup", f"""
   select t.transaction_id, t.card_id, {_cards_sql(CARD_COLS, 'c.')} from txn t left join some_cards c on c.card_id = t.card_id""", ("txn", "some_cards"))
 def stream_static_lookup(d: Data):
     out, checkpoint = paths(d, "stream-lookup")
-    features = d.some_cards.select("card_id", *CARD_COLS)
     txn = d.as_txn(stream(d)).select("transaction_id", "card_id")
-    jobs.run_to_table(jobs.stream_lookup(txn, features), out, checkpoint)
-    return rounded(d.spark.read.parquet(out), ROUND)
+    jobs.stream_lookup(txn, published_cards(d, CARD_COLS), lambda rows: rows, out, checkpoint)
+    return rounded(jobs.read_batches(d.spark, out), ROUND)
 
 
 @query("stream_score", """
@@ -58,8 +79,23 @@ def stream_score(d: Data):
         rows = with_time_features(rows, "transaction_timestamp").withColumn("score", points)
         return rows.select("transaction_id", "card_id", "hour_of_day", "score", (F.col("score") >= 25).cast("int").alias("prediction"))
 
-    jobs.stream_score(d.as_txn(stream(d)), d.some_cards.select("card_id", "avg_transaction_amount_90d"), score, out, checkpoint)
-    return d.spark.read.parquet(out)
+    jobs.stream_score(d.as_txn(stream(d)), published_cards(d, ["avg_transaction_amount_90d"]), score, out, checkpoint)
+    return jobs.read_batches(d.spark, out)
+
+
+@query("stream_score_model", f"""{ONE_SPLIT_SQL}
+  select transaction_id, card_id, settle(score, 6) as score, cast(score >= 0.3e0 as int) as prediction, '{CHAMPION}' as model_version from scored""")
+def stream_score_model(d: Data):
+    """A fitted model scores the stream, next to looked-up features."""
+    out, checkpoint = paths(d, "stream-model")
+    model = one_split_model(d)
+
+    def score(rows):
+        scored = score_model(rows, model, CHAMPION, 0.3, "2024-01-31")
+        return rounded(scored.select("transaction_id", "card_id", "score", "prediction", "model_version"), {"score": 6})
+
+    jobs.stream_score(d.as_txn(stream(d)), published_cards(d, ["avg_transaction_amount_90d"]), score, out, checkpoint)
+    return jobs.read_batches(d.spark, out)
 
 
 @query("stream_monitor", """

@@ -91,30 +91,64 @@ def ingest_batch(
     if fmt not in ("json", "csv"):
         return write_table(spark.read.schema(schema).format(fmt).load(source), path, mode="append")
     raw = "raw_line"
-    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())]))
-    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    lines = reader.format(fmt).load(source)
+    lines = landing_lines(spark.read, schema, fmt, raw).load(source)
     bad = F.col(raw).isNotNull()
     write_table(lines.filter(bad), rejects or f"{path.rstrip('/')}-rejects", mode="append")
     return write_table(lines.filter(~bad).drop(raw), path, mode="append")
 
 
 def typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast an all-text table by declared type; text that is no number becomes NULL."""
-    whole = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-    real = (T.DoubleType, T.FloatType, T.DecimalType)
-
-    def typed(field: T.StructField) -> Column:
-        col = F.col(field.name)
-        if isinstance(field.dataType, whole):
-            return col.try_cast("bigint").alias(field.name)
-        if isinstance(field.dataType, real):
-            return col.try_cast("double").alias(field.name)
-        return col.try_cast(field.dataType).alias(field.name)
-
-    return df.select(*[typed(f) for f in schema.fields])
+    """Cast an all-text table to its declared types; text that is no value of the type, or beyond its width, becomes NULL."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and its file system; works for any store that Spark reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def newest_version(spark: SparkSession, base: str) -> int:
+    """Highest version below ``base`` that was written to its end, 0 where there is none."""
+    folder, store = _folder(spark, base)
+    if not store.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    numbers = sorted((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), reverse=True)
+    return next((n for n in numbers if store.exists(_folder(spark, f"{base}/version={n}/_SUCCESS")[0])), 0)
+
+
+def publish_features(df: DataFrame, base: str, key: str = "card_id") -> int:
+    """Write a feature table as the next numbered version; readers find it once it is whole and its keys are checked.
+
+    A version whose keys fail is left without its mark, so no reader takes it. One publisher at a time.
+    """
+    spark = df.sparkSession
+    number = newest_version(spark, base) + 1
+    path = f"{base}/version={number}"
+    spark_marks = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    df.write.mode("overwrite").option(spark_marks, "false").parquet(path)
+    verdict = key_check(spark.read.schema(df.schema).parquet(path), key).first()
+    if verdict["status"] != "PASS":
+        raise ValueError(f"{key}: {verdict['null_keys']} NULL and {verdict['duplicate_keys']} repeated keys")
+    mark, store = _folder(spark, f"{path}/_SUCCESS")
+    store.create(mark, True).close()
+    return number
+
+
+def read_features(spark: SparkSession, base: str) -> DataFrame:
+    """The newest whole version of a feature table, a plain scan."""
+    number = newest_version(spark, base)
+    if not number:
+        raise FileNotFoundError(f"no version of a feature table in {base}")
+    return spark.read.parquet(f"{base}/version={number}")
+
+
+def landing_lines(reader, schema: T.StructType, fmt: str, raw: str = "raw_line"):
+    """``reader``, of a batch or a stream, that keeps lines which cannot be read as they are in a column of their own."""
+    reader = reader.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())])).format(fmt)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
+    return reader.option("header", True) if fmt == "csv" else reader
 
 
 def feature_table_write(df: DataFrame, path: str, key: str = "card_id", partition_by: tuple[str, ...] = ()) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cardwatch.functions.timeparts import GRAINS
 from cardwatch.operators.features import lookup
 from cardwatch.session import materialize
+from cardwatch.sources.tables import landing_lines, read_features
 
 
 def file_stream(spark: SparkSession, source: str, schema: T.StructType, pattern: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -34,22 +35,67 @@ def run_to_table(df: DataFrame, out: str, checkpoint: str, mode: str = "append",
     return out
 
 
-def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, out: str, checkpoint: str, pattern: str | None = None) -> str:
-    """Incremental ingest: a second run with the same checkpoint reads new files only."""
-    return run_to_table(file_stream(spark, source, schema, pattern), out, checkpoint)
+def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Process what has arrived in numbered micro-batches and stop; after a failure the same number comes again with the same rows."""
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_lookup(stream: DataFrame, features: DataFrame, key: str = "card_id") -> DataFrame:
-    """Left join of a stream with the live feature table; stateless, read anew per batch."""
-    return lookup(stream, features, key, "left")
+def write_batch(rows: DataFrame, out: str, number: int) -> None:
+    """A micro-batch's part of a table: its own folder, written over when the batch is repeated."""
+    rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+
+def read_batches(spark: SparkSession, out: str) -> DataFrame:
+    """A table that ``write_batch`` has written, without the batch numbers."""
+    return spark.read.parquet(out).drop("batch")
+
+
+def ingest_stream(
+    spark: SparkSession, source: str, schema: T.StructType, out: str, checkpoint: str, pattern: str | None = None,
+    fmt: str = "parquet", rejects: str | None = None, files_per_batch: int | None = None,
+) -> str:
+    """Incremental ingest: a second run with the same checkpoint reads new files only.
+
+    Lines of JSON or CSV files that cannot be read, or hold a value that is not of its declared type, go
+    whole into ``rejects`` (by default ``out`` with the ending -rejects), as raw_line beside the columns that
+    could be read. Both tables get their rows by micro-batch, so a batch that is repeated after a failure
+    between the two writes loses and doubles nothing; read them with ``read_batches``.
+    """
+    if fmt not in ("json", "csv"):
+        return run_to_table(file_stream(spark, source, schema, pattern), out, checkpoint)
+    reader = landing_lines(spark.readStream, schema, fmt)
+    options = {"pathGlobFilter": pattern, "maxFilesPerTrigger": files_per_batch}
+    for name, value in options.items():
+        if value:
+            reader = reader.option(name, value)
+    other, bad = rejects or f"{out.rstrip('/')}-rejects", F.col("raw_line").isNotNull()
+
+    def land(lines: DataFrame, number: int) -> None:
+        write_batch(lines.filter(bad), other, number)
+        write_batch(lines.filter(~bad).drop("raw_line"), out, number)
+
+    run_batches(reader.load(source), land, checkpoint)
+    return out
+
+
+def stream_lookup(stream: DataFrame, features: str, use: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "card_id") -> str:
+    """Left join of each micro-batch with the version of the feature table that is newest when the batch begins.
+
+    ``features`` is the folder of ``publish_features``. The join is stateless; ``use`` turns its rows into
+    those of the table ``out``, to be read with ``read_batches``.
+    """
+    def enrich(rows: DataFrame, number: int) -> None:
+        write_batch(use(lookup(rows, read_features(rows.sparkSession, features), key, "left")), out, number)
+
+    run_batches(stream, enrich, checkpoint)
+    return out
 
 
 def stream_score(
-    stream: DataFrame, features: DataFrame, score: Callable[[DataFrame], DataFrame],
-    out: str, checkpoint: str, key: str = "card_id",
+    stream: DataFrame, features: str, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "card_id",
 ) -> str:
-    """Enrich, score and append to the inference log."""
-    return run_to_table(score(stream_lookup(stream, features, key)), out, checkpoint)
+    """Enrich, score and append to the inference log; ``score`` may be a rule or ``score_model`` with a fitted model."""
+    return stream_lookup(stream, features, score, out, checkpoint, key)
 
 
 def stream_monitor(

@@ -181,3 +181,66 @@ def test_refresh_drops_windows_left_without_rows(spark):
     empty = fresh_path(spark, "refresh")
     jobs.refresh(one.limit(0), one, "ts", build, empty)
     assert spark.read.schema("n int").parquet(empty).count() == 0
+
+
+def test_text_landing_keeps_every_line_once_over_restarts(spark, monkeypatch):
+    folder, out, rejects, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "rejects", "check"))
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    for k in range(4):
+        lines = [f'{{"a": {k}, "b": "x"}}', f'{{"a": {10 + k}}}', f'{{"a": {k}, "b', f'{{"a": "t{k}", "b": "y"}}']
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
+    write, calls = jobs.write_batch, []
+
+    def failing(rows, path, number):
+        calls.append(number)
+        if len(calls) == 4:  # the second batch has its rejects, not its rows
+            raise RuntimeError("lost")
+        write(rows, path, number)
+
+    run = lambda: jobs.ingest_stream(spark, folder, schema, out, checkpoint, fmt="json", rejects=rejects, files_per_batch=1)
+    monkeypatch.setattr(jobs, "write_batch", failing)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(jobs, "write_batch", write)
+    run()
+    run()
+    good = sorted((r["a"], r["b"] or "") for r in jobs.read_batches(spark, out).collect())
+    assert good == sorted([(k, "x") for k in range(4)] + [(10 + k, "") for k in range(4)])
+    bad = sorted(r["raw_line"] for r in jobs.read_batches(spark, rejects).collect())
+    assert bad == sorted([f'{{"a": {k}, "b' for k in range(4)] + [f'{{"a": "t{k}", "b": "y"}}' for k in range(4)])
+
+
+def test_a_version_published_between_two_batches_serves_the_second(spark):
+    base, folder, out, checkpoint = (fresh_path(spark, n) for n in ("features", "in", "out", "check"))
+    cards = lambda v: spark.createDataFrame([("c1", v), ("c2", v)], "card_id string, limit int")
+    with pytest.raises(FileNotFoundError):
+        src.read_features(spark, base)
+    assert src.publish_features(cards(1), base) == 1
+    with pytest.raises(ValueError):
+        src.publish_features(cards(7).union(cards(8)), base)
+    assert src.read_features(spark, base).first()["limit"] == 1  # a version with repeated keys is not taken
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "card_id string").coalesce(1).write.mode("append").parquet(folder)
+    rows("c1", "none")
+    schema, plans = spark.read.parquet(folder).schema, []
+
+    def use(joined):
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    run = lambda: jobs.stream_lookup(jobs.file_stream(spark, folder, schema), base, use, out, checkpoint)
+    run()
+    src.publish_features(cards(2), base)
+    rows("c2")
+    run()
+    got = sorted((r["card_id"], r["limit"]) for r in jobs.read_batches(spark, out).collect() if r["limit"])
+    assert got == [("c1", 1), ("c2", 2)] and jobs.read_batches(spark, out).count() == 3
+    assert all("FileScan parquet [card_id" in p and "Aggregate" not in p and "Window" not in p for p in plans) and len(plans) == 2
+
+
+def test_declared_widths_are_kept(spark):
+    schema = T.StructType([T.StructField("a", T.ByteType()), T.StructField("b", T.IntegerType()), T.StructField("c", T.FloatType()),
+                           T.StructField("d", T.DecimalType(5, 2))])
+    df = spark.createDataFrame([("7", "70000", "1.5", "2.25"), ("300", "x", "1e40", "12345")], "a string, b string, c string, d string")
+    got = src.typed_from_text(df, schema)
+    assert got.schema.simpleString() == schema.simpleString()
+    assert [r["a"] for r in got.collect()] == [7, None] and [r["b"] for r in got.collect()] == [70000, None] and got.collect()[1]["d"] is None
