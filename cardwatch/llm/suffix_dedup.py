@@ -19,6 +19,8 @@ LENGTH, ANCHOR, PIECE = 200, 64, 1 << 19
 #: Bytes of spans in one suffix array; an anchor with more different spans than this is dealt out by window.
 AT_ONCE, MOST_SPANS = 1 << 18, 500
 WIDE = LENGTH - ANCHOR + 1
+#: Parts in which the places of one window are ordered.
+SALTS = 32
 #: Bits of a hash that give way to the position.
 PLACE = np.uint64((1 << 22) - 1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -245,12 +247,16 @@ def _dealt_out(spans: DataFrame, others: bool) -> DataFrame:
                     [pa.array(keys, pa.binary()), pa.array([doc_id] * n, pa.int64()), pa.array([h] * n, pa.int64()),
                      pa.array(np.arange(first, first + n))], ["window", "doc_id", "h", "first"])
 
+    spans = spans.dropDuplicates(["anchor", "doc_id", "h", "first"])  # rows equal in doc_id and text are one place
     each = spans.mapInArrow(spread, "window binary, doc_id long, h long, first long")
-    groups = each.groupBy("window").agg(F.min(_place()).alias("least"), F.max(_place()).alias("most"))
-    found = each.join(groups.filter("least <> most"), "window")
-    if not others:
-        found = found.filter(_place() != F.col("least"))
-    return found.select("doc_id", "h", "first", F.lit(1).alias("windows"))
+    # A window with any number of places is walked in SALTS parts; only the first place of each part is compared further.
+    part = Window.partitionBy("window", F.pmod(F.xxhash64("doc_id", "h"), F.lit(SALTS))).orderBy(_place())
+    some = each.withColumns({"at": F.row_number().over(part), "next": F.lead("first").over(part).isNotNull()})
+    some = materialize(some, "dedup-windows")
+    whole = Window.partitionBy("window").orderBy(_place())
+    firsts = some.filter("at = 1").withColumns({"at": F.row_number().over(whole), "more": F.lead("first").over(whole).isNotNull()})
+    found = firsts.filter("at > 1 or next or more" if others else "at > 1").select("doc_id", "h", "first")
+    return some.filter("at > 1").select("doc_id", "h", "first").union(found).withColumn("windows", F.lit(1))
 
 
 def repeats(docs: DataFrame, keep_first: bool, text: str = "text") -> DataFrame:
