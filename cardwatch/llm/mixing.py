@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 from decimal import Decimal
 from fractions import Fraction
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,16 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), Fraction(3, 2), 2
 STEPS, SHARDS = 16, 8
 #: Blocks that sources are dealt into; the driver sees one row of totals per block.
 BLOCKS = 4096
+#: Numbers below which the hypergeometric draw is made at once.
+MOST_AT_ONCE = 10**9
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def first_words(text: str, words: int) -> str:
+    """The text up to the end of so many words, on its own bytes."""
+    raw = text.encode()
+    last = next(islice(WORD.finditer(raw), words - 1, None))
+    return raw[:last.end()].decode()
 
 
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST) -> list[Fraction]:
@@ -56,12 +67,20 @@ def class_quotas(fraction: Fraction, classes: list[tuple[int, int]]) -> list[int
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Good ones among ``n`` drawn; beyond 10^9, where the exact draw ends, by mean and variance."""
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, n)) if n else 0
-    total, p = good + bad, good / (good + bad)
-    spread = math.sqrt(n * p * (1 - p) * (total - n) / max(1, total - 1))
-    return min(good, n, max(0, n - bad, round(n * p + spread * rng.standard_normal())))
+    """Good ones among ``n`` drawn, exact for any numbers.
+
+    Above 10^9, where the library's draw ends, every item is put into one of two halves by a fair coin, as the
+    items below and above the middle of independent uniform numbers; the half that holds the n-th smallest
+    number is looked at further, a half below it is drawn as a whole.
+    """
+    got = 0
+    while good + bad >= MOST_AT_ONCE:
+        g, b = int(rng.binomial(good, 0.5)), int(rng.binomial(bad, 0.5))
+        if g + b <= n:
+            got, n, good, bad = got + g, n - g - b, good - g, bad - b
+        else:
+            good, bad = g, b
+    return got + (int(rng.hypergeometric(good, bad, n)) if n else 0)
 
 
 def splitting_tree(quotas: list[int], shards: int, seed: list[int], room: list[int] | None = None) -> np.ndarray:
@@ -296,7 +315,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: one row per copy of a document, with the columns of ``docs``.
 
     Copies lie where the join puts them and are shuffled there by their random place. The one document
-    per source that goes in partly keeps its first words, and ``n_chars`` is then its new length.
+    per source that goes in partly keeps its first words with the white space between them, and ``n_chars`` is then its new length.
     Rows equal in doc_id and text share their copies.
     """
     plan = mix(docs, **options).filter(F.size("copies") > 0).groupBy(
@@ -313,7 +332,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
             texts, sizes = batch.column(at["text"]).to_pylist(), batch.column(at["n_chars"]).to_pylist()
             for i, (size, words) in enumerate(zip(batch.column("size").to_pylist(), batch.column("words").to_pylist())):
                 if words < size:
-                    texts[i] = b" ".join(texts[i].encode().split()[:words]).decode()
+                    texts[i] = first_words(texts[i], words)
                     sizes[i] = len(texts[i])
             new = {at["text"]: pa.array(texts, pa.string()), at["n_chars"]: pa.array(sizes, pa.int64())}
             names = list(at.values())

@@ -89,7 +89,9 @@ def op7_ngram_join(spark, sf_dir):
 
 @query("op8_mix")
 def op8_mix(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """``shards`` are the output shards of the document's copies, as the splitting tree has dealt them."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.array_sort(F.col("copies.shard")).alias("shards"))
 
 
 @query("op9_topk", """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cardwatch.session import fresh_path, materialize
 
 #: Bytes of HTTP block in one record, of one transfer chunk, and about the bytes of one archive file.
-SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES = 256 * 1024, 16 * 1024, 16 * 2**20
+SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES = 8 * 1024, 4 * 1024, 16 * 2**20
 END = b"\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 RECORD = (
