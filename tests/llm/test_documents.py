@@ -74,10 +74,13 @@ def test_the_first_place_stays(odd):
     assert out[9]["n_chars"] == len(out[9]["text"])
 
 
-def test_windows_of_very_common_anchors_are_dealt_out(odd, monkeypatch):
-    want = sorted(map(tuple, suffix_dedup.digests(odd, keep_first=False).fillna(-1).collect()))
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("salts", [1, 32])
+def test_windows_of_very_common_anchors_are_dealt_out(odd, monkeypatch, keep_first, salts):
+    want = sorted(map(tuple, suffix_dedup.digests(odd, keep_first=keep_first).fillna(-1).collect()))
     monkeypatch.setattr(suffix_dedup, "MOST_SPANS", 0)
-    assert sorted(map(tuple, suffix_dedup.digests(odd, keep_first=False).fillna(-1).collect())) == want
+    monkeypatch.setattr(suffix_dedup, "SALTS", salts)
+    assert sorted(map(tuple, suffix_dedup.digests(odd, keep_first=keep_first).fillna(-1).collect())) == want
 
 
 def test_long_texts_go_through_in_pieces(monkeypatch):
@@ -241,6 +244,44 @@ def test_the_splitting_tree_keeps_quotas():
     assert sorted(mixing.permuted(np.arange(1000), np.full(1000, 1000), 3)) == list(range(1000))
 
 
+def test_draws_of_any_size_are_hypergeometric(monkeypatch):
+    few = np.random.default_rng(1)
+    direct = np.array([few.hypergeometric(700, 300, 400) for _ in range(4000)])
+    monkeypatch.setattr(mixing, "MOST_AT_ONCE", 50)
+    rng = np.random.default_rng(2)
+    halved = np.array([mixing.hypergeometric(rng, 700, 300, 400) for _ in range(4000)])
+    assert abs(direct.mean() - halved.mean()) < 0.5 and abs(direct.std() / halved.std() - 1) < 0.06
+    edges = [(5, 0, 3, 3), (0, 90, 4, 0), (60, 60, 120, 60), (60, 60, 0, 0)]
+    assert [mixing.hypergeometric(rng, g, b, n) for g, b, n, _ in edges] == [e[3] for e in edges]
+    monkeypatch.undo()
+    big = mixing.hypergeometric(rng, 3 * 10**12, 10**12, 10**12)
+    assert abs(big - 0.75e12) < 6 * (1e12 * 0.75 * 0.25 * 0.75) ** 0.5
+
+
+def test_shards_hold_the_quotas_of_the_tree(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id % 11 as int))").alias("text"), (F.col("id") % 3).cast("string").alias("source"))
+    out = mixing.mix(docs).collect()
+    placed = defaultdict(Counter)
+    for r in out:
+        for c in r["copies"]:
+            placed[c["layer"], c["shard"]][r["source"]] += 1
+    drawn = Counter(c["layer"] for r in out for c in r["copies"])
+    for layer in (0, 1):
+        sizes = [sum(placed[layer, s].values()) for s in range(mixing.SHARDS)]
+        assert sum(sizes) == drawn[layer] and max(sizes) - min(sizes) <= 8  # equal shares but for the halving
+        for source in "012":
+            parts = [placed[layer, s][source] for s in range(mixing.SHARDS)]
+            mean = sum(parts) / len(parts)
+            assert max(parts) < mean + 6 * (mean + 1) ** 0.5 and min(parts) > mean - 6 * (mean + 1) ** 0.5
+    twice = [{c["shard"] for c in r["copies"]} for r in out if len(r["copies"]) > 1]
+    assert np.mean([len(s) > 1 for s in twice]) > 0.6  # copies of a document spread over the shards
+
+
+def test_a_text_is_cut_on_its_own_bytes():
+    assert mixing.first_words(" a\tb\n\n ü  c d", 4) == " a\tb\n\n ü  c"
+
+
 @pytest.fixture()
 def labels(spark, odd_rows):
     known = [(r[0], int(i % 3 > 0), int(i % 4 == 0)) for i, r in enumerate(odd_rows[:60])]

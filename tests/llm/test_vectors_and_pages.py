@@ -87,6 +87,22 @@ def test_archives_come_back_whole(spark, segment):
     assert warc.archive_round_trip(df.filter("false")).count() == 0
 
 
+def test_the_registered_query_joins_continuation_records(spark, monkeypatch):
+    paths, write = [], warc.write_archives
+
+    def noted(pages, path, *rest):
+        paths.append(path)
+        write(pages, path, *rest)
+
+    monkeypatch.setattr(warc, "write_archives", noted)
+    QUERIES["op10_warc"](spark, FOLDER).count()
+    files = spark.read.format("binaryFile").load(paths[0]).collect()
+    fields = [f for r in files for f, _ in warc.parse(bytes(r["content"]))]
+    origins = {f["warc-segment-origin-id"] for f in fields if f["warc-type"] == "continuation"}
+    long = {f["warc-record-id"] for f in fields if f.get("warc-segment-number") == "1"}
+    assert origins and origins == long
+
+
 def test_framing_and_segments_are_verified():
     data = bytes(range(256)) * 300
     assert warc.dechunked(warc.chunked(data, 1000)) == data
