@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cardwatch.operators import features as ft
 from cardwatch.operators import relational as rel
-from cardwatch.plans.data import AS_OF, Data
+from cardwatch.plans.data import Data
 from cardwatch.plans.registry import query, rounded, settle
+from cardwatch.schemas import FEATURE_COLS
 
 CARD_COLS = ["avg_transaction_amount_90d", "max_monthly_spend_statement", "total_transactions_90d", "hours_since_last_transaction"]
 ROUND = {"avg_transaction_amount_90d": 8, "max_monthly_spend_statement": 2, "avg_transactions_per_day_90d": 6,
@@ -52,12 +53,27 @@ def lookup_left(d: Data):
          cast(hour(transaction_timestamp) as int) as hour_of_day, cast(isodow(transaction_timestamp) - 1 as int) as day_of_week, t.is_fraud
   from txn t left join cards c on c.card_id = t.card_id""", ("txn", "cards"))
 def training_set(d: Data):
+    return rounded(_built(d), ROUND)
+
+
+def _built(d: Data):
     labels = d.txn.select(
         "card_id", "transaction_timestamp", "transaction_amount", "transaction_country", "transaction_state",
         "merchant_category", "transaction_status", F.col("is_vpn_used").cast("int").alias("is_vpn_used"), "is_fraud")
-    built = ft.training_set(
+    return ft.training_set(
         labels, [(d.cards, "card_id")], "transaction_timestamp", "is_fraud", exclude=("card_id", "transaction_timestamp"))
-    return rounded(built, ROUND)
+
+
+def _feature_sql(name: str) -> str:
+    own = {"is_vpn_used": "cast(t.is_vpn_used as int)", "hour_of_day": "cast(hour(transaction_timestamp) as int)",
+           "day_of_week": "cast(isodow(transaction_timestamp) - 1 as int)"}
+    return f"{own[name]} as {name}" if name in own else _cards_sql([name], "c.") if name in ALL_CARD_COLS else f"t.{name}"
+
+
+@query("ordered_features", f"select {', '.join(map(_feature_sql, FEATURE_COLS))} from txn t left join cards c on c.card_id = t.card_id", ("txn", "cards"))
+def ordered_features(d: Data):
+    """All model inputs in the order that the model declares."""
+    return rounded(ft.feature_select(_built(d), order=FEATURE_COLS), ROUND)
 
 
 @query("orphan_check", """

@@ -191,10 +191,10 @@ _PREV = "select column_name, sk, sv, granularity, window_end as window_start, wi
   with txn_m as (select *, prediction_champion as prediction from txn),
   {_ctes_num(GROUP, GROUP, _PREV.format(_long('txn_m', NUMERIC, 'double', True)), _NOW.format(_long('txn_m', NUMERIC, 'double', True)))},
   {_ctes_cat(GROUP, GROUP, _PREV.format(_long('txn_m', CATEGORICAL, 'varchar', True)), _NOW.format(_long('txn_m', CATEGORICAL, 'varchar', True)))}, {FLAT}
-  select {HEAD}, {_r('ks_statistic', 'chi2_statistic', 'wasserstein_distance', 'population_stability_index', 'avg_delta')} from flat where sk = ''""")
+  select {HEAD}, {_r('ks_statistic', 'ks_pvalue', 'chi2_statistic', 'chi2_pvalue', 'wasserstein_distance', 'population_stability_index', 'avg_delta')} from flat""")
 def drift_consecutive(d: Data):
-    found = mon.drift_consecutive(d.monitored(d.txn), TS, NUMERIC, CATEGORICAL)
-    return flat(found, "ks_statistic", "chi2_statistic", "wasserstein_distance", "population_stability_index", "avg_delta")
+    found = mon.drift_consecutive(d.monitored(d.txn), TS, NUMERIC, CATEGORICAL, slices=tuple(SLICES))
+    return flat(found, "ks_statistic", "ks_pvalue", "chi2_statistic", "chi2_pvalue", "wasserstein_distance", "population_stability_index", "avg_delta")
 
 
 # --- windows, profile, quality -----------------------------------------------------------

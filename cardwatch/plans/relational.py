@@ -68,17 +68,6 @@ def feature_select(d: Data):
     return ft.feature_select(d.txn, exclude=("transaction_id", "card_id", "transaction_timestamp", "is_fraud", "points"))
 
 
-@query("ordered_features", """
-  select transaction_country, transaction_state, merchant_category, transaction_status, home_country, home_state,
-         transaction_amount, cast(is_vpn_used as int) as is_vpn_used, cast(hour(transaction_timestamp) as int) as hour_of_day,
-         cast(isodow(transaction_timestamp) - 1 as int) as day_of_week from txn""")
-def ordered_features(d: Data):
-    wide = with_time_features(d.txn, "transaction_timestamp").withColumn("is_vpn_used", F.col("is_vpn_used").cast("int"))
-    return ft.feature_select(wide, order=[
-        "transaction_country", "transaction_state", "merchant_category", "transaction_status", "home_country",
-        "home_state", "transaction_amount", "is_vpn_used", "hour_of_day", "day_of_week"])
-
-
 @query("constant_column", f"select transaction_id, '{CHAMPION}' as model_version from txn")
 def constant_column(d: Data):
     return ft.tag(d.txn.select("transaction_id"), "model_version", CHAMPION)

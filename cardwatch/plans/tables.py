@@ -30,11 +30,11 @@ def write_append(d: Data):
     return src.scan(d.spark, path, rows(d).schema)
 
 
-@query("write_overwrite", "select event_id, user_id, event_type, value from events where value > 50", ())
+@query("write_overwrite", "select event_id, user_id, event_type, settle(value * 2e0, 4) as value from events", ())
 def write_overwrite(d: Data):
     path = fresh_path(d.spark, "overwrite")
     src.write_table(rows(d), path, mode="overwrite")
-    src.write_table(rows(d).filter(F.col("value") > 50), path, mode="overwrite")
+    src.write_table(rows(d).withColumn("value", settle(F.col("value") * 2, 4)), path, mode="overwrite")
     return src.scan(d.spark, path, rows(d).schema)
 
 
@@ -45,11 +45,14 @@ def write_partitioned(d: Data):
 
 
 @query("write_merge_schema", """
-  select event_id, value, case when event_type = 'purchase' then user_id end as buyer from events where event_type in ('purchase', 'view')""", ())
+  select event_id, value, case when event_type = 'purchase' then user_id end as buyer,
+         case when event_type not in ('purchase', 'view') then event_type end as kind from events""", ())
 def write_merge_schema(d: Data):
     path = fresh_path(d.spark, "merged")
     src.write_table(rows(d).filter("event_type = 'view'").select("event_id", "value"), path)
     src.write_table(rows(d).filter("event_type = 'purchase'").select("event_id", "value", F.col("user_id").alias("buyer")), path)
+    others = rows(d).filter("event_type not in ('purchase', 'view')").select("event_id", F.col("event_type").alias("kind"), "value")
+    src.write_table(others, path)
     return src.read_merged(d.spark, path)
 
 

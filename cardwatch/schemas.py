@@ -19,16 +19,6 @@ NUMERIC_COLS = [
 ]
 FEATURE_COLS = CATEGORICAL_COLS + NUMERIC_COLS
 
-# The nine rolling inputs.
-ROLLING_COLS = [
-    "txn_count_1d", "txn_count_7d", "txn_amount_avg_1d", "txn_amount_avg_7d",
-    "txn_amount_std_7d", "amount_zscore", "hour_of_day", "day_of_week", "amount",
-]
-
-LABEL_COL = "is_fraud"
-KEY_COL = "card_id"
-TIME_COL = "transaction_timestamp"
-
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
@@ -65,26 +55,7 @@ TABLES = {
     "orders": ORDERS, "lineitem": LINEITEM, "part": PART,
 }
 
-TRANSACTIONS = _struct(
-    transaction_id=T.StringType(), card_id=T.StringType(), transaction_amount=T.DoubleType(),
-    transaction_country=T.StringType(), transaction_state=T.StringType(),
-    is_vpn_used=T.BooleanType(), merchant_category=T.StringType(),
-    transaction_status=T.StringType(), transaction_timestamp=T.TimestampType(),
-    is_fraud=T.BooleanType(),
-)
-
-CUSTOMER_FEATURES = _struct(
-    card_id=T.StringType(), avg_transaction_amount_90d=T.DoubleType(),
-    max_monthly_spend_statement=T.DoubleType(), total_transactions_90d=T.LongType(),
-    avg_transactions_per_day_90d=T.DoubleType(), max_single_transaction_90d=T.DoubleType(),
-    pct_online_transactions_90d=T.DoubleType(), home_country=T.StringType(),
-    home_state=T.StringType(), distinct_countries_90d=T.LongType(),
-    distinct_states_90d=T.LongType(), days_since_last_password_reset=T.LongType(),
-    days_since_last_web_login=T.LongType(), hours_since_last_transaction=T.DoubleType(),
-    declined_transactions_30d=T.LongType(),
-)
-
-# The eight typed request columns a caller may send.
+# The eight typed request columns a caller may send.
 REQUEST = _struct(
     card_id=T.StringType(), transaction_timestamp=T.StringType(),
     transaction_amount=T.DoubleType(), transaction_country=T.StringType(),
