@@ -84,7 +84,7 @@ class WordEncoder:
         self.new.update(zip(need, self._encode(need)))
         for w in split:
             self.new[w] = self.new[w[:-1]] + self.new[w[-1:]]
-        self.size += sum(5 * len(w) for w in missing)
+        self.size += 5 * sum(map(len, missing))
 
     def words(self, raw: bytes) -> list[bytes]:
         """Lower case does not change a word's ids, unless the text spells a special token.
