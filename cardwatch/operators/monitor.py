@@ -289,6 +289,37 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
+#: Up to this product of the two sizes the KS p-value is counted, above it the series is used.
+EXACT_KS = 10_000
+
+
+def lattice_tail(n: int, m: int, h: int) -> float:
+    """Share of the orders of n and m values whose shares differ somewhere by h / (n m) or more.
+
+    An order is a path over the n x m lattice. Paths that have left the band are counted column by
+    column, beside all paths: below the band every path counts, inside it those that left it earlier
+    go on, above it every path counts again. Counts stay below 1e60 and nothing is subtracted.
+    """
+    n, m = min(n, m), max(n, m)
+    at = np.arange(m + 1, dtype="int64") * n
+    paths = np.ones(m + 1)
+    left = (at >= h).astype("float64")
+    for i in range(1, n + 1):
+        left = np.cumsum(np.where(i * m - at >= h, paths, left))
+        paths = np.cumsum(paths)
+        left = np.where(at - i * m >= h, paths, left)
+    return float(left[-1] / paths[-1])
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_counted(distance: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """Exact two-sample p-value; called on result rows only, NULL where an argument is."""
+    out = [
+        None if pd.isna(d) or pd.isna(a) or pd.isna(b) else lattice_tail(int(a), int(b), round(d * a * b))
+        for d, a, b in zip(distance, n, m)]
+    return pd.Series(out, dtype=object)
+
+
 def _upper_gamma(a: float, x: float) -> float:
     """Regularised upper incomplete gamma: power series below a + 1, continued fraction above."""
     if x <= 0:
@@ -416,8 +447,11 @@ def numeric_drift(
     enough = (F.col("n_cur") > 1) & (nb > 1)
     out = []
     if "ks" in stats:
+        sizes = F.col("n_cur").cast("double"), nb.cast("double")
+        few = enough & (sizes[0] * sizes[1] <= EXACT_KS)
+        counted = ks_counted(F.when(few, F.col("gap")), F.when(few, F.col("n_cur")), F.when(few, nb))
         out += [F.when(enough, F.col("gap")).alias("ks_statistic"),
-                F.when(enough, ks_pvalue(F.col("gap"), F.col("n_cur").cast("double"), nb.cast("double"))).alias("ks_pvalue")]
+                F.when(few, counted).when(enough, ks_pvalue(F.col("gap"), *sizes)).alias("ks_pvalue")]
     if "wasserstein" in stats:
         out.append(F.when(enough, F.col("area")).alias("wasserstein_distance"))
     if "psi" in stats:

@@ -63,13 +63,24 @@ def _ctes_num(grp: str, shared: str, base: str, cur: str) -> str:
   shares as (select grid.*, greatest(coalesce(b.n, 0) / n_base, 1e-4) as pb, greatest(coalesce(c.n, 0) / n_cur, 1e-4) as pc
              from grid left join bbin b using ({shared}, bin) left join cbin c using ({grp}, bin)),
   psi as (select {grp}, sum((pc - pb) * ln(pc / pb)) as psi from shares group by all),
+  few as (select distinct least(n_base, n_cur) as p, greatest(n_base, n_cur) as q, cast(round(ks * n_base * n_cur) as bigint) as h
+          from size join dist using ({grp}) where n_base > 1 and n_cur > 1 and n_base * n_cur <= 10000),
+  counted as (with recursive walk as (
+      select p, q, h, 0::bigint as i, j, 1e0 as paths, case when j * p >= h then 1e0 else 0e0 end as away
+      from (select *, unnest(range(0, q + 1)) as j from few)
+      union all
+      select p, q, h, i + 1, j, sum(paths) over w,
+             case when j * p - (i + 1) * q >= h then sum(paths) over w else sum(case when (i + 1) * q - j * p >= h then paths else away end) over w end
+      from walk where i < p window w as (partition by p, q, h order by j))
+    select p, q, h, away / paths as exact from walk where i = p and j = q),
   num as (select {grp}, n_base, n_cur,
       case when n_base > 1 and n_cur > 1 then ks end as ks_statistic,
-      case when n_base > 1 and n_cur > 1 then case when lam < 0.2 then 1e0 else greatest(0e0, least(1e0, 2 * list_sum(list_transform(range(1, 101),
+      case when n_base > 1 and n_cur > 1 then case when n_base * n_cur <= 10000 then exact when lam < 0.2 then 1e0 else greatest(0e0, least(1e0, 2 * list_sum(list_transform(range(1, 101),
            lambda k: (case when k % 2 = 1 then 1e0 else -1e0 end) * exp(-2e0 * k * k * lam * lam))))) end end as ks_pvalue,
       case when n_base > 1 and n_cur > 1 then w1 end as wasserstein_distance,
       case when n_base > 1 and n_cur > 1 then psi end as population_stability_index, mean_cur - mean_base as avg_delta
-    from (select *, sqrt(n_cur * n_base / (n_cur + n_base)) * ks as lam from size join dist using ({grp}) join psi using ({grp})))"""
+    from (select *, sqrt(n_cur * n_base / (n_cur + n_base)) * ks as lam from size join dist using ({grp}) join psi using ({grp}))
+    left join counted on p = least(n_base, n_cur) and q = greatest(n_base, n_cur) and h = cast(round(ks * n_base * n_cur) as bigint))"""
 
 
 def _ctes_cat(grp: str, shared: str, base: str, cur: str) -> str:

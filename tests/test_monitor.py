@@ -1,6 +1,8 @@
+import itertools
 import math
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -121,6 +123,44 @@ def test_chi2_equals_spark_ml(spark):
     assert math.isclose(r["chi_squared_test"]["pvalue"], test["pValue"], rel_tol=1e-6, abs_tol=1e-12)
 
 
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 4), (2, 3), (3, 3), (4, 6), (5, 5)])
+def test_counted_ks_equals_all_orders(n, m):
+    farthest = []
+    for ones in itertools.combinations(range(n + m), n):
+        a = b = far = 0
+        for place in range(n + m):
+            a, b = (a + 1, b) if place in ones else (a, b + 1)
+            far = max(far, abs(a * m - b * n))
+        farthest.append(far)
+    for h in range(n * m + 2):
+        assert mon.lattice_tail(n, m, h) == mon.lattice_tail(m, n, h)
+        assert mon.lattice_tail(n, m, h) == pytest.approx(sum(f >= h for f in farthest) / len(farthest), rel=1e-12)
+
+
+@pytest.mark.parametrize("n,m", [(7, 30), (30, 30), (12, 29), (2, 5000)])
+def test_counted_ks_equals_whole_number_paths(n, m):
+    for h in {1, n, m, n * m // 3, n * m // 2, n * m}:
+        inside = [0] * (m + 1)
+        for i in range(n + 1):
+            for j in range(m + 1):
+                ways = 1 if i == j == 0 else (inside[j] if i else 0) + (inside[j - 1] if j else 0)
+                inside[j] = ways if abs(i * m - j * n) < h else 0
+        assert mon.lattice_tail(n, m, h) == pytest.approx(1 - Fraction(inside[m], math.comb(n + m, n)), rel=1e-9)
+
+
+def test_few_rows_have_a_counted_p_value_and_many_the_series(spark):
+    rng = random.Random(31)
+    base = [(T0, rng.gauss(0, 1), "a", None) for _ in range(40)]
+    cur = [(T0 + timedelta(days=d), rng.gauss(0.7, 1), "a", None) for d, n in ((0, 6), (1, 250), (2, 251), (3, 1)) for _ in range(n)]
+    rows = mon.drift_metrics(frame(spark, base), frame(spark, cur), "transaction_timestamp", ["x"], [], granularities=("1 day",)).collect()
+    got = {r["count"]: r["ks_test"] for r in rows}
+    assert set(got) == {1, 6, 250, 251} and got[1]["pvalue"] is None
+    for n in (6, 250):
+        assert got[n]["pvalue"] == mon.lattice_tail(n, 40, round(got[n]["statistic"] * n * 40))
+    lam = math.sqrt(251 * 40 / 291) * got[251]["statistic"]
+    assert got[251]["pvalue"] == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101)), abs=1e-12)
+
+
 def test_upper_gamma_known_values():
     # Chi-squared tail at the usual 5 percent limits.
     for k, x in ((1, 3.841458820694124), (2, 5.991464547107979), (10, 18.307038053275146), (100, 124.34211340400407)):
