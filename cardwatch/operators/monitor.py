@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from cardwatch.functions.columns import join_on, value_bucket
 from cardwatch.functions.timeparts import GRAINS, spans
 from cardwatch.operators.classification import averages, cells, class_rows
-from cardwatch.operators.ordered import bin_of, bucket_bits, running
+from cardwatch.operators.ordered import bin_of, bucket_bits, group_totals, running
 from cardwatch.session import materialize
 
 WINDOW = ["granularity", "window_start", "window_end"]
@@ -580,21 +580,22 @@ def categorical_drift(base: DataFrame, cur: DataFrame, keys: list[str], extra: l
     """Chi-squared homogeneity test and PSI of value tables; NULL is a category of its own.
 
     Baseline categories that a window lacks enter through totals over the whole baseline
-    minus the matched part, so the baseline is not repeated per window.
+    minus the matched part, so the baseline is not repeated per window. A group's totals reach its
+    categories in parts, so a group of millions of categories is no single task.
     """
     group = keys + extra
     def tidy(df: DataFrame) -> DataFrame:
         return df.withColumns({"absent": F.col("value").isNull(), "value": F.coalesce("value", F.lit(""))})
 
+    cell = ["value", "absent"]
     b, c = tidy(base).withColumnRenamed("n", "b"), tidy(cur).withColumnRenamed("n", "c")
-    b_stats = b.groupBy(*keys).agg(F.sum("b").alias("n_base"), F.count(F.lit(1)).alias("k_base"))
-    share = F.col("b") / F.col("n_base")
-    b_gone = b.join(b_stats, keys).groupBy(*keys).agg(F.sum(_psi_term(F.lit(0.0), share)).alias("gone_all"))
-    c_stats = c.groupBy(*group).agg(F.sum("c").alias("n_cur"))
-    b_all = b_stats.join(b_gone, keys)
+    told = group_totals(b, keys, cell, {"n_base": F.sum("b"), "k_base": F.count(F.lit(1))})
+    b_all = told.groupBy(*keys).agg(
+        F.max("n_base").alias("n_base"), F.max("k_base").alias("k_base"),
+        F.sum(_psi_term(F.lit(0.0), F.col("b") / F.col("n_base"))).alias("gone_all"))
     paired = (
-        c.join(b.select(*keys, "value", "absent", "b"), [*keys, "value", "absent"], "left")
-        .join(c_stats, group).join(b_all, keys)
+        group_totals(c, group, cell, {"n_cur": F.sum("c")}, b_all, keys)
+        .join(b.select(*keys, *cell, "b"), [*keys, *cell], "left")
         .withColumn("b", F.coalesce("b", F.lit(0)))
     )
     bb, cc = F.col("b").cast("double"), F.col("c").cast("double")

@@ -18,6 +18,8 @@ from cardwatch.session import materialize
 
 #: Buckets that a group is cut into at its own quantiles.
 SPLITS = 64
+#: Parts by hash that a group's rows get its totals in.
+HASHED = 256
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "next": F.min, "total": F.sum}
 
 
@@ -93,6 +95,24 @@ def running(
     )
 
 
+def group_totals(
+    df: DataFrame, by: list[str], spread: list[str], sums: dict[str, Column],
+    facts: DataFrame | None = None, on: list[str] | None = None,
+) -> DataFrame:
+    """Add sums over the whole ``by`` group to its rows; rows with a NULL in ``by`` are left out.
+
+    Partial sums per (group, hash of ``spread``) are added up and come back to the rows by both, so
+    no task gets a whole group. ``facts``, one row per ``on``, join the partial sums and come along.
+    """
+    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(HASHED)))
+    whole = Window.partitionBy(*by)
+    totals = rows.groupBy(*by, "_bucket").agg(*[c.alias(name) for name, c in sums.items()]).select(
+        *by, "_bucket", *[F.sum(name).over(whole).alias(name) for name in sums])
+    if facts is not None:
+        totals = totals.join(facts, on)
+    return rows.join(totals, [*by, "_bucket"]).drop("_bucket")
+
+
 def split_by_value(df: DataFrame, by: list[str], value: str, parts: int = SPLITS) -> DataFrame:
     """Add _bucket, 0 to ``parts`` - 1, which follows ``value`` within each group and holds about as many rows each.
 

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 from fractions import Fraction
 
@@ -123,6 +124,21 @@ def test_chi2_equals_spark_ml(spark):
     assert math.isclose(r["chi_squared_test"]["pvalue"], test["pValue"], rel_tol=1e-6, abs_tol=1e-12)
 
 
+def test_chi2_and_psi_of_many_categories_equal_brute_force(spark):
+    rng = np.random.default_rng(41)
+    draws = [[f"c{v}" if v % 97 else None for v in rng.geometric(p, n)] for p, n in ((0.0008, 9000), (0.001, 7000))]
+    base, cur = (frame(spark, [(T0, 0.0, v, "u") for v in values]) for values in draws)
+    r = mon.drift_metrics(base, cur, "transaction_timestamp", [], ["c"], granularities=("1 day",)).first()
+    names = sorted(set(draws[0]) | set(draws[1]), key=str)
+    b, c = (np.array([counts[v] for v in names], dtype=float) for counts in map(Counter, draws))
+    nb, nc = b.sum(), c.sum()
+    chi2 = ((b * nc - c * nb) ** 2 / ((b + c) * nb * nc)).sum()
+    pb, pc = np.maximum(b / nb, 1e-4), np.maximum(c / nc, 1e-4)
+    assert len(names) > 3000 and r["chi_squared_test"]["statistic"] == pytest.approx(chi2, rel=1e-10)
+    assert r["population_stability_index"] == pytest.approx(((pc - pb) * np.log(pc / pb)).sum(), rel=1e-9)
+    assert (r["count"], r["baseline_count"]) == (7000, 9000)
+
+
 @pytest.mark.parametrize("n,m", [(1, 1), (1, 4), (2, 3), (3, 3), (4, 6), (5, 5)])
 def test_counted_ks_equals_all_orders(n, m):
     farthest = []

@@ -104,3 +104,27 @@ def test_heavy_keys_are_bounded(spark):
     assert [r["k"] for r in od.heavy_keys(df, "k", 10).collect()] == [0]
     assert od.heavy_keys(df, "k", 600).count() == 0
     assert od.heavy_keys(df, "k", 0, max_keys=2).count() == 1
+
+
+def test_totals_of_a_hot_group_reach_its_rows_in_even_tasks(spark):
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("g"), F.col("id").alias("v"), F.lit(2).alias("n"))
+    df = hot.union(spark.range(300).select(F.concat(F.lit("g"), F.col("id") % 30), F.col("id"), F.lit(1)))
+    df = df.union(spark.createDataFrame([(None, 1, 1)], "g string, v long, n int"))
+    facts = spark.createDataFrame([("hot", 7), *[(f"g{i}", i) for i in range(20)]], "g string, fact int")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = od.group_totals(df, ["g"], ["v"], {"size": F.sum("n"), "kinds": F.count(F.lit(1))}, facts, ["g"])
+        tasks = sorted(r["count"] for r in got.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        found = {r["g"]: r for r in got.groupBy("g").agg(
+            F.count("*").alias("rows"), *[F.collect_set(c).alias(c) for c in ("size", "kinds", "fact")]).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(tasks) == 8 and tasks[-1] < 3 * tasks[4]
+    assert set(found) == {"hot", *[f"g{i}" for i in range(20)]}
+    for g, r in found.items():
+        n = 1_000_000 if g == "hot" else 10
+        assert (r["rows"], r["kinds"]) == (n, [n]) and r["size"] == [2 * n if g == "hot" else n]
+        assert r["fact"] == [7 if g == "hot" else int(g[1:])]
