@@ -41,7 +41,10 @@ def preview_rows(d: Data):
     return src.preview(rows, [F.col("value").desc(), "event_id"], 5)
 
 
-@query("describe_schema")
+@query("describe_schema", """
+  with one as (select typeof(columns(*)) from (select * from txn limit 1))
+  select col_name, case data_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' else lower(data_type) end as data_type
+  from (unpivot one on columns(*) into name col_name value data_type)""")
 def describe_schema(d: Data):
     return src.describe_schema(d.txn)
 
