@@ -1,6 +1,7 @@
 """Operators on documents against brute force, with odd rows and empty tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -310,3 +311,32 @@ def test_quality_holds_on_rows_that_it_did_not_learn(spark, odd, none, labels):
     scored = quality.scored(odd, labels).collect()
     assert len(scored) == odd.count() and all(0 <= r["score"] <= 1 for r in scored)
     assert quality.scored(none, labels.filter("false")).count() == 0
+
+
+def test_classes_do_not_depend_on_the_list_of_frequent_grams(spark, monkeypatch):
+    """The list only orders n-grams: none, all of them or half of them give the classes of all pairs."""
+    rnd = random.Random(11)
+    common = [f"c{i}" for i in range(30)]
+    texts = []
+    for k in range(24):
+        own = common[:rnd.randint(6, 30)] + [f"w{k // 3}_{i}" for i in range(rnd.choice([8, 40, 60]))]
+        texts.append(" ".join(own[:-1] + [f"x{k}"] if k % 2 else own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < len(texts)
+    grams = ngram_join.NGrams()
+    every = np.unique(np.concatenate([grams(t.encode()) for t in texts]))
+    for frequent in (np.zeros(0, np.uint64), every, every[::2]):
+        monkeypatch.setattr(ngram_join, "frequent_grams", lambda docs, rows, chosen=frequent: chosen)
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.join_classes(docs).collect()}
+        assert [got[k] for k in range(len(texts))] == root
