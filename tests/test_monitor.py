@@ -259,3 +259,30 @@ def test_quality_alert_and_evaluation(spark):
     assert late.count() == 0
     states = al.alert_evaluate({"a": calm, "b": loud}, {"a": ("window_start", ">", 0), "b": ("window_start", ">", 0)})
     assert {r["alert"]: r["state"] for r in states.collect()} == {"a": "OK", "b": "FIRED"}
+
+
+@pytest.mark.parametrize("offset", [0.0, 1.7e9])
+def test_consecutive_windows_take_one_pass_over_both_sides(spark, monkeypatch, offset):
+    names, write = [], mon.materialize
+    monkeypatch.setattr(mon, "materialize", lambda df, name, *a, **k: names.append(name) or write(df, name, *a, **k))
+    rng = random.Random(8)
+    days = {d: [offset + round(rng.gauss(0.3 * d, 1 + d / 4), 1) for _ in range(n)] for d, n in ((0, 40), (1, 150), (2, 1), (3, 90), (4, 200))}
+    rows = [(T0 + timedelta(days=d), x, "a", "u") for d, values in days.items() for x in values]
+    rows += [(T0 + timedelta(days=1), x, "a", "u") for x in (float("nan"), float("inf"), None)]
+    got = mon.drift_consecutive(frame(spark, rows), "transaction_timestamp", ["x"], [], granularities=("1 day",)).collect()
+    assert len(got) == 4 and not {"drift-cum", "drift-seen", "drift-least", "drift-info"} & set(names)
+    for r in got:
+        d = (r["window"]["start"] - T0.replace(hour=0, minute=0, second=0, microsecond=0)).days
+        base, cur = np.sort(days[d - 1]), np.sort(days[d])
+        assert (r["baseline_count"], r["count"]) == (len(base), len(cur))
+        assert r["avg_delta"] == pytest.approx((cur - offset).mean() - (base - offset).mean(), abs=1e-6 if offset else 1e-12)
+        if min(len(base), len(cur)) < 2:
+            assert r["wasserstein_distance"] is None and r["ks_test"]["statistic"] is None and r["population_stability_index"] is None
+            continue
+        at = np.unique(np.r_[base, cur])
+        b, c = (np.searchsorted(side, at, "right") / len(side) for side in (base, cur))
+        assert r["ks_test"]["statistic"] == pytest.approx(np.abs(b - c).max(), abs=1e-12)
+        assert r["wasserstein_distance"] == pytest.approx((np.abs(b - c)[:-1] * np.diff(at)).sum(), abs=1e-6 if offset else 1e-12)
+        edges = [base[-(-len(base) * i // 10) - 1] for i in range(1, 10)]
+        shares = [np.maximum(np.bincount(np.searchsorted(edges, side), minlength=10) / len(side), mon.FLOOR) for side in (base, cur)]
+        assert r["population_stability_index"] == pytest.approx(((shares[1] - shares[0]) * np.log(shares[1] / shares[0])).sum(), abs=1e-9)
