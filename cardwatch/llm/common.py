@@ -43,6 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: pa.Schema) -> DataFrame:
+    """Rows of the driver as a table, by Arrow: plain lists start Python workers of another kind, which stay beside the others."""
+    cols = list(zip(*rows)) or [[]] * len(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema))
+
+
 def veiled(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with numbered column names, which clash with none of an operator's own, and where each went."""
     names = {c: f"col{i}" for i, c in enumerate(docs.columns)}

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import buckets_for, numbered, veiled, worker_memory
+from cardwatch.llm.common import buckets_for, numbered, small_table, veiled, worker_memory
 from cardwatch.session import materialize
 
 #: Weights by the sources' order, share of all words that the mix takes, and how often a source may go in at most.
@@ -205,8 +205,8 @@ def shard_ends(strata: DataFrame, level: Fraction, most: int, shards: int, seed:
         rules, "sid long, class int, n long, block long, quota array<long>, target double, aim long"), "mix-quotas")
     totals = ruled.groupBy("block").agg(*[F.sum(F.col("quota")[layer]) for layer in layers]).orderBy("block").collect()
     trees = [splitting_tree([r[1 + layer] for r in totals], shards, [seed, layer]) for layer in layers]
-    rooms = ruled.sparkSession.createDataFrame(
-        [(r[0], [t[:, i].tolist() for t in trees]) for i, r in enumerate(totals)], "block long, rooms array<array<long>>")
+    rooms = small_table(ruled.sparkSession, [(r[0], [t[:, i].tolist() for t in trees]) for i, r in enumerate(totals)],
+                        pa.schema([("block", pa.int64()), ("rooms", pa.list_(pa.list_(pa.int64())))]))
 
     def deal(pdf):
         pdf = pdf.sort_values(["sid", "class"], ascending=[True, False], ignore_index=True)

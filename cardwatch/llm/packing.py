@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import numbered, worker_memory
+from cardwatch.llm.common import numbered, small_table, worker_memory
 from cardwatch.session import materialize
 
 #: Tokens of a sequence, and the smallest binary piece; what is left of a document below it stays whole.
@@ -31,6 +31,8 @@ SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("ids", pa.binary()),
 ])
+RULES = pa.schema([("length", pa.int32()), ("per", pa.int64()), ("first", pa.int64()), ("done", pa.int64())])
+REST = pa.schema([("length", pa.int32()), ("number", pa.int64()), ("sequence", pa.int64()), ("place", pa.int64())])
 
 
 class WordEncoder:
@@ -195,8 +197,8 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
     cut = materialize(raw.mapInArrow(pieces, schema), "pack-pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     rules, rest = layout(counts)
-    by_rule = spark.createDataFrame([(s, *r) for s, r in rules.items()], "length int, per long, first long, done long")
-    by_rest = spark.createDataFrame(rest, "length int, number long, sequence long, place long")
+    by_rule = small_table(spark, [(s, *r) for s, r in rules.items()], RULES)
+    by_rest = small_table(spark, rest, REST)
     wide = numbered(cut, ["length"], ["doc_id", "start", "ids_crc32", "doc_tokens"], "number")
     full = F.col("number") < F.col("done")
     out = (

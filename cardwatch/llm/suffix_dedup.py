@@ -326,6 +326,21 @@ def kept_parts(raw: bytes, found: list[tuple[int, int]]) -> tuple[list[bytes], i
     return [*parts, raw[at:]], cuts
 
 
+def _kept(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[bytes], int]]:
+    """Each touched document's bytes, the pieces left of them and the number of cuts."""
+    for raw, parts in zip(batch.column("raw").to_pylist(), batch.column("found").to_pylist()):
+        yield raw, *kept_parts(raw, [(p["first"], p["windows"]) for p in parts])
+
+
+def touched(docs: DataFrame, keep_first: bool, text: str) -> DataFrame:
+    """Rows (doc_id, h, raw, found): documents that lose bytes, and the runs of windows that go."""
+    found = materialize(repeats(docs, keep_first, text), "dedup-found")
+    by_doc = merged(found).groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
+        F.collect_list(F.struct("first", "windows")).alias("found"))
+    rows = found_rows(_documents(docs, text), by_doc, "dedup-by-doc").dropDuplicates(["doc_id", "h"])
+    return rows.select("doc_id", "h", "raw", "found")
+
+
 CUT = "n_removed long, n_spans long, kept_sha256 string, kept array<binary>"
 
 
@@ -341,16 +356,10 @@ def removed(docs: DataFrame, keep_first: bool = True, text: str = "text") -> Dat
     is chosen, and copies of each other when every place goes; they give one row. Other columns are
     not read.
     """
-    found = materialize(repeats(docs, keep_first, text), "dedup-found")
-    by_doc = merged(found).groupBy(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h")).agg(
-        F.collect_list(F.struct("first", "windows")).alias("found"))
-    touched = found_rows(_documents(docs, text), by_doc, "dedup-by-doc").dropDuplicates(["doc_id", "h"])
-
     def cut(batches):
         for batch in batches:
             out = []
-            for raw, parts in zip(batch.column("raw").to_pylist(), batch.column("found").to_pylist()):
-                pieces, cuts = kept_parts(raw, [(p["first"], p["windows"]) for p in parts])
+            for raw, pieces, cuts in _kept(batch):
                 left = b"".join(pieces)
                 out.append((len(raw) - len(left), cuts, hashlib.sha256(left).hexdigest(), pieces))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.binary()))
@@ -359,7 +368,7 @@ def removed(docs: DataFrame, keep_first: bool = True, text: str = "text") -> Dat
                 [batch.column("doc_id"), batch.column("h"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                 ["doc_id", "h", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return touched.select("doc_id", "h", "raw", "found").mapInArrow(cut, f"doc_id long, h long, {CUT}")
+    return touched(docs, keep_first, text).mapInArrow(cut, f"doc_id long, h long, {CUT}")
 
 
 def digests(docs: DataFrame, keep_first: bool = True, text: str = "text") -> DataFrame:
@@ -384,12 +393,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     def write(batches):
         for batch in batches:
-            texts = ["".join(p.decode("utf-8", "ignore") for p in pieces) for pieces in batch.column("kept").to_pylist()]
+            texts = ["".join(p.decode("utf-8", "ignore") for p in pieces) for _, pieces, _ in _kept(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(texts, pa.string())], ["own_id", "own_h", "own_text"])
 
-    cut = removed(docs, keep_first=True).select("doc_id", "h", "kept").mapInArrow(write, "own_id long, own_h long, own_text string")
-    cut = materialize(cut, "dedup-texts")
+    # One Python step from bytes to text: of two in a row each task would hold two workers, which stay for the stages after it.
+    cut = materialize(touched(docs, True, "text").mapInArrow(write, "own_id long, own_h long, own_text string"), "dedup-texts")
     plain, at = veiled(docs)
     text, n_chars = F.col(at["text"]), F.col(at["n_chars"])
     same = F.col(at["doc_id"]).eqNullSafe(F.col("own_id")) & (F.xxhash64(at["text"]) == F.col("own_h"))
